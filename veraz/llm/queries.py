@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veraz.llm import bpe, chat, flac, packing, secret_scan, sharding, token_counts
+from veraz.llm import bpe, chat, flac, jaccard, packing, secret_scan, sharding, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_documents(spark, sf_dir))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = secret_scan.scan(_documents(spark, sf_dir).select("doc_id", "text"))
     return scanned.select(
@@ -92,7 +96,7 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe_roundtrip, op3_flac_media, op4_chat_format, op6_secret_scan, op7_token_counts, op9_best_fit_packing, op10_external_shuffle)
+    for f in (op1_bpe_roundtrip, op3_flac_media, op4_chat_format, op5_ngram_jaccard_join, op6_secret_scan, op7_token_counts, op9_best_fit_packing, op10_external_shuffle)
 }
 
 ORACLE_SQL: dict[str, str] = {}
