@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veraz.llm import bpe, chat, flac, jaccard, packing, secret_scan, sharding, token_counts
+from veraz.llm import bpe, chat, flac, jaccard, packing, quality_classifier, quality_rules, secret_scan, sharding, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,13 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), _sha256("text").alias("decoded_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    weights = quality_classifier.train(documents, labels, usable=~quality_classifier.held_out())
+    scored = quality_classifier.score(documents, weights)
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = flac.read_media(flac.write_media(_documents(spark, sf_dir)))
     return read.select(
@@ -76,6 +83,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), BYTE_BPE)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(_documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_documents(spark, sf_dir), WORD_BPE)
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
@@ -94,9 +106,18 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
-    for f in (op1_bpe_roundtrip, op3_flac_media, op4_chat_format, op5_ngram_jaccard_join, op6_secret_scan, op7_token_counts, op9_best_fit_packing, op10_external_shuffle)
-}
+_ALL = (
+    op1_bpe_roundtrip,
+    op2_quality_classifier,
+    op3_flac_media,
+    op4_chat_format,
+    op5_ngram_jaccard_join,
+    op6_secret_scan,
+    op7_token_counts,
+    op8_quality_rules,
+    op9_best_fit_packing,
+    op10_external_shuffle,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}

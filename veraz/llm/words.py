@@ -101,3 +101,33 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         held += len(t) + 1
     if texts:
         yield begin, len(texts)
+
+
+def _shape_classes() -> np.ndarray:
+    """Bytes by what they look like: small letters and bytes of other scripts, capitals, digits,
+    white space, and every sign by itself."""
+    kind = np.arange(256, dtype=np.uint64)
+    kind[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = 1
+    kind[ord("A") : ord("Z") + 1] = 2
+    kind[ord("0") : ord("9") + 1] = 3
+    return kind
+
+
+_SHAPES = _shape_classes()
+
+
+def shape_hashes(texts: list[bytes]) -> np.ndarray:
+    """The hash of the shape of each word, in the order of ``word_hashes``: its bytes' looks with
+    runs of one look put together."""
+    data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    look = _SHAPES[data]
+    kept = np.ones(len(data), bool)
+    kept[1:] = look[1:] != look[:-1]
+    rank = np.cumsum(kept)
+    power, inverse = _powers(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.cumsum(np.where(kept, mix(look + np.uint64(7)) * power[rank], np.uint64(0)))
+        return mix((sums[ends - 1] - sums[starts - 1]) * inverse[rank[starts]])
