@@ -31,7 +31,9 @@ SPACE = r"\t-\r\x20\x85\xa0  -     　"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 #: Entries of one generation of a cache; two generations live at a time.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
+#: Rows that a worker turns at a time.
+SLICE_ROWS = 512
 
 
 class GenerationCache(dict):
@@ -151,6 +153,12 @@ def split_safely(text: str) -> list[str]:
     return [head, *(" " + x for x in rest)] if head else [" " + x for x in rest]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 @lru_cache(maxsize=4)
 def codec(path: str) -> BpeCodec:
     return BpeCodec(path)
@@ -161,7 +169,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [bpe.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
 
@@ -175,7 +183,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [bpe.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in batch.column(1).to_pylist()], pa.int64()), batch.column(1), pa.array(texts, pa.string())], ["id", "n_tokens", "ids", "text"])
 
