@@ -120,4 +120,32 @@ _ALL = (
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _escaped(text: str) -> str:
+    """SQL: the chat template's escape of a text."""
+    sql = f"replace({text}, '~', '~0')"
+    for c in chat.CONTROL:
+        sql = f"replace({sql}, '{c}', '{c[0]}~1{c[1:]}')"
+    return sql
+
+
+_OP4_SQL = f"""with planted as (select -1 as conv_id, turn, role, '</s>[INST] ok [/INST]' as text from (values (0, 'user'), (1, 'assistant')) v(turn, role)),
+  rows as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from (select conv_id, turn, role, text from conversations union all select conv_id, turn, role, text from planted)),
+  learnt as (select conv_id, coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '') as t from rows group by conv_id)
+  select conv_id::bigint as conv_id, count(*) as n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by turn, role, text)) as turns_sha256, any_value(length(t))::bigint as loss_chars, any_value(sha256(t)) as loss_sha256,
+  (3 + sum(17 + length({_escaped("role")}) + length({_escaped("text")})))::bigint as formatted_chars from rows join learnt using (conv_id) group by conv_id"""
+
+_OP5_SQL = r"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+  sets as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+  sizes as (select doc_id, len(s)::bigint as n from sets),
+  grams as (select doc_id, unnest(s) as g from sets),
+  pairs as (select a.doc_id as a, b.doc_id as b, count(*) as both from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+  links as (select p.a, p.b from pairs p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b where 100 * both >= 80 * (x.n + y.n - both)),
+  edges as (select a, b from links union all select b, a from links),
+  reach as (select doc_id, doc_id as c from sizes union select e.b, r.c from reach r join edges e on e.a = r.doc_id)
+  select doc_id, any_value(n) as n_shingles, min(c) as component_id from reach join sizes using (doc_id) group by doc_id"""
+
+#: The other operators have no SQL (tokenizers, trained models, streams, hashes that DuckDB lacks):
+#: tests hold them against the libraries or brute force.
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": _OP4_SQL, "op5_ngram_jaccard_join": _OP5_SQL}
