@@ -43,9 +43,12 @@ def test_documents(spark):
     assert got(df) == want and any(i != c for i, (_, c) in want.items())
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_chains_hubs_and_borders(spark, seed):
+@pytest.mark.parametrize(("seed", "block"), [(1, None), (2, 2)])
+def test_chains_hubs_and_borders(spark, monkeypatch, seed, block):
     """Chains of small edits, groups of copies, shared passages, and pairs at just about the threshold."""
+    if block:  # many blocks for one hub, and joins instead of broadcasts
+        for name in ("HUB_BLOCK", "CROSS_BLOCK", "BROADCAST_ROWS"):
+            monkeypatch.setattr(jaccard, name, block)
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4)))
     texts = [None, "", " \t", "one two", "One\ttwo", "ONE two three", "a b c d e", "é b c d e", "É b c d e"]

@@ -140,8 +140,8 @@ _OP5_SQL = r"""with recursive w as (select doc_id, regexp_extract_all(translate(
   sets as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
   sizes as (select doc_id, len(s)::bigint as n from sets),
   grams as (select doc_id, unnest(s) as g from sets),
-  pairs as (select a.doc_id as a, b.doc_id as b, count(*) as both from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
-  links as (select p.a, p.b from pairs p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b where 100 * both >= 80 * (x.n + y.n - both)),
+  pairs as (select a.doc_id as a, b.doc_id as b, count(*) as n_common from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+  links as (select p.a, p.b from pairs p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b where 100 * n_common >= 80 * (x.n + y.n - n_common)),
   edges as (select a, b from links union all select b, a from links),
   reach as (select doc_id, doc_id as c from sizes union select e.b, r.c from reach r join edges e on e.a = r.doc_id)
   select doc_id, any_value(n) as n_shingles, min(c) as component_id from reach join sizes using (doc_id) group by doc_id"""
