@@ -8,12 +8,16 @@ bounds that lose no pair:
 2. The sketch orders all shingles from rare to frequent (any common order is right, a rare-first
    order is fast). Two sets of sizes m and n can only reach the threshold if they share a shingle
    among the first m - ceil(t*m) + 1 and n - ceil(t*n) + 1, so only those columns enter the product.
-3. Columns are dealt out by shingle and sorted. The first document of a column is its hub. Hub
-   pairs within the size bounds are checked by exact overlap counts, in blocks of one hub and a
-   bounded number of documents: a group of copies costs one check a document, not one a pair.
-4. Columns whose documents lie in several components are multiplied in full: pairs across
-   components within the size and position bounds are checked likewise. Pairs in one component
-   are linked already, by way of others.
+3. Columns are dealt out by shingle and sorted. The first document of a column is its hub; overlap
+   counts add up how many columns a document shares with a hub. Every document is checked against
+   its best hub and its smallest one within the size bounds, by exact overlap counts, in blocks of
+   one hub and a bounded number of documents: a group of copies costs two checks a document.
+4. Two documents of one column share its hub, so the pairs that are left lie within the documents
+   of one hub. Where these belong to several components, pairs across components are held against
+   the size bound and against a bound from parity sketches (documents whose sets differ in d
+   shingles have sketches that differ in at most d bits), block by block inside the tasks; only
+   pairs that neither bound rules out are written and checked exactly. Pairs in one component are
+   linked already, by way of others.
 5. Components come from propagating the smallest id.
 
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a
@@ -44,6 +48,10 @@ BLOCK_BITS = 14
 ENTRIES = 1 << 20
 #: Documents that are checked against one hub in one block.
 HUB_BLOCK = 512
+#: Documents in one block of those that share a hub.
+CROSS_BLOCK = 1024
+#: Bits of a document's parity sketch.
+PARITY_BITS = 1024
 #: Rows of a needed-document table up to which it is broadcast (24 bytes a row).
 BROADCAST_ROWS = 400_000
 
@@ -62,6 +70,12 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """For each of some cells, whether an odd number of the shingles falls in it."""
+    cells = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(cells & 1).tobytes()
+
+
 def _cell(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
@@ -80,18 +94,18 @@ def _profile(n: int):
     """Each document's set size and hash; at the end of a partition, the blocks of its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "n", "key", "block", "counts"]
+        names = ["doc", "n", "key", "parity", "block", "counts"]
         sketch = np.zeros(1 << CELL_BITS, np.uint32)
         for batch in _slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
             np.add.at(sketch, _cell(np.concatenate(sets)), 1) if sets else None
             keys = [set_key(s) for s in sets]
             empty = pa.nulls(len(sets))
-            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), empty.cast(pa.int32()), empty.cast(pa.binary())], names)
+            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([parity(x) for x in sets], pa.binary()), empty.cast(pa.int32()), empty.cast(pa.binary())], names)
         blocks = sketch.reshape(-1, 1 << BLOCK_BITS)
         there = np.flatnonzero(blocks.any(1))
         empty = pa.nulls(len(there))
-        yield pa.record_batch([empty.cast(pa.int64()), empty.cast(pa.int64()), empty.cast(pa.binary()), pa.array(there, pa.int32()), pa.array([blocks[b].tobytes() for b in there], pa.binary())], names)
+        yield pa.record_batch([empty.cast(pa.int64()), empty.cast(pa.int64()), empty.cast(pa.binary()), empty.cast(pa.binary()), pa.array(there, pa.int32()), pa.array([blocks[b].tobytes() for b in there], pa.binary())], names)
 
     return run
 
@@ -104,13 +118,13 @@ def _add_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _prefixes(n: int, percent: int, sketch):
-    """The first shingles of each document in the common order, with their places in it."""
+    """The first shingles of each document in the common order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sketch.value, set()
         for batch in _slices(batches):
             ids, sets = batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), n)
-            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], []]
             for doc, s in zip(ids, sets, strict=True):
                 key = set_key(s)
                 if doc is None or not len(s) or key in seen:
@@ -119,86 +133,90 @@ def _prefixes(n: int, percent: int, sketch):
                 m = len(s)
                 p = m - -(-percent * m // 100) + 1
                 first = s[np.lexsort((s, counts[_cell(s)]))[:p]]
-                for column, value in zip(columns, (first.view(np.int64), np.full(p, doc), np.full(p, m), np.arange(p), np.full(p, int.from_bytes(key[:8], signed=True))), strict=True):
+                for column, value in zip(columns, (first.view(np.int64), np.full(p, doc), np.full(p, m)), strict=True):
                     column.append(value)
             if columns[0]:
-                yield pa.record_batch([pa.array(np.concatenate(c), pa.int64() if i in (0, 1, 4) else pa.int32()) for i, c in enumerate(columns)], ["h", "doc", "n", "at", "mark"])
+                yield pa.record_batch([pa.array(np.concatenate(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["h", "doc", "n"])
 
     return run
 
 
 def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted columns -> the entries of columns with two documents or more, with their hub."""
-    names = ["h", "doc", "n", "at", "hub", "hub_n", "mark", "hub_mark"]
-    last: tuple | None = None  # h, hub, hub_n, hub_mark, hub_at, whether the hub's own entry is out
+    """Sorted columns -> for columns with two documents or more: hub, document, both sizes and in
+    how many columns of this batch they meet. A hub is listed with itself."""
+    last: tuple[int, int, int, bool] | None = None  # shingle, hub, its size, whether the hub is out
     for batch in batches:
-        h, doc, n, at, mark = (batch.column(i).to_numpy() for i in range(5))
-        start = np.concatenate([[last is None or h[0] != last[0]], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+        h, doc, n = (batch.column(i).to_numpy() for i in range(3))
         if not len(h):
             continue
+        start = np.concatenate([[last is None or h[0] != last[0]], h[1:] != h[:-1]])
         where = np.maximum.accumulate(np.where(start, np.arange(len(h)), -1))
-        carried = where < 0
-        w = np.maximum(where, 0)
-        hub, hub_n, hub_mark, hub_at = (np.where(carried, last[k] if last else 0, v[w]) for k, v in ((1, doc), (2, n), (3, mark), (4, at)))
+        hub, hub_n = (np.where(where < 0, last[k] if last else 0, v[np.maximum(where, 0)]) for k, v in ((1, doc), (2, n)))
         member = ~start
-        follows = np.concatenate([member[1:], [False]])
-        out = [h[member], doc[member], n[member], at[member], hub[member], hub_n[member], mark[member], hub_mark[member]]
-        lead = start & follows
-        extra = [[h[lead], doc[lead], n[lead], at[lead], doc[lead], n[lead], mark[lead], mark[lead]]]
-        if last and not last[5] and not start[0]:
-            extra.append([np.array([v]) for v in (last[0], last[1], last[2], last[4], last[1], last[2], last[3], last[3])])
+        lead = start & np.concatenate([member[1:], [False]])
+        shown = member | lead
+        found = np.stack([hub[shown], doc[shown], n[shown], hub_n[shown]])
+        if last and not last[3] and not start[0]:
+            found = np.concatenate([found, [[last[1]], [last[1]], [last[2]], [last[2]]]], 1)
         k = int(where[-1])
-        last = (int(h[k]), int(doc[k]), int(n[k]), int(mark[k]), int(at[k]), k < len(h) - 1) if k >= 0 else (*last[:5], True)
-        parts = [np.concatenate([o, *(e[i] for e in extra)]) for i, o in enumerate(out)]
-        if len(parts[0]):
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.record_batch([pa.array(p, t) for p, t in zip(parts, types, strict=True)], names)
+        last = (int(h[k]), int(doc[k]), int(n[k]), k < len(h) - 1) if k >= 0 else (*last[:3], True)
+        if found.shape[1]:
+            found = found[:, np.lexsort((found[1], found[0]))]
+            first = np.concatenate([[True], (found[:2, 1:] != found[:2, :-1]).any(0)])
+            times = np.diff(np.append(np.flatnonzero(first), found.shape[1]))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.record_batch([pa.array(x, t) for x, t in zip((*found[:, first], times), types, strict=True)], ["hub", "doc", "n", "hub_n", "met"])
 
 
 def _crossing(percent: int):
-    """Sorted columns with components -> pairs of documents of different components within the bounds."""
+    """Sorted blocks of documents that share a hub -> pairs across components that neither the sizes
+    nor the parity sketches rule out."""
 
-    def pairs(c, doc, n, at, hub) -> Iterator[np.ndarray]:
+    def pairs(c, doc, n, bits, side) -> Iterator[tuple[int, int]]:
+        order = np.lexsort((doc, c))
+        c, doc, n, bits, side = c[order], doc[order], n[order].astype(np.int64), bits[order], side[order]
+        whole = (side == side[0]).all()
         for i in range(len(c) - 1):
-            j = np.searchsorted(c, c[i], side="right")  # sorted by component: what follows differs
+            j = int(np.searchsorted(c, c[i], side="right"))  # sorted by component: what follows differs
             if j == len(c):
                 break
-            m, k = n[j:], at[j:]
-            least = -(-percent * (n[i] + m) // (100 + percent))
-            fits = (100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])) & (np.minimum(k, at[i]) + 1 + np.minimum(m - k, n[i] - at[i]) - 1 >= least)
-            fits &= (doc[j:] != hub[i]) & (doc[i] != hub[i])  # those have been checked
-            if fits.any():
-                other = doc[j:][fits]
-                yield np.stack([np.minimum(other, doc[i]), np.maximum(other, doc[i])])
+            both = n[i] + n[j:]
+            differ = both - 2 * -(-percent * both // (100 + percent))
+            fits = 100 * np.minimum(n[j:], n[i]) >= percent * np.maximum(n[j:], n[i])
+            if not whole:
+                fits &= side[j:] != side[i]
+            at = np.flatnonzero(fits)
+            at = at[np.bitwise_count(bits[j + at] ^ bits[i]).sum(1) <= differ[at]]
+            for other in doc[j + at].tolist():
+                yield (other, int(doc[i])) if other < doc[i] else (int(doc[i]), other)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
         recent: set[tuple[int, int]] = set()
+        held: list[tuple[np.ndarray, ...]] = []
+        group = None
 
-        def out(columns, last: bool):
-            h = columns[0]
-            cuts = np.flatnonzero(h[1:] != h[:-1]) + 1
-            bounds = [0, *cuts.tolist(), len(h)]
-            for a, b in zip(bounds[: -1 if last else -2], bounds[1 : None if last else -1], strict=True):
-                for p in pairs(*(x[a:b] for x in columns[1:])):
-                    new = [q for q in zip(*p.tolist(), strict=True) if q not in recent]
-                    recent.update(new)
-                    if len(recent) > 500_000:
-                        recent.clear()
-                    if new:
-                        yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*new, strict=True)], ["a", "b"])
-            yield bounds[-1] if last else bounds[-2]
+        def flush() -> Iterator[pa.RecordBatch]:
+            new = {q for q in pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))} - recent
+            if len(recent) > 500_000:
+                recent.clear()
+            recent.update(new)
+            if new:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*new, strict=True)], ["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(6)]
-            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
-            for x in out(held, False):
-                if isinstance(x, int):
-                    held = [c[x:] for c in held]
-                else:
-                    yield x
-        if held is not None and len(held[0]):
-            yield from (x for x in out(held, True) if not isinstance(x, int))
+            hub, lo, hi, side, c, doc, n = (batch.column(i).to_numpy() for i in range(7))
+            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
+            cuts = [0, *(np.flatnonzero((hub[1:] != hub[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1).tolist(), len(hub)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if held and group != (hub[a], lo[a], hi[a]):
+                    yield from flush()
+                    held = []
+                group = (hub[a], lo[a], hi[a])
+                held.append(tuple(x[a:b] for x in (c, doc, n, bits, side)))
+        if held:
+            yield from flush()
 
     return run
 
@@ -244,7 +262,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     """One row per document: ``id_col``, n_shingles long, component_id long (the smallest document
     reachable by links, itself included)."""
     spark, texts = df.sparkSession, _bytes_in(df, id_col, text_col)
-    profile = written(texts.mapInArrow(_profile(words), "doc long, n long, key binary, block int, counts binary"))
+    profile = written(texts.mapInArrow(_profile(words), "doc long, n long, key binary, parity binary, block int, counts binary"))
     documents = profile.where("block is null").select("doc", "n", "key")
     sketch = np.zeros(1 << CELL_BITS, np.uint32)
     for r in profile.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").collect():
@@ -253,10 +271,12 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
 
     size = documents.agg(F.sum("n")).first()[0] or 0
     parts = max(2, min(100_000, -(-size * (100 - percent) // 100 // ENTRIES) * 2))
-    entries = texts.mapInArrow(_prefixes(words, percent, shared), "h long, doc long, n int, at int, mark long")
-    columns = written(entries.repartition(parts, "h").sortWithinPartitions("h", "doc").mapInArrow(_hubs, "h long, doc long, n int, at int, hub long, hub_n int, mark long, hub_mark long"))
-    near = F.expr(f"doc <> hub and mark <> hub_mark and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-    hub_pairs = checkpoint(columns.where(near).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct())
+    entries = texts.mapInArrow(_prefixes(words, percent, shared), "h long, doc long, n int")
+    met = entries.repartition(parts, "h").sortWithinPartitions("h", "doc").mapInArrow(_hubs, "hub long, doc long, n int, hub_n int, met int")
+    near = written(met.groupBy("hub", "doc").agg(F.max("n").alias("n"), F.max("hub_n").alias("hub_n"), F.sum("met").alias("met")))
+    sized = near.where(F.expr(f"doc <> hub and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"))
+    best = sized.groupBy("doc").agg(F.max(F.struct("met", (-F.col("hub")).alias("neg"))).alias("m"), F.min("hub").alias("first"))
+    hub_pairs = checkpoint(best.select(F.explode(F.array_distinct(F.array(-F.col("m.neg"), "first"))).alias("a"), F.col("doc").alias("b")))
     first = checkpoint(_links(hub_pairs, texts, words, percent, parts))
 
     # Documents with equal sets are one: the smallest of them.
@@ -272,11 +292,12 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     linked = on_reps(first)
     labels = components(linked)
     of_doc = copies.select("doc", "rep").unionByName(labels.select(F.col("node").alias("doc"), F.col("node").alias("rep"))).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(F.col("doc").alias("d"), F.coalesce("component", "rep").alias("c"))
-    placed = columns.join(of_doc, F.col("doc") == F.col("d"), "left").select("h", F.coalesce("c", "doc").alias("c"), "doc", F.col("n").cast("long"), F.col("at").cast("long"), "hub")
-    placed = checkpoint(placed)
-    mixed = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("h")
-    crossing = placed.join(mixed, "h", "left_semi").repartition(parts, "h").sortWithinPartitions("h", "c", "doc")
-    cross_pairs = checkpoint(crossing.mapInArrow(_crossing(percent), "a long, b long").distinct())
+    placed = written(near.join(of_doc, F.col("doc") == F.col("d"), "left").select("hub", F.coalesce("c", "doc").alias("c"), "doc", "n"))
+    mixed = placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.expr(f"cast(ceil(count(*) / {CROSS_BLOCK}) as int)").alias("blocks")).where("lo <> hi").select("hub", "blocks")
+    sides = placed.join(mixed, "hub").withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crossing = sides.select("hub", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"))
+    crossing = crossing.join(profile.where("block is null and n > 0").groupBy("doc").agg(F.max("parity").alias("parity")), "doc").select(*crossing.columns, "parity")
+    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi").mapInArrow(_crossing(percent), "a long, b long").distinct())
     second = on_reps(_links(cross_pairs, texts, words, percent, parts))
     labels = components(linked.unionByName(second))
     final = documents.select("doc", "n").distinct().join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc")).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
