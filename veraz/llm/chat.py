@@ -81,18 +81,24 @@ def chains(messages: DataFrame) -> DataFrame:
     m, s = messages.alias("m"), steps.alias("s")
     state = m.join(s, _same(F.col("m.tree"), F.col("s.t")) & (F.col("m.parent") == F.col("s.p")), "left").select("m.tree", "m.node", "m.score", F.col("s.p").alias("ptr"), F.coalesce("s.p", "m.node").alias("top"), F.when(F.col("s.p").isNotNull(), 1).otherwise(0).cast("long").alias("place"))
     state = checkpoint(state)
+    ended, going = [state.where("ptr is null")], state.where("ptr is not null")
     before = -1
-    while (pending := state.where("ptr is not null").count()) not in (0, before):
-        # Each round ends the pointers of more messages; those on a cycle never end.
+    while (pending := going.count()) not in (0, before):
+        # Each round ends the pointers of more messages, and only the others go on. Those on a
+        # cycle never end.
         before = pending
-        a, b = state.alias("a"), state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("ptr").alias("next"), F.col("top").alias("above"), F.col("place").alias("more")).alias("b")
-        state = checkpoint(a.join(b, _same(F.col("a.tree"), F.col("b.t")) & (F.col("a.ptr") == F.col("b.n")), "left").select("a.tree", "a.node", "a.score", F.col("b.next").alias("ptr"), F.coalesce("b.above", "a.top").alias("top"), (F.col("a.place") + F.coalesce("b.more", F.lit(0))).alias("place")))
-    return state.where("ptr is null").drop("ptr")
+        reached = reduce(DataFrame.unionByName, [*ended, going]).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("ptr").alias("next"), F.col("top").alias("above"), F.col("place").alias("more"))
+        a, b = going.alias("a"), reached.alias("b")
+        moved = checkpoint(a.join(b, _same(F.col("a.tree"), F.col("b.t")) & (F.col("a.ptr") == F.col("b.n"))).select("a.tree", "a.node", "a.score", F.col("b.next").alias("ptr"), F.col("b.above").alias("top"), (F.col("a.place") + F.col("b.more")).alias("place")))
+        ended.append(moved.where("ptr is null"))
+        going = moved.where("ptr is not null")
+    return reduce(DataFrame.unionByName, ended).drop("ptr")
 
 
 def paths(messages: DataFrame, per_tree: int | None = 1) -> DataFrame:
     """The ``per_tree`` best root-to-leaf paths of every tree (None: all of them) as rows
     (tree, leaf, rank, path_score, node, position). Ties go to the smaller leaf."""
+    messages = messages.groupBy("tree", "node").agg(F.max(F.struct("parent", "score")).alias("m")).select("tree", "node", "m.parent", "m.score")
     state = checkpoint(chains(messages))
     parents = messages.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     segments = state.groupBy("tree", "top").agg(F.count("*").alias("n"), F.sum("score").alias("total"), F.max_by("node", "place").alias("end"))
