@@ -27,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veraz.llm.bpe import SPACE
+from veraz.llm.bpe import SPACE, sliced
 from veraz.llm.token_counts import balanced, tokenizer
 
 MAX_TOKENS = 4096
 OPEN_BINS = 1024
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 #: Bytes of ids after which a worker hands its rows back.
 OUT_BYTES = 8 << 20
 
@@ -125,21 +125,19 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             types = [id_type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
             return pa.record_batch([pa.array(v, t) for v, t in zip(keep, types, strict=True)], ["id", "piece", "start", "length", "ids", "sequence_id", "offset"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             id_type = batch.schema.field(0).type
-            texts, names = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for k in range(0, len(texts), 512):
-                for name, ids in zip(names[k : k + 512], encode(texts[k : k + 512]), strict=True):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at : at + width]
-                        number, offset = packer.place(len(part) // 4)
-                        for column, value in zip(keep, (name, piece, at // 4, len(part) // 4, part, first + number, offset), strict=True):
-                            column.append(value)
-                        held += len(part)
-                        if held >= OUT_BYTES:
-                            yield rows()
-                            keep, held = [[] for _ in range(7)], 0
+            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), width)):
+                    part = ids[at : at + width]
+                    number, offset = packer.place(len(part) // 4)
+                    for column, value in zip(keep, (name, piece, at // 4, len(part) // 4, part, first + number, offset), strict=True):
+                        column.append(value)
+                    held += len(part)
+                    if held >= OUT_BYTES:
+                        yield rows()
+                        keep, held = [[] for _ in range(7)], 0
         if keep[0]:
             yield rows()
 
