@@ -92,6 +92,38 @@ def test_rules_keep_clean_documents(spark):
     assert any(not r.kept and not r.base_failed for r in rows)
 
 
+def test_word_model_against_brute_force(spark):
+    texts = ["a b a", "b a é12", "", None, "x" * 3000, "a b", "b"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    df = df.localCheckpoint()
+    model = quality_rules.models(quality_rules.count(df))[0]
+    seqs = {i: [*(t or "").split(), None] for i, t in enumerate(texts) if t}
+
+    def p(i, v, w):
+        others = [s for j, s in seqs.items() if j != i]
+        n, c = sum(map(len, others)), sum(s.count(w) for s in others)
+        cv, cvw = sum(s.count(v) for s in others), sum((a, b) == (v, w) for s in others for a, b in zip([None, *s], s, strict=False))
+        spelling = -math.log(quality_rules.SYMBOLS) if w is None else quality_rules.spelled([w.encode()], model, np.zeros(quality_rules.GRAMS))[0]
+        unseen = math.log(quality_rules.WORD) + spelling - math.log(n + quality_rules.WORD)
+        word = math.log(c / (n + quality_rules.WORD) + math.exp(unseen)) if c else unseen
+        return math.log((cvw + quality_rules.BIGRAM * math.exp(word)) / (cv + quality_rules.BIGRAM)) if cvw else math.log(quality_rules.BIGRAM) + word - math.log(cv + quality_rules.BIGRAM)
+
+    got = {r.doc_id: r.log_perplexity for r in quality_rules.measure(df, {0: model}, 5).collect()}
+    assert set(got) == set(range(len(texts))) and got[2] is None and got[3] is None
+    for i, s in seqs.items():
+        assert math.isclose(got[i], -sum(p(i, v, w) for v, w in zip([None, *s], s, strict=False)) / len(s), rel_tol=1e-6)
+
+
+def test_word_model_sees_word_order(spark):
+    rng = np.random.default_rng(8)
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text", "lang")
+    labels = {r.doc_id for r in spark.read.parquet(f"{BIG}/labels.parquet").collect() if r.quality == 1}
+    clean = [r for r in docs.collect() if r.doc_id in labels and len(r.text.split()) >= 300][:40]
+    mixed = spark.createDataFrame([(-1 - r.doc_id, " ".join(rng.permutation(r.text.split())), r.lang) for r in clean], docs.schema)
+    got = {r.doc_id: r.log_perplexity for r in quality_rules.judge(docs.unionByName(mixed)).collect()}
+    assert sum(got[-1 - r.doc_id] > got[r.doc_id] for r in clean) >= 0.95 * len(clean)
+
+
 def test_classifier_on_held_out_labels(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
     rows = queries.op2_quality_classifier(spark, BIG).collect()

@@ -1,18 +1,25 @@
-"""Quality rules: counts over words and lines, and an n-gram perplexity judged within a band of the language.
-
-The language model is a modified Kneser-Ney model of character n-grams, one for each language.
-Characters are folded to a fixed alphabet, so a model has at most ``SYMBOLS ** ORDER`` n-grams
-however large the corpus is: that is the bound of what is collected and broadcast. All texts are
-counted: each task adds up its own n-grams, and Spark sums the tasks' counts. For every order the
-model keeps sorted arrays of n-gram hashes with probabilities and back-off weights.
-
-A second scan scores every whole text. The band of a language lies around the quartiles of its
-documents' log-perplexities, which come from a histogram of all of them.
-
-Defined results: a null or empty text has no words and fails the base rules; texts shorter than an
-n-gram have log-perplexity null and no verdict by the model; languages that are not listed (null
-too) share one model; repeated rows give repeated rows; an empty table gives no rows; other
-columns are not read, whatever their names are.
+"""Quality rules: counts over words and lines, and a word n-gram perplexity judged within a band of the language.
+
+The language model is one of word bigrams over all texts, with the word's own count and then its
+spelling behind it (Dirichlet priors): ``p(w | v) = (c(v w) + BIGRAM * p(w)) / (c(v) + BIGRAM)`` and
+``p(w) = (c(w) + WORD * spelled(w)) / (N + WORD)``. Each text is scored with its own counts taken
+out, so a word that only it has is as dear as its spelling. A text's end is a word too, and stands
+before its first word. Spelling comes from a modified Kneser-Ney model of character 4-grams over
+folded symbols, which is at most ``SYMBOLS ** ORDER`` n-grams a language and is broadcast.
+
+The counts of words and bigrams grow with the corpus and are neither collected nor broadcast:
+``requests`` adds up the n-grams of each chunk of texts and sends them, as sorted 40-bit hashes, to
+the parts of the range of hashes; ``totals`` sums each part and answers each chunk in the order of
+its hashes; the chunk's texts meet the answers in ``measure``. Chunks
+are cut again for the second pass, so the input must be a table that reads the same twice; a chunk
+that does not match its answers fails. At 3 billion n-grams one in 370 shares its hash.
+
+The band of a language lies around the quartiles of its documents' log-perplexities, which come
+from a histogram of all of them.
+
+Defined results: a null or empty text has no words, fails the base rules and has log-perplexity
+null; languages that are not listed (null too) share one model; repeated rows give repeated rows;
+an empty table gives no rows; other columns are not read, whatever their names are.
 """
 
 from __future__ import annotations
@@ -24,11 +31,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.shared import written
-from veraz.llm.words import chunks, mix, ngrams, word_hashes
+from veraz.llm.words import _BASE, _SPACE, chunks, mix, ngrams, word_hashes
 
 SYMBOL_BITS, ORDER = 5, 4
 SYMBOLS = 1 << SYMBOL_BITS
@@ -37,7 +46,13 @@ BLOCK = 1 << 14
 LANGUAGES = ("en", "fr", "de", "es")
 #: A band reaches so many interquartile ranges below the lower and above the upper quartile, and at
 #: least so far in nats: text that repeats itself is only a little below, other text far above.
-BAND_BELOW, BAND_ABOVE, BAND_LEAST = 6.0, 30.0, 0.1
+BAND_BELOW, BAND_ABOVE, BAND_LEAST = 6.0, 1.0, 0.1
+#: Weights of the priors, in words: of a word's own probability, and of its spelling.
+BIGRAM, WORD = 50.0, 10_000.0
+KEY_BITS = 40
+ZSTD_LEVEL = 9
+#: Bytes of text in a chunk, and in the corpus for each part of the range of hashes.
+CHUNK, PART, LEAST_PARTS = 14 << 20, 32 << 20, 64
 LEAST_WORDS, MOST_REPEATED = 50, 50
 MARKS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -222,42 +237,249 @@ def _repeated(h: np.ndarray) -> int:
     return int(again.sum())
 
 
-def measure(df: DataFrame, by_language: dict[int, NgramModel], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """One row per input row: ``id_col``, lang_no int, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words (long), log_perplexity double (null for texts shorter than an n-gram)."""
-    shared = df.sparkSession.sparkContext.broadcast(by_language)
-    names = ["id", "lang_no", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"]
+def _pack(values: np.ndarray, width: int) -> bytes:
+    """Numbers below ``256 ** width``, compressed with bytes of one place put together."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(values).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As np.unique: the distinct keys, where one of each is, the number of each key, and their counts; in less memory."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    starts = np.flatnonzero(new)
+    return keys[starts], order[starts], at, np.diff(starts, append=len(keys))
+
+
+def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Array, list[bytes], np.ndarray]]:
+    """Chunks of rows: number, ids, texts and places of the languages, by language."""
+    first, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+
+    def chunk():
+        rows = pa.Table.from_batches(held).combine_chunks()
+        lang = place(rows.column(2).to_pylist())
+        order = np.argsort(lang, kind="stable")
+        rows = rows.take(pa.array(order)).combine_chunks()
+        return first + number, rows.column(0).combine_chunks(), rows.column(1).to_pylist(), lang[order]
+
+    for batch in batches:
+        sizes = np.asarray(pc.binary_length(batch.column(1))).tolist()
+        begin = 0
+        for i, n in enumerate(sizes):
+            if size and size + n > CHUNK:
+                if i > begin:
+                    held.append(batch.slice(begin, i - begin))
+                made, held = chunk(), []
+                yield made
+                made = None
+                number, size, begin = number + 1, 0, i
+            size += n + 1
+        if len(sizes) > begin:
+            held.append(batch.slice(begin))
+    if held:
+        made, held = chunk(), []
+        yield made
+
+
+def _salted(h: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
+    salt = mix(np.asarray(lang, np.uint64) + np.uint64(0x517C))
+    return mix(h ^ salt) >> np.uint64(64 - KEY_BITS)
+
+
+_END, _ALL = np.uint64(0x9A3C6E5D1B7F2048), np.uint64(0x3F84D5B5B5470917)
+
+
+@dataclass
+class Events:
+    """What texts give to count and to score: the words of each, and its end after them."""
+
+    word: np.ndarray  # hashes with the language
+    count: np.ndarray  # of each text; 0 without words
+
+    @classmethod
+    def of(cls, texts: list[bytes], lang: np.ndarray) -> Events:
+        hashes, n_words = [], []
+        for a, b in chunks(texts):
+            h, o = word_hashes(texts[a:b], fold=False)
+            hashes.append(h)
+            n_words.append(np.diff(o))
+        n = np.concatenate([*n_words, np.zeros(0, np.int64)])
+        count = n + (n > 0)
+        ends = np.cumsum(count)[n > 0] - 1
+        of_row = np.repeat(lang, count)
+        word = np.empty(len(of_row), np.uint64)
+        inner = np.ones(len(word), bool)
+        inner[ends] = False
+        word[inner] = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        word[ends] = _END
+        return cls(_salted(word, of_row), count)
+
+    def before(self) -> np.ndarray:
+        """The place of the word before each: before the first, the text's own end."""
+        at = np.arange(-1, len(self.word) - 1)
+        there = self.count > 0
+        ends = np.cumsum(self.count)[there]
+        at[ends - self.count[there]] = ends - 1
+        return at
+
+    def bigrams(self) -> np.ndarray:
+        return mix(self.word[self.before()] * np.uint64(_BASE) + self.word) >> np.uint64(64 - KEY_BITS)
+
+
+def _requests(words: np.ndarray, bigrams: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that a chunk asks for in ascending order, and what place each takes in: words, bigrams, languages."""
+    keys = np.concatenate([words, bigrams, _salted(np.full(len(lang), _ALL), lang)])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], order
+
+
+def _mark(keys: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(mix(keys + np.arange(len(keys), dtype=np.uint64))).astype(np.int64)) if len(keys) else 0
+
+
+def requests(df: DataFrame, parts: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+    """Counts of words, bigrams and languages of each chunk: chunk long, mark long, part int, keys binary, counts binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, known, found = _language(languages), shared.value, np.zeros(GRAMS)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                texts, lang = part.column(1).to_pylist(), place(part.column(2).to_pylist())
-                plain = [_measures(t) for t in texts]
-                n_words, repeated = [], []
-                for a, b in chunks(texts):
-                    h, o = word_hashes(texts[a:b], fold=False)
-                    n_words += np.diff(o).tolist()
-                    repeated += [_repeated(h[i:j]) for i, j in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
-                perplexity: list[float | None] = [None] * len(texts)
-                for x in np.unique(lang).tolist():
-                    own = np.flatnonzero(lang == x).tolist()
-                    for a, b in chunks([texts[i] for i in own]):
-                        code, o = codes([texts[i] for i in own[a:b]])
-                        if not len(code):
-                            continue
-                        distinct = np.flatnonzero(np.bincount(code, minlength=GRAMS)).astype(np.uint32)
-                        found[distinct] = known[x].log_probability(distinct)
-                        sums = np.concatenate([[0.0], np.cumsum(found[code])])
-                        for i, s, e in zip(own[a:b], o[:-1].tolist(), o[1:].tolist(), strict=True):
-                            if e > s:
-                                perplexity[i] = -float(sums[e] - sums[s]) / (e - s)
-                columns = [pa.array(lang, pa.int32()), pa.array(n_words, pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64()), pa.array(perplexity, pa.float64())]
-                yield pa.record_batch([part.column(0), *columns], names)
+        for number, _, texts, lang in _cut(batches, _language(languages)):
+            e = Events.of(texts, lang)
+            texts = None
+            words, n_words = np.unique(e.word, return_counts=True)
+            bigrams, n_bigrams = np.unique(e.bigrams(), return_counts=True)
+            there = np.unique(lang)
+            n_all = np.bincount(lang, weights=e.count)[there].astype(np.int64)
+            keys, order = _requests(words, bigrams, there)
+            counts = np.concatenate([n_words, n_bigrams, n_all])[order]
+            mark = _mark(keys)
+            edges = np.searchsorted(keys, [-(-(p << KEY_BITS) // parts) for p in range(parts + 1)])
+            out = [(p, _pack(np.diff(keys[i:j], prepend=np.uint64(0)), 6), _pack(counts[i:j], 5)) for p, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
+            yield pa.record_batch([pa.array([number] * len(out), pa.int64()), pa.array([mark] * len(out), pa.int64()), pa.array([p for p, _, _ in out], pa.int32()), pa.array([k for _, k, _ in out], pa.binary()), pa.array([c for _, _, c in out], pa.binary())], ["chunk", "mark", "part", "keys", "counts"])
+
+    return _rows(df, id_col, text_col, lang_col).mapInArrow(run, "chunk long, mark long, part int, keys binary, counts binary")
+
+
+def totals(requested: DataFrame) -> DataFrame:
+    """The answers, in the order of the hashes asked for: chunk long, mark long, part int, totals binary."""
+
+    def add(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(_unpack(k, 6)) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([_unpack(c, 5) for c in table.column("counts").to_pylist()])
+        ends = np.cumsum([len(k) for k in keys]).tolist()
+        at = _places(np.concatenate(keys))[2]
+        total = np.bincount(at, weights=counts).astype(np.uint64)
+        answers = [_pack(total[at[i:j]], 5) for i, j in zip([0, *ends], ends, strict=False)]
+        return table.select(["chunk", "mark", "part"]).append_column("totals", pa.array(answers, pa.binary()))
+
+    return requested.groupBy("part").applyInArrow(add, "chunk long, mark long, part int, totals binary")
+
+
+_WITHIN = np.log(np.bincount(_FOLD, minlength=SYMBOLS)[_FOLD])
+
 
+def spelled(texts: list[bytes], model: NgramModel | None, found: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the spelling of each word, and of white space after it: the first two symbols
+    are all alike, as are the bytes that fold to one symbol. ``found`` is room for ``GRAMS`` numbers."""
+    data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0)
+    code, _ = codes([data.tobytes()])
+    sums = np.zeros(len(code) + 1)
+    if model is not None and len(code):
+        distinct = np.flatnonzero(np.bincount(code, minlength=GRAMS)).astype(np.uint32)
+        found[distinct] = model.log_probability(distinct)
+        np.cumsum(found[code], out=sums[1:])
+    within = np.concatenate([[0.0], np.cumsum(_WITHIN[data])])
+    return sums[np.maximum(ends - 2, starts - 1)] - sums[starts - 1] - (within[ends] - within[starts]) - 2 * np.log(SYMBOLS)
+
+
+def _own(text: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+    """How often each event's n-gram is in its own text."""
+    _, _, at, times = _places(text * n + gram)
+    return times[at]
+
+
+def _smoothed(count: np.ndarray, weight: float, log_p: np.ndarray) -> np.ndarray:
+    """The logarithm of a count and so many of a probability, which may be too small for a float."""
+    return np.where(count > 0, np.log(np.maximum(count, 1) + weight * np.exp(log_p)), np.log(weight) + log_p)
+
+
+_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAST_PARTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+    """One row per input row: ``id_col``, lang_no int, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words (long), log_perplexity double (nats a word; null for texts without words)."""
+    shared = df.sparkSession.sparkContext.broadcast(by_language)
     kind = df.schema[id_col].dataType.simpleString()
-    return _rows(df, id_col, text_col, lang_col).mapInArrow(run, f"id {kind}, lang_no int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double").withColumnRenamed("id", id_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, texts, lang in _cut(batches, _language(languages)):
+            whole = np.array([0, len(texts)], np.int32)
+            lists = [ids, pa.array(lang, pa.int32()), pa.array([len(t) for t in texts], pa.int64())]
+            yield pa.record_batch([pa.array([number], pa.int64()), *(pa.ListArray.from_arrays(whole, v) for v in lists), pa.array([pa.Codec("zstd", compression_level=ZSTD_LEVEL).compress(b"".join(texts), asbytes=True)], pa.binary())], ["chunk", "id", "lang_no", "bytes", "texts"])
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        known, found = shared.value, np.zeros(GRAMS)
+        rows = table.combine_chunks()
+        ids, places, sizes = (rows.column(c).combine_chunks().flatten() for c in ("id", "lang_no", "bytes"))
+        lang, ends = np.asarray(places), np.cumsum(np.asarray(sizes)).tolist()
+        data = pa.Codec("zstd").decompress(rows.column("texts")[0].as_py(), ends[-1], asbytes=True) if ends[-1] else b""
+        texts = [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+        e = Events.of(texts, lang)
+        count = e.count
+        spelling = np.full(len(e.word), -np.log(SYMBOLS))
+        inner = np.ones(len(e.word), bool)
+        inner[(np.cumsum(count) - 1)[count > 0]] = False
+        costs = [np.zeros(0)]
+        there = np.unique(lang)
+        for x in there.tolist():
+            own = np.flatnonzero(lang == x)
+            mine = texts[own[0] : own[-1] + 1]
+            costs += [spelled(mine[a:b], known.get(x), found) for a, b in chunks(mine)]
+        spelling[inner] = np.concatenate(costs)
+        plain, repeated = [_measures(t) for t in texts], []
+        for a, b in chunks(texts):
+            h, o = word_hashes(texts[a:b], fold=False)
+            repeated += [_repeated(h[i:j]) for i, j in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
+        texts = data = None
+        columns = [ids, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
+        words, _, word, _ = _places(e.word)
+        bigrams, _, bigram, _ = _places(e.bigrams())
+        keys, order = _requests(words, bigrams, there)
+        answers = answers.sort_by("part")
+        total = np.concatenate([_unpack(t, 5) for t in answers.column("totals").to_pylist()] or [np.zeros(0, np.uint64)]).astype(np.float64)
+        if len(total) != len(keys) or set(answers.column("mark").to_pylist()) != {_mark(keys)}:
+            raise RuntimeError("the input was read in another order the second time: write it to a table first")
+        given = np.empty(len(total))
+        given[order] = total
+        n_word, n_bigram, n_all = np.split(given, [len(words), len(words) + len(bigrams)])
+        text, before = np.repeat(np.arange(len(count)), count), e.before()
+        others = n_word[word] - _own(text, word, max(len(words), 1))
+        log_p = _smoothed(others, WORD, spelling) - np.log((n_all[np.searchsorted(there, lang)] - count)[text] + WORD)
+        log_p = _smoothed(n_bigram[bigram] - _own(text, bigram, max(len(bigrams), 1)), BIGRAM, log_p) - np.log(others[before] + BIGRAM)
+        sums = np.bincount(text, weights=-log_p, minlength=len(count))
+        perplexity = pa.array(sums / np.maximum(count, 1), pa.float64(), mask=count == 0)
+        return pa.table([*columns, perplexity], ["id", "lang_no", *_MEASURES, "log_perplexity"])
+
+    coded = _rows(df, id_col, text_col, lang_col).mapInArrow(run, f"chunk long, id array<{kind}>, lang_no array<int>, bytes array<long>, texts binary")
+    answered = totals(requests(df, parts, id_col, text_col, lang_col, languages))
+    flat = ", ".join(f"{c} long" for c in _MEASURES)
+    return coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, lang_no int, {flat}, log_perplexity double").withColumnRenamed("id", id_col)
 
 
 def bands(measured: DataFrame, below: float = BAND_BELOW, above: float = BAND_ABOVE, least: float = BAND_LEAST) -> dict[int, tuple[float, float]]:
@@ -276,7 +498,8 @@ def bands(measured: DataFrame, below: float = BAND_BELOW, above: float = BAND_AB
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``measure`` with base_failed boolean and kept boolean."""
     by_language = models(count(df, id_col, text_col, lang_col))
-    measured = written(measure(df, by_language, id_col, text_col, lang_col))
+    size = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-size // PART)), id_col, text_col, lang_col))
     limits = bands(measured)
     inside = F.lit(True)
     for x, (low, high) in sorted(limits.items()):
