@@ -124,6 +124,21 @@ def test_word_model_sees_word_order(spark):
     assert sum(got[-1 - r.doc_id] > got[r.doc_id] for r in clean) >= 0.95 * len(clean)
 
 
+def test_rules_reject_junk(spark):
+    rng = np.random.default_rng(9)
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text", "lang")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    digits = " ".join("".join(map(str, rng.integers(0, 10, 7))) for _ in range(200))
+    cyrillic = " ".join("".join(rng.choice(letters, 7)) for _ in range(200))
+    planted = [(-1 - 2 * i - j, t, lang) for i, lang in enumerate(("en", "fr", "de", "es")) for j, t in enumerate((digits[i:], cyrillic[i:]))]
+    rows = quality_rules.judge(docs.unionByName(spark.createDataFrame(planted, docs.schema))).collect()
+    assert not any(r.kept for r in rows if r.doc_id < 0)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
+    marked = [r for r in rows if labels.get(r.doc_id) == 0 and not r.base_failed and sum(map(texts[r.doc_id].count, ("***", "%%%", "$$$", "&&&", "###"))) > 10]
+    assert marked and sum(not r.kept for r in marked) >= 0.5 * len(marked)
+
+
 def test_classifier_on_held_out_labels(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
     rows = queries.op2_quality_classifier(spark, BIG).collect()
