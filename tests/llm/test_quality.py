@@ -124,6 +124,14 @@ def test_word_model_sees_word_order(spark):
     assert sum(got[-1 - r.doc_id] > got[r.doc_id] for r in clean) >= 0.95 * len(clean)
 
 
+def test_languages_come_from_the_data(spark):
+    text = " ".join(f"parola{i % 40} altra{i * i % 97}" for i in range(1000))
+    rows = [(0, text, "it"), (1, text, "it"), (2, text, "en"), (3, text, "en"), (4, text, None), (5, "one two three", "tiny"), (6, None, "it")]
+    got = {r.doc_id: r.lang_no for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[0] == got[1] == got[6] and got[2] == got[3] and got[4] == got[5]
+    assert len({got[0], got[2], got[4]}) == 3
+
+
 def test_rules_reject_junk(spark):
     rng = np.random.default_rng(9)
     docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text", "lang")

@@ -18,7 +18,8 @@ The band of a language lies around the quartiles of its documents' log-perplexit
 from a histogram of all of them.
 
 Defined results: a null or empty text has no words, fails the base rules and has log-perplexity
-null; languages that are not listed (null too) share one model; repeated rows give repeated rows;
+null; null and languages with too little text (LEAST_BYTES) share one model, as do those beyond
+the MOST_LANGUAGES largest; repeated rows give repeated rows;
 an empty table gives no rows; other columns are not read, whatever their names are.
 """
 
@@ -44,6 +45,8 @@ SYMBOLS = 1 << SYMBOL_BITS
 GRAMS = SYMBOLS**ORDER
 BLOCK = 1 << 14
 LANGUAGES = ("en", "fr", "de", "es")
+#: A language of the data has a model with so many bytes of text; so many languages, the largest, have one.
+LEAST_BYTES, MOST_LANGUAGES = 16 << 10, 32
 #: A band reaches so many interquartile ranges below the lower and above the upper quartile, and at
 #: least so far in nats. Set from the labelled rows of sf0.1 outside the held-out fold: none of them,
 #: clean or junk, lies 4 below, where copies are; of 2,573 clean ones 9 lie 1 above, of 228 junk ones 91.
@@ -498,9 +501,13 @@ def bands(measured: DataFrame, below: float = BAND_BELOW, above: float = BAND_AB
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``measure`` with base_failed boolean and kept boolean."""
-    by_language = models(count(df, id_col, text_col, lang_col))
-    size = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-size // PART)), id_col, text_col, lang_col))
+    size = F.sum(F.octet_length(F.col(text_col)))
+    largest = df.groupBy(F.col(lang_col).alias("lang")).agg(F.coalesce(size, F.lit(0)).alias("size")).orderBy(F.desc("size"), "lang")
+    top = largest.limit(MOST_LANGUAGES + 1).collect()
+    languages = tuple(r["lang"] for r in top if r["lang"] is not None and r["size"] >= LEAST_BYTES)[:MOST_LANGUAGES]
+    total = sum(r["size"] for r in top)  # what lies beyond is less than any of these
+    by_language = models(count(df, id_col, text_col, lang_col, languages))
+    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-total // PART)), id_col, text_col, lang_col, languages))
     limits = bands(measured)
     inside = F.lit(True)
     for x, (low, high) in sorted(limits.items()):
