@@ -25,6 +25,7 @@ an empty table gives no rows; other columns are not read, whatever their names a
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -267,6 +268,13 @@ def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return keys[starts], order[starts], at, np.diff(starts, append=len(keys))
 
 
+def _give_back() -> None:
+    """Hands freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Array, list[bytes], np.ndarray]]:
     """Chunks of rows: number, ids, texts and places of the languages, by language."""
     first, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
@@ -288,6 +296,7 @@ def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Arr
                 made, held = chunk(), []
                 yield made
                 made = None
+                _give_back()
                 number, size, begin = number + 1, 0, i
             size += n + 1
         if len(sizes) > begin:
@@ -295,6 +304,8 @@ def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Arr
     if held:
         made, held = chunk(), []
         yield made
+        made = None
+        _give_back()
 
 
 def _salted(h: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
@@ -446,7 +457,7 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         texts = [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
         e = Events.of(texts, lang)
         count = e.count
-        spelling = np.full(len(e.word), -np.log(SYMBOLS))
+        spelling = np.full(len(e.word), -np.log(SYMBOLS), np.float32)
         inner = np.ones(len(e.word), bool)
         inner[(np.cumsum(count) - 1)[count > 0]] = False
         costs = [np.zeros(0)]
@@ -454,13 +465,15 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         for x in there.tolist():
             own = np.flatnonzero(lang == x)
             mine = texts[own[0] : own[-1] + 1]
-            costs += [spelled(mine[a:b], known.get(x), found) for a, b in chunks(mine)]
+            costs += [spelled(mine[a:b], known.get(x), found).astype(np.float32) for a, b in chunks(mine)]
         spelling[inner] = np.concatenate(costs)
+        costs = inner = None
         plain, repeated = [_measures(t) for t in texts], []
         for a, b in chunks(texts):
             h, o = word_hashes(texts[a:b], fold=False)
             repeated += [_repeated(h[i:j]) for i, j in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
-        texts = data = None
+        texts = data = mine = None
+        _give_back()
         columns = [ids, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
         words, _, word, _ = _places(e.word)
         bigrams, _, bigram, _ = _places(e.bigrams())
@@ -471,12 +484,17 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
             raise RuntimeError("the input was read in another order the second time: write it to a table first")
         given = np.empty(len(total))
         given[order] = total
+        keys = order = total = answers = None
         n_word, n_bigram, n_all = np.split(given, [len(words), len(words) + len(bigrams)])
         text, before = np.repeat(np.arange(len(count)), count), e.before()
+        e = None
         others = n_word[word] - _own(text, word, max(len(words), 1))
-        log_p = _smoothed(others, WORD, spelling) - np.log((n_all[np.searchsorted(there, lang)] - count)[text] + WORD)
+        log_p = _smoothed(others, WORD, spelling) - np.log((n_all[np.searchsorted(there, lang)] - count) + WORD)[text]
+        spelling = word = None
         log_p = _smoothed(n_bigram[bigram] - _own(text, bigram, max(len(bigrams), 1)), BIGRAM, log_p) - np.log(others[before] + BIGRAM)
         sums = np.bincount(text, weights=-log_p, minlength=len(count))
+        text = before = others = log_p = bigram = None
+        _give_back()
         perplexity = pa.array(sums / np.maximum(count, 1), pa.float64(), mask=count == 0)
         return pa.table([*columns, perplexity], ["id", "lang_no", *_MEASURES, "log_perplexity"])
 
