@@ -20,6 +20,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veraz.llm.bpe import SPACE, sliced
+from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, joined, sized, spread
 from veraz.llm.token_counts import balanced, tokenizer
 
 MAX_TOKENS = 4096
 OPEN_BINS = 1024
-MEMO_ENTRIES = 500_000
-#: Bytes of ids after which a worker hands its rows back.
-OUT_BYTES = 8 << 20
+# Fixed value: what the last token of a word ends with in the vocabulary.
+WORD_END = "</w>"
 
 
 class Packer:
@@ -71,75 +71,57 @@ class Packer:
         return number
 
 
-class SpaceDroppingEncoder:
-    """Ids by a ``tokenizers`` file that drops white space, word by word with a bounded memo.
-
-    No token crosses white space there, so the ids of a text are those of its words in order.
-    """
-
-    ODD = re.compile("[\x1c-\x1f]")
-    SPLIT = re.compile(f"[{SPACE}]+")
-
-    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
-        self.tokenizer, self.entries = tokenizer(path), entries
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        # str.split() also parts at four control characters that are no white space here.
-        return [w for w in self.SPLIT.split(text) if w] if self.ODD.search(text) else text.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        known, old = self.young, self.old
-        new = {w for words in split for w in words if w not in known}
-        for w in [w for w in new if w in old]:
-            known[w] = old[w]
-            new.discard(w)
-        for batch in balanced(list(new)):
-            for w, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        ids = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > self.entries:
-            self.old, self.young = known, {}
-        return ids
-
-
 @lru_cache(maxsize=4)
-def encoder(path: str) -> SpaceDroppingEncoder:
-    return SpaceDroppingEncoder(path)
+def encoder(path: str) -> PieceMemo:
+    """Ids by a ``tokenizers`` file that drops white space and takes every digit by itself."""
+    t = tokenizer(path)
+    added = [x.content for x in t.get_added_tokens_decoder().values()]
+    vocabulary = t.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    odd = re.compile("|".join(map(re.escape, ["'", *(x[:2] for x in added)])))
+
+    def each(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for batch in balanced(pieces) for e in t.encode_batch_fast(batch, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return counts, np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
+
+    def make(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces that are one word go to the library in one text; its words tell them apart."""
+        texts = [p.decode() for p in pieces]
+        plain = [x for x in texts if x.isascii() and not odd.search(x)]
+        ids = np.array([i for batch in balanced(plain) for i in t.encode(" ".join(batch), add_special_tokens=False).ids], np.uint32)
+        last = np.flatnonzero(ends[ids])
+        if len(last) != len(plain):  # not a file that ends every word with a mark
+            return each(texts)
+        if len(plain) == len(texts):
+            return np.diff(last, prepend=-1), ids
+        other = np.array([not x.isascii() or bool(odd.search(x)) for x in texts])
+        other_counts, other_ids = each([x for x, y in zip(texts, other.tolist(), strict=True) if y])
+        counts = np.empty(len(texts), np.int64)
+        counts[~other], counts[other] = np.diff(last, prepend=-1), other_counts
+        out = np.empty(len(ids) + len(other_ids), np.uint32)
+        of_other = np.repeat(other, counts)
+        out[~of_other], out[of_other] = ids, other_ids
+        return counts, out
+
+    return PieceMemo(Cutter(spaced=False, single_digits=True, added=added), make)
 
 
 def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS, end_id: int = 1, open_bins: int = OPEN_BINS) -> DataFrame:
     """One row per piece: ``id_col``, piece int, start long, length long, ids binary (little-endian
     uint32), sequence_id long, offset long. Sequence numbers are unique, not consecutive."""
-    end = np.array([end_id], "<u4").tobytes()
-    width = 4 * max_tokens
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, first = encoder(path).encode, Packer(max_tokens, open_bins), TaskContext.get().partitionId() << 40
-        keep: list[list] = [[] for _ in range(7)]
-        held = 0
-
-        def rows() -> pa.RecordBatch:
-            types = [id_type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            return pa.record_batch([pa.array(v, t) for v, t in zip(keep, types, strict=True)], ["id", "piece", "start", "length", "ids", "sequence_id", "offset"])
-
-        for batch in sliced(batches):
-            id_type = batch.schema.field(0).type
-            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    number, offset = packer.place(len(part) // 4)
-                    for column, value in zip(keep, (name, piece, at // 4, len(part) // 4, part, first + number, offset), strict=True):
-                        column.append(value)
-                    held += len(part)
-                    if held >= OUT_BYTES:
-                        yield rows()
-                        keep, held = [[] for _ in range(7)], 0
-        if keep[0]:
-            yield rows()
+        memo, packer, first = encoder(path), Packer(max_tokens, open_bins), TaskContext.get().partitionId() << 40
+        for batch in sized(batches, 1):
+            counts, ids = memo.turn(*bytes_of(batch.column(1)))
+            ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            pieces = -(-counts // max_tokens)
+            row, piece = np.repeat(np.arange(len(counts)), pieces), spread(np.zeros(len(counts), np.int64), pieces)
+            length = np.minimum(counts[row] - piece * max_tokens, max_tokens)
+            placed = np.array([packer.place(n) for n in length.tolist()], np.int64).reshape(-1, 2)
+            columns = [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(piece * max_tokens), pa.array(length), joined(ids, 4 * length, pa.binary()), pa.array(first + placed[:, 0]), pa.array(placed[:, 1])]
+            yield pa.record_batch(columns, ["id", "piece", "start", "length", "ids", "sequence_id", "offset"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows_in = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
