@@ -1,33 +1,31 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Texts are split at places where no token can cross (a space before a visible character, or white
-space for tokenizers that drop it), so that a long text never reaches the tokenizer in one piece.
-The split pieces that a worker has not met yet go to the library in batches balanced by bytes;
-the lengths of recent pieces are remembered in a memo of fixed size, as most pieces of a corpus
-repeat. Sentencepiece models get whole lines' worth of text in batches balanced by bytes, without
-splitting, as their pieces depend on what stands before.
+Texts come in slices balanced by bytes and are split where no token can cross: in front of white
+space, and within ASCII words where letters, digits and signs meet (see ``pieces``). A long text
+reaches the tokenizer in one piece only where it has none of these, such as a line of Chinese. Pieces
+that a worker does not remember go to the library in batches balanced by bytes; the lengths of
+recent short pieces are kept in a memo that is bounded in bytes. Sentencepiece models get whole
+texts in batches balanced by bytes, without splitting, as their pieces depend on what stands before.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows give repeated rows;
-other columns of the input are not read, whatever their names are.
+an empty table gives no rows; other columns of the input are not read, whatever their names are.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veraz.llm.bpe import split_safely
+from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, sized
 
 #: Bytes of text that one call of the library gets.
 BATCH_BYTES = 256 << 10
-#: Entries of each of the two generations of the memo.
-MEMO_ENTRIES = 500_000
 
 
 @lru_cache(maxsize=4)
@@ -56,45 +54,19 @@ def balanced(items: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
 
 
 class PieceLengths:
-    """Numbers of tokens by piece, for a ``tokenizers`` file with a byte-level pre-tokenizer."""
-
-    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
-        self.tokenizer, self.entries = tokenizer(path), entries
-        self.young: dict[str, int] = {}
-        self.old: dict[str, int] = {}
-        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-
-    def pieces(self, text: str) -> list[str]:
-        """Strings of added tokens stand alone, so that no split falls inside of one."""
-        if self.special is None or not self.special.search(text):
-            return split_safely(text)
-        return [p for k, part in enumerate(self.special.split(text)) for p in ([part] if k % 2 else split_safely(part))]
-
-    def count(self, texts: list[str]) -> list[int]:
-        counts = []
-        block, size = [], 0
-        for t in texts:
-            block.append(t)
-            size += len(t)
-            if size >= 16 * BATCH_BYTES:
-                counts += self._count(block)
-                block, size = [], 0
-        return counts + (self._count(block) if block else [])
-
-    def _count(self, texts: list[str]) -> list[int]:
-        split = [self.pieces(t) for t in texts]
-        known, old = self.young, self.old
-        new = {p for pieces in split for p in pieces if p not in known}
-        for p in [p for p in new if p in old]:
-            known[p] = old[p]
-            new.discard(p)
-        for batch in balanced(list(new)):
-            known.update(zip(batch, map(len, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)), strict=True))
-        counts = [sum(map(known.__getitem__, pieces)) for pieces in split]
-        if len(known) > self.entries:
-            self.old, self.young = known, {}
-        return counts
+    """Numbers of tokens of texts, for a ``tokenizers`` file with a byte-level pre-tokenizer."""
+
+    def __init__(self, path: str, **bounds: int):
+        self.tokenizer = tokenizer(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memo = PieceMemo(Cutter(spaced=True, single_digits=False, added=added), self._make, **bounds)
+
+    def _make(self, pieces: list[bytes]) -> tuple[np.ndarray, None]:
+        encoded = (e for batch in balanced([p.decode() for p in pieces]) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False))
+        return np.fromiter(map(len, encoded), np.int64, len(pieces)), None
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        return self.memo.turn(*bytes_of(texts))[0]
 
 
 class PieceModelLengths:
@@ -105,8 +77,8 @@ class PieceModelLengths:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def count(self, texts: list[str]) -> list[int]:
-        return [n for batch in balanced(texts) for n in map(len, self.model.encode(batch, num_threads=1))]
+    def count(self, texts: pa.Array) -> np.ndarray:
+        return np.array([n for batch in balanced(texts.to_pylist()) for n in map(len, self.model.encode(batch, num_threads=1))], np.int64)
 
 
 @lru_cache(maxsize=4)
@@ -119,8 +91,8 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = make(path)
-        for batch in batches:
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(lengths.count(batch.column(1).to_pylist()), pa.int64())], ["id", "n_bytes", "n_tokens"])
+        for batch in sized(batches, 1):
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(lengths.count(batch.column(1)))], ["id", "n_bytes", "n_tokens"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
