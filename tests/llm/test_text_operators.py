@@ -47,14 +47,6 @@ def test_bpe_equals_the_library(spark, documents, odd):
     assert bpe.encode(odd.limit(0), BYTE).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.sampled_from(" \n\t'saéŻ漢<|>1२  \x1f\x85."), max_size=40))
-def test_bpe_of_any_text(text):
-    ids = token_counts.tokenizer(BYTE).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(bpe.codec(BYTE).encode(text), "<u4").tolist() == ids
-    assert token_counts.counter(BYTE).count([text]) == [len(ids)]
-
-
 def test_token_counts(spark, documents, odd):
     t = Tokenizer.from_file(BYTE)
     for df in (documents, odd):

@@ -4,12 +4,12 @@ Every pre-token is encoded with a priority queue of merge ranks over a doubly li
 symbols; queue entries whose symbols have changed since they were pushed are stale and skipped.
 Decoding concatenates the byte strings of the vocabulary.
 
-The vocabulary file is read from a path given as a parameter, once in every Python worker.
-Finished pre-tokens are remembered in a cache with a fixed number of entries, so memory does not
-grow with the corpus.
+The vocabulary file is read from a path given as a parameter, once in every Python worker. Texts
+are cut into pre-tokens for whole batches at once, and those that have been merged are remembered
+in a memo that is bounded in bytes (see ``pieces``), so memory does not grow with the corpus.
 
-Defined results: a null text is encoded as the empty text; an empty text gives no ids; repeated
-rows give repeated rows; other columns of the input are not read, whatever their names are.
+Defined results: a null text is encoded as the empty text; an empty text gives no ids; null ids
+decode to the empty text; repeated rows give repeated rows; an empty table gives no rows; other columns of the input are not read, whatever their names are.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,33 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, joined, sized, spread
+
 # The published pre-token pattern of byte-level BPE, with white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-#: Entries of one generation of a cache; two generations live at a time.
-CACHE_ENTRIES = 150_000
-#: Rows that a worker turns at a time.
-SLICE_ROWS = 512
-
-
-class GenerationCache(dict):
-    """A memo of bounded size: a full generation becomes the old one, hits in it are carried over."""
-
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
-        super().__init__()
-        self.make, self.entries, self.old = make, entries, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.entries:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: printable
@@ -79,14 +59,18 @@ class BpeCodec:
             self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*vocab.values(), *self.added.values()]) + 1
-        self.strings = [b""] * size
+        strings = [b""] * size
         for token, i in {**vocab, **self.added}.items():
-            self.strings[i] = bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
+            strings[i] = bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
         self.pattern = regex.compile(PRETOKEN)
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
-        self.words = GenerationCache(self._encode_pretoken)
-        self.pieces = GenerationCache(self._encode_piece, CACHE_ENTRIES // 2)
+        self.odd = re.compile(b"|".join(map(re.escape, [b"'", *(t.encode()[:2] for t in self.added)])))
+        # The strings one after the other, and the place and length of each.
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+        self.length = np.array([len(x) for x in strings])
+        self.place = np.cumsum(self.length) - self.length
+        self.memo = PieceMemo(Cutter(spaced=True, single_digits=False, added=list(self.added)), self._make)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -116,47 +100,26 @@ class BpeCodec:
                 heapq.heappush(heap, (found[0], h, ids[h], merged, found[1]))
         return [i for i in ids if i >= 0]
 
-    def _encode_pretoken(self, word: str) -> bytes:
-        return np.array(self.merge(word.encode()), "<u4").tobytes()
-
-    def _encode_piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(piece)))
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers. Strings of added tokens
-        inside the text become those tokens."""
-        if self.special is None:
-            return self._encode_ordinary(text)
-        out = []
-        for k, part in enumerate(self.special.split(text)):
-            out.append(np.array([self.added[part]], "<u4").tobytes() if k % 2 else self._encode_ordinary(part))
-        return b"".join(out)
-
-    def _encode_ordinary(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, split_safely(text)))
-
-    def decode(self, ids: bytes) -> str:
-        strings = self.strings
-        return b"".join([strings[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
-
-
-_SAFE = re.compile(r" (?=\S)")
-
-
-def split_safely(text: str) -> list[str]:
-    """Pieces of a text whose encodings, put together, are that of the text.
+    def _make(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self._encode_piece(p) for p in pieces]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return counts, np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
 
-    A pre-token begins at every space before a visible character: letters, digits and signs take
-    one leading space, and a run of white space leaves its last space to what follows.
-    """
-    head, *rest = _SAFE.split(text)
-    return [head, *(" " + x for x in rest)] if head else [" " + x for x in rest]
+    def _encode_piece(self, piece: bytes) -> list[int]:
+        """Strings of added tokens inside a piece become those tokens."""
+        if piece.isascii() and not self.odd.search(piece):
+            return self.merge(piece)  # cut where a pre-token begins and ends
+        parts = self.special.split(piece.decode()) if self.special else [piece.decode()]
+        return [i for k, part in enumerate(parts) for i in ([self.added[part]] if k % 2 else [i for word in self.pattern.findall(part) for i in self.merge(word.encode())])]
 
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all ids in order."""
+        return self.memo.turn(data, offsets)
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, batch.num_rows, rows):
-            yield batch.slice(k, rows)
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many bytes each id stands for, and all bytes in order."""
+        length = self.length[ids]
+        return length, self.bytes[spread(self.place[ids], length)]
 
 
 @lru_cache(maxsize=4)
@@ -169,9 +132,9 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in sliced(batches):
-            ids = [bpe.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+        for batch in sized(batches, 1):
+            counts, ids = bpe.encode(*bytes_of(batch.column(1)))
+            yield pa.record_batch([batch.column(0), pa.array(counts), joined(ids, 4 * counts, pa.binary())], ["id", "n_tokens", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -183,9 +146,16 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in sliced(batches):
-            texts = [bpe.decode(x) for x in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in batch.column(1).to_pylist()], pa.int64()), batch.column(1), pa.array(texts, pa.string())], ["id", "n_tokens", "ids", "text"])
+        for batch in sized(batches, 1):
+            data, offsets = bytes_of(batch.column(1))
+            sizes, text = bpe.decode(data.view("<u4"))
+            places = np.concatenate([[0], np.cumsum(sizes)])[offsets // 4]
+            texts = joined(text, np.diff(places), pa.string())
+            try:
+                texts.validate(full=True)
+            except pa.ArrowInvalid:  # ids that don't spell UTF-8
+                texts = pa.array([x.decode("utf-8", "replace") for x in joined(text, np.diff(places), pa.binary()).to_pylist()], pa.string())
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(offsets) // 4), batch.column(1), texts], ["id", "n_tokens", "ids", "text"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
