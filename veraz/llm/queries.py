@@ -94,7 +94,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sharded = sharding.shard(_documents(spark, sf_dir).select("doc_id", "text"), 40)
+    sharded = sharding.stored(sharding.shard(_documents(spark, sf_dir).select("doc_id", "text"), 40))
     return sharded.select(
         "doc_id",
         sharding.record_size("text").alias("size"),

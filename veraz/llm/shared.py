@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where it names none, as in
-    tests on one machine, a temporary folder that becomes the session's checkpoint folder."""
+    """The folder that the cluster names in spark.checkpoint.dir. Only on one machine, as in tests,
+    a temporary folder stands in and becomes the session's checkpoint folder."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
         context.setCheckpointDir(named)
     return named
@@ -25,12 +27,29 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _where(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    where, system = _where(spark, path)
+    system.deleteOnExit(where)
+
+
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The same rows, written now as Parquet in the shared folder, deleted when the driver ends.
-    Compressed columns take less room than checkpoint() needs for large rows."""
+    """The same rows, written now as Parquet in the shared folder, deleted when the driver ends or by
+    ``drop``. Compressed columns take less room than checkpoint() needs for large rows."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table made by ``written``; nothing may read it afterwards."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        where, system = _where(spark, folder)
+        system.delete(where, True)
