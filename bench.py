@@ -39,8 +39,7 @@ def main() -> None:
         run = lambda f=catalogue.QUERIES[name]: f(spark, SF).write.format("noop").mode("overwrite").save()
         run()  # to warm up
         times[name] = round(statistics.median(seconds(run) for _ in range(RUNS)), 3)
-    catalogue.bench_checksum(spark, SF)  # registers the benchmark's views
-    strategies = benchmark.compare(spark, {k: f"_veraz_{k}" for k in benchmark.TABLES}, RUNS)
+    strategies = benchmark.compare(spark, catalogue.benchmark_tables(spark, SF), RUNS)
     times |= {f"strategy_{k}": round(v, 3) for k, v in strategies.items()}
     print(json.dumps({"metric": "headline queries, sum of medians", "value": round(sum(times[n] for n in HEADLINE), 3), "unit": "sec", "queries": times, "sf": os.path.basename(SF.rstrip("/"))}))
     spark.stop()

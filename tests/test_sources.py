@@ -4,11 +4,14 @@ import gzip
 import hashlib
 import io
 import json
+import tomllib
 import zipfile
+from pathlib import Path
 from urllib.error import HTTPError
 
 import pytest
 
+from veraz.operators import context, gold, quality
 from veraz.plans import benchmark, catalogue
 from veraz.sources import collect, files, tables
 from veraz.streaming import ingest
@@ -162,12 +165,139 @@ def test_streamed_ingest_loads_once(spark, tmp_path):
 
 
 def test_benchmark(spark):
-    catalogue.bench_checksum(spark, "/root/testdata/sf0.001")
-    views = {k: f"_veraz_{k}" for k in benchmark.TABLES}
-    assert set(benchmark.compare(spark, views, 1)) == set(benchmark.STRATEGIES)
-    assert "BROADCAST(d, o, r)" in benchmark.checksum_sql("broadcast", "x") and "Physical Plan" in benchmark.explain(spark, benchmark.checksum_sql("merge", "x", views))
-    for strategy, label in (("other", "x"), ("natural", "x; drop")):
+    tables_ = catalogue.benchmark_tables(spark, "/root/testdata/sf0.001")
+    assert set(benchmark.compare(spark, tables_, 1)) == set(benchmark.STRATEGIES)
+    assert "BroadcastHashJoin" in benchmark.plan_text(benchmark.grouped(tables_, "broadcast")) and "SortMergeJoin" in benchmark.plan_text(benchmark.grouped(tables_, "merge"))
+    with pytest.raises(ValueError):
+        benchmark.grouped(tables_, "x")
+    for label in ("", "-x", "X", "a" * 65, "a b", "a;b"):
         with pytest.raises(ValueError):
-            benchmark.checksum_sql(strategy, label)
+            benchmark.checked_label(label)
+    assert benchmark.checked_label("a-1") == "a-1"
+    with pytest.raises(ValueError):
+        benchmark.fingerprint([(1,)])
+    order = benchmark.protocol(3, ("a", "b"))
+    assert order == [(0, "a"), (0, "b"), (1, "b"), (1, "a"), (2, "a"), (2, "b"), (3, "b"), (3, "a")]
+
+
+def test_provenance_of_names_with_blanks_and_accents(spark, tmp_path):
+    manifests = []
+    for n, folder in enumerate(("um ano", "dois")):
+        (tmp_path / folder).mkdir()
+        p = tmp_path / folder / "x-itens-ação 2025.csv"
+        p.write_text(f"a\n{n}\n")
+        manifests.append({"arquivo": str(p), "source_file_id": f"f{n}", "run_id": "r"})
+    out = files.read_with_provenance(spark, manifests, "itens")
+    assert sorted((r.a, r._source_file_id, r._run_id, r._dataset_origem) for r in out.collect()) == [("0", "f0", "r", "itens"), ("1", "f1", "r", "itens")]
+    with pytest.raises(ValueError, match="listed twice"):
+        files.read_with_provenance(spark, [*manifests, manifests[0]], "itens")
+
+
+def test_json_and_tables(spark, tmp_path):
+    (tmp_path / "m.json").write_text(json.dumps([{"id": 1, "nome": "A", "microrregiao": {"mesorregiao": {"UF": {"sigla": "SP", "regiao": {"sigla": "SE"}}}}}], indent=1))
+    assert [tuple(r) for r in context.municipalities(files.read_json(spark, str(tmp_path / "m.json"))).collect()] == [("1", "A", "SP", "SE")]
+    index = spark.createDataFrame([("Mês (Código)", "Valor"), ("202601", "100.5"), ("202602", "...")], "D3C string, V string")
+    assert [(r.competencia, float(r.numero_indice)) for r in context.price_index(index).collect()] == [("202601", 100.5)]
+    spark.sql(f"create database if not exists t2 location '{tmp_path}/t2'")
+    tables.ensure_schema(spark, "t2")
+    tables.as_view(spark.range(3), "_three")
+    tables.create_as(spark, "t2.n", "select id from _three")
+    assert files.read_table(spark, "t2", "n").count() == 3 and tables.exists(spark, "t2.n") and not tables.exists(spark, "t2.x")
+    with pytest.raises(ValueError):
+        files.read_table(spark, "t2", "n; drop")
+    assert tables.append_merged(spark.createDataFrame([(7, "x")], "id long, s string"), "t2.n") == ["s"]
+    assert tables.append_merged(spark.range(1), "t2.n") == [] and tables.columns_of(spark, "t2.n") == ["id", "s"]
+    assert sorted((r.id, r.s) for r in spark.table("t2.n").collect() if r.s or r.id == 2) == [(2, None), (7, "x")]
+    detail = tables.physical(spark.table("t2.n")).first()
+    assert detail.arquivos >= 2 and detail.bytes > 0 and detail.alterado_em
+    with pytest.raises(ValueError, match="repeats a key"):
+        tables.upsert(spark.range(1), spark.range(1).union(spark.range(1)), ["id"])
+    spark.sql("drop database t2 cascade")
+
+
+def test_a_failed_swap_keeps_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(2), path)
+    real = tables._rename
+    for part in (".new-", "/t"):
+        monkeypatch.setattr(tables, "_rename", lambda spark, old, new, part=part: False if part in old[len(str(tmp_path)) :] and (part != "/t" or old == path) else real(spark, old, new))
+        with pytest.raises(OSError):
+            tables.replace(spark.range(5), path)
+        assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def _zipped(path, rows):
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("a.csv", "\n".join(";".join(f'"{c}"' for c in r) for r in rows).encode("latin-1"))
+
+
+def test_registries_keep_suppliers_only_and_no_persons(spark, tmp_path):
+    suppliers = spark.createDataFrame([("12.345.678/0001-99",), ("123.456.789-01",), (None,), ("",)], "identificador_publico string")
+    _zipped(tmp_path / "Empresas0.zip", [["12345678", "Ação SA", "2062", "49", "1000,00", "03"], ["99999999", "Outra", "1", "1", "1", "1", "x"]])
+    (c,) = context.company_registry(spark, str(tmp_path / "Empresas*.zip"), suppliers).collect()
+    assert (c.razao_social, c.ente_federativo_responsavel) == ("Ação SA", "")
+    partner = ["12345678", "2", "FULANO DE TAL", "***123456**", "49", "20200101", "105", "***000000**", "BELTRANO", "05", "4"]
+    for k in range(2):
+        _zipped(tmp_path / f"Socios{k}.zip", [partner, ["99999999", *partner[1:]]])
+    found = context.partner_registry(spark, str(tmp_path / "Socios*.zip"), suppliers)
+    assert {tuple(r)[1:] for r in found.collect()} == {("12345678", "2", "49", "20200101", "105", "05", "4")} and len({r.registro_origem_id for r in found.collect()}) == 2
+    assert not {"FULANO DE TAL", "BELTRANO", "***123456**"} & {v for r in found.collect() for v in r}
+    line = [f"c{i}" for i in range(24)]
+    line[1], line[3], line[4] = "99", "12.345.678/0001-99", "NOME"
+    _zipped(tmp_path / "ceis.zip", [[f"campo{i}" for i in range(24)], line, [*line[:3], "1", *line[4:]]])
+    _zipped(tmp_path / "cnep.zip", [[f"campo{i}" for i in range(25)], [*line[:10], "5,00", *line[10:]]])
+    ceis, cnep = (context.sanction_registry(spark, str(tmp_path / f"{k.lower()}.zip"), k, suppliers).collect() for k in ("CEIS", "cnep"))
+    want = ("99", "12345678000199", "c9", "c10", "c11", "c12", "c16", "c17", "c18", "c19", "c21")
+    for name, fine, (r,) in (("CEIS", "", ceis), ("CNEP", "5,00", cnep)):
+        assert (r.cadastro, r.valor_multa) == (name, fine) and tuple(r[c] for c in context.SANCTION_PLACES) == want and r.__fields__ == list(context.SANCTION_FIELDS)
     with pytest.raises(ValueError):
-        benchmark.canonical([(1,)])
+        context.sanction_registry(spark, "x", "outra", suppliers)
+
+
+def test_catalogues_are_downloaded_once(tmp_path):
+    asked = []
+
+    def open_url(request, timeout):
+        asked.append(request.full_url)
+        return Response(b"x\n1\n")
+
+    catalogue_ = {k: {"url": f"http://x/{k}", "arquivo": f"{k}.csv", "sistema": "s", "dataset": "d", "ano": "2026"} for k in "abc"}
+    assert set(collect.download_all(catalogue_, tmp_path, "r", open_url=open_url).values()) == {"baixado"}
+    assert set(collect.download_all(catalogue_, tmp_path, "r", open_url=open_url).values()) == {"existente"} and len(asked) == 3
+
+
+def test_capabilities_and_attempts(tmp_path):
+    def open_url(request, timeout):
+        if "historico" in request.full_url:
+            raise HTTPError(request.full_url, 404, "x", {}, io.BytesIO(b"{}"))
+        return Response(b'{"data": [{}]}' if "termos" in request.full_url else b'{"numero": 1}')
+
+    out = collect.measure_capabilities([collect.Control.of("12345678000190-1-1/2026")], tmp_path / "c", "r", "http://x", open_url=open_url)
+    assert (out["contratos"], out["detalhe"], out["historico"], out["termos"]) == (1, 1, 0, 1)
+    got = collect.get("http://x", open_url=lambda *a, **k: Response(b"{}"))
+    assert [(a["numero"], a["status_http"]) for a in collect.attempts_as_rows(got)] == [(1, 200)]
+
+
+def test_missing_events_and_counts(spark):
+    """Contracts without events, and files without counts."""
+    contracts = spark.createDataFrame([("1", "o", "f", "2026-01-01", "2026-12-31", 1.0, 1.0)], "contrato_id string, orgao_codigo string, fornecedor_id string, vigencia_inicio string, vigencia_fim string, valor_inicial double, valor_global double")
+    events = spark.createDataFrame([], "evento_contrato_id string, contrato_id string, tipo_evento string, data_assinatura string, vigencia_fim string, variacao_valor double")
+    (r,) = gold.contract_evolution(contracts, events).collect()
+    assert (r.eventos_distintos, r.variacao_valor_acumulada, r.extensao_vigencia_dias, r.ultimo_evento_em) == (0, 0.0, 0, None)
+    assert context.contract_coverage(contracts, events, events).first().cobertura_eventos == 0.0
+    artifacts = spark.createDataFrame([("a", -1), ("b", -1)], "source_file_id string, total_linhas long")
+    counts = quality.row_counts(spark.createDataFrame([("a",), ("a",)], "_source_file_id string"))
+    assert sorted(map(tuple, quality.backfill_counts(artifacts, counts).collect())) == [("a", 2), ("b", -1)]
+
+
+def test_shares_of_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0)], "k string, v double")
+    assert sorted((str(r.k), r.s) for r in gold.with_share(df, "v", ("k",), "s").collect()) == [("None", 1.0), ("a", 0.25), ("a", 0.75)]
+
+
+def test_workers_can_import_the_package():
+    """The build names every package, so that it can be installed on a cluster."""
+    root = Path(__file__).resolve().parents[1]
+    spec = tomllib.loads((root / "pyproject.toml").read_text())
+    assert spec["project"]["name"] == "veraz" and spec["tool"]["setuptools"]["packages"]["find"]["include"] == ["veraz*"]
+    assert all((p.parent / "__init__.py").exists() for p in (root / "veraz").rglob("*.py"))

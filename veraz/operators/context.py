@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veraz.functions.expr import digits, optional, text
+from veraz.functions.expr import digits, optional, ratio, text
 from veraz.operators.versioning import latest
+from veraz.sources.files import read_zipped_csv
+
+# The columns of the company registry; of the partner registry, those that are kept and their places
+# among its eleven (names and numbers of persons are in the others); of the sanction lists, the places from 0.
+# CNEP has the fine in place 10, so that everything from there on stands one place further than in CEIS.
+COMPANY_FIELDS = ("cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social", "porte_empresa", "ente_federativo_responsavel")
+PARTNER_WIDTH = 11
+PARTNER_PLACES = {"cnpj_basico": 0, "tipo_socio": 1, "qualificacao_socio": 4, "data_entrada_sociedade": 5, "pais": 6, "qualificacao_representante": 9, "faixa_etaria": 10}
+SANCTION_WIDTH = {"CEIS": 24, "CNEP": 25}
+SANCTION_PLACES = {
+    "codigo_sancao": 1, "cnpj_sancionado": 3, "categoria_sancao": 9, "data_inicio_sancao": 10, "data_final_sancao": 11, "data_publicacao": 12,
+    "abrangencia_sancao": 16, "orgao_sancionador": 17, "uf_orgao_sancionador": 18, "esfera_orgao_sancionador": 19, "data_origem_informacao": 21,
+}
+SHIFTED_FROM, FINE_PLACE = 10, 10
+SANCTION_FIELDS = ("cadastro", "codigo_sancao", "cnpj_sancionado", "categoria_sancao", "valor_multa", "data_inicio_sancao", "data_final_sancao", "data_publicacao", "abrangencia_sancao", "orgao_sancionador", "uf_orgao_sancionador", "esfera_orgao_sancionador", "data_origem_informacao")
 
 ZERO_FILLED = ("registros_socios", "socios_pessoa_juridica", "socios_pessoa_fisica", "socios_estrangeiros", "sancoes_distintas", "sancoes_ceis", "sancoes_cnep")
 
@@ -69,6 +84,69 @@ def minimised(raw: DataFrame, wanted: DataFrame, key: str, keep: list[str], leng
     return rows.join(wanted.select(F.substring(digits(F.col(wanted.columns[0])), 1, length).alias(key)).distinct(), key, "left_semi")
 
 
+def _placed(width: int, places: dict[str, int]) -> list[str]:
+    """Names for all columns of a headerless file: those that are kept by name, the others by place."""
+    names = {i: c for c, i in places.items()}
+    return [names.get(i, f"_{i}") for i in range(width)]
+
+
+def _whole_numbers(suppliers: DataFrame, column: str, length: int) -> DataFrame:
+    """The distinct beginnings of 14-digit public numbers; others, such as those of persons, are left out."""
+    return with_digits(suppliers.select(F.col(column).alias("cnpj")), "cnpj", 14).select(F.substring("cnpj", 1, length).alias("cnpj")).distinct()
+
+
+def company_registry(spark: SparkSession, path: str, suppliers: DataFrame, column: str = "identificador_publico") -> DataFrame:
+    """Companies of the suppliers, from zipped registry files (seven columns, no header)."""
+    rows = read_zipped_csv(spark, path, list(COMPANY_FIELDS), list(COMPANY_FIELDS))
+    return rows.join(_whole_numbers(suppliers, column, 8), rows["cnpj_basico"] == F.col("cnpj"), "left_semi")
+
+
+def partner_registry(spark: SparkSession, path: str, suppliers: DataFrame, column: str = "identificador_publico") -> DataFrame:
+    """Partners of the suppliers, from zipped registry files (eleven columns, no header). Names and
+    numbers of persons don't leave the reader. registro_origem_id tells the rows apart by what is kept."""
+    keep = list(PARTNER_PLACES)
+    rows = read_zipped_csv(spark, path, _placed(PARTNER_WIDTH, PARTNER_PLACES), keep, number="registro_origem_id")
+    kept = rows.join(_whole_numbers(suppliers, column, 8), rows["cnpj_basico"] == F.col("cnpj"), "left_semi")
+    return kept.select("registro_origem_id", *keep)
+
+
+def sanction_registry(spark: SparkSession, path: str, listed_in: str, suppliers: DataFrame, column: str = "identificador_publico") -> DataFrame:
+    """Sanctions of the suppliers, from a zipped list with a header; CNEP adds a fine, which CEIS hasn't.
+    Names don't leave the reader."""
+    name = listed_in.upper()
+    if name not in SANCTION_WIDTH:
+        raise ValueError(f"not a list of sanctions: {listed_in}")
+    shift = int(name == "CNEP")
+    places = {c: i + shift * (i >= SHIFTED_FROM) for c, i in SANCTION_PLACES.items()} | ({"valor_multa": FINE_PLACE} if shift else {})
+    rows = read_zipped_csv(spark, path, _placed(SANCTION_WIDTH[name], places), list(places), header=True)
+    own = rows.withColumns({"cnpj_sancionado": digits(F.col("cnpj_sancionado")), "cadastro": F.lit(name)})
+    if not shift:
+        own = own.withColumn("valor_multa", F.lit(""))
+    return own.join(_whole_numbers(suppliers, column, 14), F.col("cnpj_sancionado") == F.col("cnpj"), "left_semi").select(*SANCTION_FIELDS)
+
+
+def index_factor(index: DataFrame, reference: str) -> DataFrame:
+    """The price index with the factor to its highest value and the period that is named as reference."""
+    return price_factor(index).withColumn("periodo_referencia", F.lit(reference))
+
+
+def coverage_share(counted: DataFrame, part: str, whole: str, name: str) -> DataFrame:
+    """Adds a share of two counts, 0.0 without any."""
+    return counted.withColumn(name, ratio(F.col(part), F.col(whole)))
+
+
+def linked_share(asked: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    """One row: how many keys were asked for (consultadas), how many have a link (com_vinculo) and their share."""
+    marks = linked.select(key).distinct().withColumn("_linked", F.lit(1))
+    counted = asked.select(key).join(marks, key, "left").agg(F.count("*").alias("consultadas"), F.count("_linked").alias("com_vinculo"))
+    return coverage_share(counted, "com_vinculo", "consultadas", "taxa_vinculo")
+
+
+def tallied(rows: DataFrame, kinds: dict[str, Column], whole: str = "consultas", distinct: dict[str, str] | None = None) -> DataFrame:
+    """One row: all rows, those of each kind, and distinct values of columns."""
+    return rows.agg(F.count("*").alias(whole), *(F.count_if(c).alias(n) for n, c in kinds.items()), *(F.count_distinct(c).alias(n) for n, c in (distinct or {}).items()))
+
+
 def price_factor(index: DataFrame, value: str = "numero_indice", reference: str | None = None, period: str = "competencia") -> DataFrame:
     """Adds fator_para_referencia: the index of the reference period (or the highest) over each index."""
     basis = index.where(F.col(period) == reference) if reference else index

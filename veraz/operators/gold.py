@@ -27,6 +27,14 @@ def distinct_if(condition: Column, value: str) -> Column:
     return F.count_distinct(F.when(condition, F.col(value)))
 
 
+def with_share(rows: DataFrame, value: str, keys: tuple[str, ...], name: str) -> DataFrame:
+    """Adds the share of each row's value in the sum of its group. The sums are aggregated and joined
+    back, so that a large group doesn't gather in one task; null keys are one group."""
+    sums = rows.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.sum(value).alias("_sum"))
+    same = [rows[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return rows.join(sums, same).withColumn(name, F.col(value) / F.col("_sum")).select(*rows.columns, name)
+
+
 def published(df: DataFrame, limitation: str | None = None, masked_total: bool = False) -> DataFrame:
     columns = {"status_publicacao": F.lit("publicada")}
     if masked_total:
@@ -41,9 +49,13 @@ def monetary_eligibility(awards: DataFrame) -> DataFrame:
     count with partial aggregation, joined back."""
     require(awards, "resultado_id", "quantidade_homologada", "valor_unitario_homologado", "valor_total_homologado")
     total, quantity, unit = F.col("valor_total_homologado"), F.col("quantidade_homologada"), F.col("valor_unitario_homologado")
-    # Null ids count as one id, as they would in a window.
-    repeated = awards.groupBy("resultado_id").count().where("count > 1").select(F.col("resultado_id").alias("_id"), F.lit(True).alias("_twice"))
-    marked = awards.join(repeated, F.col("resultado_id").eqNullSafe(F.col("_id")), "left")
+    # Rows with null ids are spread by their contents, so that they don't meet in one task; they count
+    # as one id, as they would in a window.
+    spread = F.when(F.col("resultado_id").isNull(), F.xxhash64(*(c for c in awards.columns if c != "resultado_id"))).otherwise(F.lit(0).cast("long"))
+    repeated = awards.where(F.col("resultado_id").isNotNull()).groupBy("resultado_id").count().where("count > 1").select("resultado_id", F.lit(0).cast("long").alias("_salt"), F.lit(True).alias("_twice"))
+    nameless = awards.agg((F.count_if(F.col("resultado_id").isNull()) > 1).alias("_nameless"))
+    marked = awards.withColumn("_salt", spread).join(repeated, ["resultado_id", "_salt"], "left").crossJoin(F.broadcast(nameless))  # one row
+    marked = marked.withColumn("_twice", F.when(F.col("resultado_id").isNull(), F.col("_nameless")).otherwise(F.col("_twice")))
     reason = first_reason([
         ("resultado_duplicado", F.col("_twice")),
         ("quantidade_homologada_invalida", quantity.isNull() | (quantity <= 0)),
@@ -51,7 +63,7 @@ def monetary_eligibility(awards: DataFrame) -> DataFrame:
         ("valor_total_homologado_invalido", total.isNull() | (total <= 0)),
         ("total_diverge_quantidade_vezes_unitario", F.abs(total - quantity * unit) > F.greatest(F.lit(0.01), F.abs(total) * 0.01)),
     ])
-    return marked.withColumn("motivo_inelegibilidade_monetaria", reason).withColumn("elegivel_monetario", F.col("motivo_inelegibilidade_monetaria").isNull()).drop("_id", "_twice")
+    return marked.withColumn("motivo_inelegibilidade_monetaria", reason).withColumn("elegivel_monetario", F.col("motivo_inelegibilidade_monetaria").isNull()).select(*awards.columns, "motivo_inelegibilidade_monetaria", "elegivel_monetario")
 
 
 def latest_rules(quality: DataFrame) -> DataFrame:
@@ -63,26 +75,33 @@ def latest_rules(quality: DataFrame) -> DataFrame:
 def quality_coverage(items: DataFrame, awards: DataFrame, procurements: DataFrame, links: DataFrame, quality: DataFrame) -> DataFrame:
     """Coverage of items by period, method and category, and the latest operational rules. Cancelled
     awards count here."""
-    per_item = awards.groupBy("item_id").agg(F.count_distinct("resultado_id").alias("resultados"), distinct_if(F.col("fornecedor_id").isNotNull(), "resultado_id").alias("resultados_com_fornecedor"))
-    base = items.join(procurements.select("contratacao_id", "publicado_em", "modalidade_id", "modalidade"), "contratacao_id", "left").join(links.select("contratacao_id", "orgao_id"), "contratacao_id", "left").join(per_item, "item_id", "left")
+    # Distinct counts in two steps: one row for each award and item, then sums.
+    once = awards.groupBy("item_id", "resultado_id").agg(F.max(F.col("fornecedor_id").isNotNull().cast("int")).alias("_com"))
+    per_item = once.where(F.col("resultado_id").isNotNull()).groupBy("item_id").agg(F.count("*").alias("resultados"), F.sum("_com").alias("resultados_com_fornecedor"))
+    base = items.select("item_id", "contratacao_id", "categoria_tecnologia", "unidade_medida", "quantidade", "valor_unitario_estimado")
+    base = base.join(procurements.select("contratacao_id", "publicado_em", "modalidade_id", "modalidade"), "contratacao_id", "left").join(links.select("contratacao_id", "orgao_id"), "contratacao_id", "left").join(per_item, "item_id", "left")
     base = base.withColumns({
         "periodo": F.coalesce(period("publicado_em"), F.lit("nao_informado")),
         "modalidade_id": F.coalesce("modalidade_id", F.lit("nao_informada")),
         "modalidade": F.coalesce("modalidade", F.lit("Nao informada")),
         "categoria_tecnologia": F.coalesce("categoria_tecnologia", F.lit(UNKNOWN)),
     })
-    zero = F.lit(0)
-    covered = base.groupBy("periodo", "modalidade_id", "modalidade", "categoria_tecnologia").agg(
-        F.count_distinct("item_id").alias("total_itens"),
-        distinct_if(F.col("resultados") > 0, "item_id").alias("itens_com_resultado"),
-        F.sum(F.coalesce("resultados", zero)).alias("resultados"),
-        F.sum(F.coalesce("resultados_com_fornecedor", zero)).alias("resultados_com_fornecedor"),
-        distinct_if(F.col("unidade_medida").isNotNull(), "item_id").alias("itens_com_unidade"),
-        distinct_if(F.col("quantidade") > 0, "item_id").alias("itens_com_quantidade"),
-        distinct_if(F.col("valor_unitario_estimado").isNotNull(), "item_id").alias("itens_com_preco_unitario"),
-        distinct_if(F.col("categoria_tecnologia") != UNKNOWN, "item_id").alias("itens_com_categoria"),
-        distinct_if(F.col("orgao_id").isNotNull(), "item_id").alias("itens_com_orgao"),
-    )
+    dims = ("periodo", "modalidade_id", "modalidade", "categoria_tecnologia")
+    has = {
+        "resultado": F.col("resultados") > 0,
+        "unidade": F.col("unidade_medida").isNotNull(),
+        "quantidade": F.col("quantidade") > 0,
+        "preco_unitario": F.col("valor_unitario_estimado").isNotNull(),
+        "categoria": F.col("categoria_tecnologia") != UNKNOWN,
+        "orgao": F.col("orgao_id").isNotNull(),
+    }
+    summed = ("resultados", "resultados_com_fornecedor")
+    flag = lambda c: F.max((c & F.col("item_id").isNotNull()).cast("int"))
+    # An item that occurs more than once in a group counts once.
+    by_item = base.groupBy(*dims, "item_id").agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in summed), *(flag(c).alias(f"itens_com_{n}") for n, c in has.items()))
+    counted = by_item.groupBy(*dims).agg(F.count("item_id").alias("total_itens"), *(F.sum(c).alias(c) for c in summed), *(F.coalesce(F.sum(f"itens_com_{n}"), F.lit(0)).alias(f"itens_com_{n}") for n in has))
+    names = ("total_itens", "itens_com_resultado", *summed, *(f"itens_com_{n}" for n in has if n != "resultado"))
+    covered = counted.select(*dims, *names)
     shares = {f"cobertura_{c}": ratio(F.col("resultados_com_fornecedor"), F.col("resultados")) if c == "fornecedor" else F.col(f"itens_com_{c}").cast("double") / F.col("total_itens") for c in COVERAGE}
     covered = covered.withColumns({**shares, "entidade": F.lit("item_contratacao"), "metrica": F.lit("cobertura_analitica"), "status_qualidade": F.lit("PASS")})
     rules = latest_rules(quality).select(
@@ -103,27 +122,37 @@ def supplier_concentration(items: DataFrame, awards: DataFrame, procurements: Da
         .join(links.select("contratacao_id", "orgao_id"), "contratacao_id")
         .where(F.col("periodo").isNotNull() & F.col("orgao_id").isNotNull() & F.col("modalidade_id").isNotNull())
     )
-    value = F.col("valor_total_homologado")
-    groups = base.groupBy(*dims).agg(
-        F.count_distinct("resultado_id").alias("resultados_observados"),
-        distinct_if(F.col("elegivel_monetario"), "resultado_id").alias("resultados_semantica_elegivel"),
-        F.sum(F.when(value > 0, value).otherwise(0)).alias("valor_observado"),
+    # One relation, reduced in steps: awards of a group, suppliers of a group, groups. An eligible
+    # award occurs once, so its supplier and value are those of its only row.
+    value, good = F.col("valor_total_homologado"), F.col("elegivel_monetario")
+    by_award = base.groupBy(*dims, "resultado_id").agg(
+        F.sum(F.when(value > 0, value).otherwise(0)).alias("_seen"),
+        F.max(good.cast("int")).alias("_good"),
+        F.max(F.when(good, F.col("fornecedor_id"))).alias("fornecedor_id"),
+        F.sum(F.when(good, value)).alias("_value"),
     )
-    suppliers = base.where(F.col("fornecedor_id").isNotNull() & F.col("elegivel_monetario")).groupBy(*dims, "fornecedor_id").agg(F.sum(value).alias("_value"), F.count_distinct("resultado_id").alias("_awards"))
+    by_supplier = by_award.groupBy(*dims, "fornecedor_id").agg(F.count("resultado_id").alias("_n"), F.sum(F.when(F.col("resultado_id").isNotNull(), F.col("_good"))).alias("_awards"), F.sum("_seen").alias("_seen"), F.sum("_value").alias("_value"))
+    # A missing method leaves a group without suppliers.
+    known = F.col("fornecedor_id").isNotNull() & F.col("modalidade").isNotNull()
     group = W.partitionBy(*dims)
-    shares = suppliers.withColumns({"_total": F.sum("_value").over(group), "_place": F.row_number().over(group.orderBy(F.desc("_value"), "fornecedor_id"))}).withColumn("_share", F.col("_value") / F.col("_total"))
+    shares = (
+        by_supplier.withColumns({"_known": known, "_own": F.when(known, F.col("_value"))})
+        .withColumns({"_total": F.sum("_own").over(group), "_place": F.row_number().over(group.orderBy(F.desc_nulls_last("_known"), F.desc_nulls_last("_own"), "fornecedor_id"))})
+        .withColumn("_share", F.col("_own") / F.col("_total"))
+    )
     # Rounded decimal shares can add up to a little over one.
-    concentrated = shares.groupBy(*dims).agg(
+    joined = shares.groupBy(*dims).agg(
+        F.sum("_n").alias("resultados_observados"),
+        F.coalesce(F.sum("_awards"), F.lit(0)).cast("long").alias("resultados_semantica_elegivel"),
+        F.sum("_seen").alias("valor_observado"),
         F.max("_total").alias("valor_total_homologado"),
-        F.count("fornecedor_id").alias("fornecedores_distintos"),
-        F.sum("_awards").alias("resultados_elegiveis"),
+        F.count_if(F.col("_known")).alias("fornecedores_distintos"),
+        F.coalesce(F.sum(F.when(F.col("_known"), F.col("_awards"))), F.lit(0)).cast("long").alias("resultados_elegiveis"),
         F.max("_share").alias("top_1"),
-        F.least(F.lit(1.0), F.sum(F.when(F.col("_place") <= 3, F.col("_share")).otherwise(0))).alias("top_3"),
+        F.least(F.lit(1.0), F.sum(F.when(F.col("_known") & (F.col("_place") <= 3), F.col("_share")))).alias("top_3"),
         F.sum(F.col("_share") * F.col("_share")).alias("hhi"),
     )
-    joined = groups.join(concentrated, dims, "left").withColumns({
-        "fornecedores_distintos": F.coalesce("fornecedores_distintos", F.lit(0).cast("long")),
-        "resultados_elegiveis": F.coalesce("resultados_elegiveis", F.lit(0).cast("long")),
+    joined = joined.withColumns({
         "cobertura_valor": F.when(F.col("valor_observado") > 0, F.col("valor_total_homologado") / F.col("valor_observado")).otherwise(F.lit(0.0)),
         "cobertura_semantica_valor": F.col("resultados_semantica_elegivel") / F.col("resultados_observados"),
     })
@@ -197,17 +226,34 @@ def recurrence(related: DataFrame, at_least: int = 2) -> DataFrame:
     return published(kept, "recorrencia_descritiva_nao_indica_irregularidade", masked_total=True)
 
 
-def procurement_kpis(related: DataFrame) -> DataFrame:
-    population = related.agg(
-        F.count_distinct("contratacao_id").alias("compras_tecnologia"), F.count_distinct("item_id").alias("itens_tecnologia"), F.count_distinct("resultado_id").alias("resultados_tecnologia"), F.count_distinct("fornecedor_id").alias("fornecedores_compras_tecnologia")
+def procurement_kpis(related: DataFrame, at_least: int = 2) -> DataFrame:
+    """One row of distinct counts, and of recurrent relations. The relation is read once: what is
+    counted becomes rows (kind, key, part), which are made distinct and counted by kind and key."""
+    once = related.groupBy("contratacao_id", "item_id", "fornecedor_id", "orgao_id", "categoria_tecnologia").agg(F.count("resultado_id").alias("_n"))
+    row = lambda kind, key, part, n: F.struct(F.lit(kind).alias("kind"), key.alias("key"), part.alias("part"), n.alias("n"))
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
+    text = lambda c: F.col(c).cast("string")
+    triple = F.to_json(F.array(text("orgao_id"), text("fornecedor_id"), text("categoria_tecnologia")))
+    single = {"compra": "contratacao_id", "item": "item_id", "fornecedor": "fornecedor_id"}
+    rows = once.select(F.explode(F.array(*(row(k, text(c), none, zero) for k, c in single.items()), row("relacao", triple, text("contratacao_id"), F.col("_n")))).alias("r")).select("r.*")
+    keys = rows.groupBy("kind", "key", "part").agg(F.sum("n").alias("n")).groupBy("kind", "key").agg(F.count("part").alias("parts"), F.sum("n").alias("n"))
+    counted = lambda kind: F.count_if((F.col("kind") == kind) & F.col("key").isNotNull())
+    return keys.agg(
+        counted("compra").alias("compras_tecnologia"),
+        counted("item").alias("itens_tecnologia"),
+        F.coalesce(F.sum("n"), zero).alias("resultados_tecnologia"),
+        counted("fornecedor").alias("fornecedores_compras_tecnologia"),
+        F.count_if((F.col("kind") == "relacao") & (F.col("parts") >= at_least)).alias("relacoes_recorrentes"),
     )
-    return population.crossJoin(recurrence(related).agg(F.count("*").alias("relacoes_recorrentes")))  # one row by one row
 
 
 def supplier_presence(related: DataFrame, units: DataFrame) -> DataFrame:
+    """Where suppliers occur. Rows that say the same are one before anything is joined or counted."""
     distinct = {"orgao_id": "orgaos_distintos", "unidade_id": "unidades_distintas", "uf": "ufs_distintas", "municipio": "municipios_distintos", "modalidade_id": "modalidades_distintas", "periodo": "periodos_distintos", "contratacao_id": "contratacoes_distintas"}
-    joined = related.join(units.select("unidade_id", "uf", "municipio"), "unidade_id", "left")
-    counted = joined.groupBy("fornecedor_id", "categoria_tecnologia").agg(*(F.count_distinct(c).alias(n) for c, n in distinct.items()))
+    keys = ("fornecedor_id", "categoria_tecnologia")
+    own = [c for c in distinct if c not in ("uf", "municipio")]
+    joined = related.select(*keys, *own).distinct().join(units.select("unidade_id", "uf", "municipio"), "unidade_id", "left")
+    counted = joined.groupBy(*keys).agg(*(F.count_distinct(c).alias(n) for c, n in distinct.items()))
     return published(counted, "presenca_restrita_a_resultados_homologados", masked_total=True)
 
 

@@ -59,17 +59,31 @@ def judged(counts: DataFrame) -> DataFrame:
     return counts.withColumns({"percentual": percent, "status": status})
 
 
-def rule_counts(observed: Mapping[str, tuple[DataFrame, DataFrame, str]], limit: int = 0) -> DataFrame:
-    """Rule -> (observed rows, rows of the denominator, severity): one row of counts for each rule,
-    in one job."""
+def counts_of(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(nome, linhas): the rows of each table, in one job. A table that stands under several names is
+    counted once."""
+    names: dict[int, tuple[DataFrame, list[str]]] = {}
+    for name, df in tables.items():
+        names.setdefault(id(df), (df, []))[1].append(name)
     out = None
-    for rule, (rows, whole, severity) in observed.items():
-        counted = rows.agg(F.count("*").alias("observados")).crossJoin(whole.agg(F.count("*").alias("total")))  # one row by one row
-        own = counted.select(F.lit(rule).alias("regra"), F.lit(severity).alias("severidade"), "observados", "total", F.lit(limit).cast("long").alias("limite"))
-        out = own if out is None else out.unionByName(own)
+    for df, own in names.values():
+        counted = df.agg(F.count("*").alias("linhas")).select(F.explode(F.array(*map(F.lit, own))).alias("nome"), "linhas")
+        out = counted if out is None else out.unionByName(counted)
+    if out is None:
+        raise ValueError("no tables")
     return out
 
 
+def rule_counts(observed: Mapping[str, tuple[DataFrame, DataFrame, str]], limit: int = 0) -> DataFrame:
+    """Rule -> (observed rows, rows of the denominator, severity): one row of counts for each rule,
+    in one job without joins."""
+    tables = {f"o|{rule}": rows for rule, (rows, _, _) in observed.items()} | {f"t|{rule}": whole for rule, (_, whole, _) in observed.items()}
+    part = lambda k: F.sum(F.when(F.substring("nome", 1, 1) == k, F.col("linhas")))
+    counted = counts_of(tables).groupBy(F.substring("nome", 3, 1_000).alias("regra")).agg(part("o").alias("observados"), part("t").alias("total"))
+    severity = F.create_map(*(F.lit(x) for rule, (_, _, kind) in observed.items() for x in (rule, kind)))
+    return counted.select("regra", F.element_at(severity, F.col("regra")).alias("severidade"), "observados", "total", F.lit(limit).cast("long").alias("limite"))
+
+
 def duplicates(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("linhas")).where("linhas > 1")
 
@@ -84,6 +98,69 @@ def reconciliation(counts: Mapping[str, int]) -> int:
     return max(0, sum(counts[k] for k in ("quarentena", "conflitos", "publicados", "pendentes")) - counts["entrada"])
 
 
+def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    return rows.join(parents.select(key), key, "left_anti")
+
+
+@dataclass(frozen=True)
+class CoreTables:
+    """What the core suite looks at: raw rows, what the operators set aside, and what is to be published."""
+
+    raw: tuple[DataFrame, ...]
+    quarantine: tuple[DataFrame, ...]
+    conflicts: tuple[DataFrame, ...]
+    pending: tuple[DataFrame, ...]
+    published: tuple[DataFrame, ...]  # what this run adds or replaces; the tables below hold all rows
+    procurements: DataFrame
+    items: DataFrame
+    awards: DataFrame
+    suppliers: DataFrame
+
+
+def _collected(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    return {r.nome: r.linhas for r in counts_of(tables).collect()}  # one row for each table
+
+
+# The names of the rules, their severities and their limit, 0.
+def core_suite(t: CoreTables) -> list[RuleResult]:
+    """The ten rules of the core job, from counts taken in one job."""
+    groups = {"entrada": t.raw, "quarentena": t.quarantine, "conflitos": t.conflicts, "pendentes": t.pending, "publicados": t.published}
+    n = _collected({
+        **{f"{g}{i}": df for g, dfs in groups.items() for i, df in enumerate(dfs)},
+        "itens": t.items, "resultados": t.awards, "fornecedores": t.suppliers,
+        "itens_duplicados": duplicates(t.items, "item_id"), "resultados_duplicados": duplicates(t.awards, "resultado_id"), "cpf_publico": leaked_numbers(t.suppliers),
+        "itens_orfaos": orphans(t.items, t.procurements, "contratacao_id"), "resultados_orfaos": orphans(t.awards, t.items, "item_id"),
+    })
+    whole = {g: sum(n[f"{g}{i}"] for i in range(len(dfs))) for g, dfs in groups.items()}
+    dropped = whole["entrada"] - sum(n for g, n in whole.items() if g != "entrada")
+    return [
+        judge_rule("reconciliacao_entrada", reconciliation(whole), whole["entrada"], 0, "erro"),
+        judge_rule("itens_duplicados", n["itens_duplicados"], n["itens"], 0, "erro"),
+        judge_rule("resultados_duplicados", n["resultados_duplicados"], n["resultados"], 0, "erro"),
+        judge_rule("cpf_publico", n["cpf_publico"], n["fornecedores"], 0, "erro"),
+        judge_rule("itens_sem_contratacao_publicada", n["itens_orfaos"], n["itens"], 0, "erro"),
+        judge_rule("resultados_sem_item_publicado", n["resultados_orfaos"], n["resultados"], 0, "erro"),
+        judge_rule("vinculos_pendentes", whole["pendentes"], whole["entrada"], 0, "alerta"),
+        judge_rule("registros_em_quarentena", whole["quarentena"], whole["entrada"], 0, "alerta"),
+        judge_rule("conflitos_de_versao", whole["conflitos"], whole["entrada"], 0, "alerta"),
+        judge_rule("duplicatas_fisicas_descartadas", max(0, dropped), whole["entrada"], 0, "alerta"),
+    ]
+
+
+def contract_suite(contracts: DataFrame, items: DataFrame, events: DataFrame, suppliers: DataFrame, raw_items: DataFrame, raw_events: DataFrame, items_without: DataFrame, events_without: DataFrame) -> list[RuleResult]:
+    """The six rules of the contract job."""
+    n = _collected({
+        "contratos": contracts, "itens": items, "eventos": events, "fornecedores": suppliers, "itens_brutos": raw_items, "eventos_brutos": raw_events,
+        "contratos_duplicados": duplicates(contracts, "contrato_id"), "itens_contrato_duplicados": duplicates(items, "contrato_item_id"), "eventos_contrato_duplicados": duplicates(events, "evento_contrato_id"),
+        "cpf_publico_contrato": leaked_numbers(suppliers), "itens_sem_contrato": items_without, "eventos_sem_contrato": events_without,
+    })
+    rules = (
+        ("contratos_duplicados", "contratos", "erro"), ("itens_contrato_duplicados", "itens", "erro"), ("eventos_contrato_duplicados", "eventos", "erro"), ("cpf_publico_contrato", "fornecedores", "erro"),
+        ("itens_sem_contrato", "itens_brutos", "alerta"), ("eventos_sem_contrato", "eventos_brutos", "alerta"),
+    )
+    return [judge_rule(rule, n[rule], n[whole], 0, severity) for rule, whole, severity in rules]
+
+
 class GateFailed(RuntimeError):
     pass
 
@@ -116,9 +193,21 @@ def backfill_counts(artifacts: DataFrame, counts: DataFrame) -> DataFrame:
     return artifacts.join(known, "source_file_id", "left").withColumn("total_linhas", F.coalesce("_n", "total_linhas")).drop("_n").select(artifacts.columns)
 
 
-def value_audit(awards: DataFrame, at: tuple[float, ...] = (0.5, 0.9, 0.99, 0.999)) -> DataFrame:
-    """One row: counts by value, the cancelled, and percentiles of positive totals."""
+def value_audit(awards: DataFrame, at: tuple[float, ...] = (0.5, 0.9, 0.99, 0.999), exact: bool = False) -> DataFrame:
+    """One row: counts by value, the cancelled, and percentiles of totals. ``exact`` takes discrete
+    percentiles of all values instead of the sketch, which is exact up to 10,000 values."""
     value = F.col("valor_total_homologado")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    shares: list[Column] = [F.percentile_approx(F.when(value > 0, value), p, 10000).alias(f"p{str(p)[2:]}") for p in at]
+    share = (lambda p: F.expr(f"percentile_disc({p}) within group (order by valor_total_homologado)")) if exact else (lambda p: F.percentile_approx(value, p, 10000))
+    shares: list[Column] = [share(p).alias(f"p{str(p)[2:]}") for p in at]
     return awards.agg(F.count("*").alias("resultados"), count(value.isNull()).alias("sem_valor"), count(value <= 0).alias("nao_positivos"), count(F.col("cancelado")).alias("cancelados"), count(F.col("cancelado").isNull()).alias("cancelamento_desconhecido"), F.sum(value).alias("valor_total"), *shares)
+
+
+def largest_awards(judged: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` awards of the highest totals; ties go to the smaller id."""
+    return judged.orderBy(F.desc_nulls_last("valor_total_homologado"), "resultado_id").limit(n)
+
+
+def histogram(judged: DataFrame, reason: str = "motivo_inelegibilidade_monetaria", sound: str = "elegivel") -> DataFrame:
+    """(motivo, linhas): how many rows each reason holds."""
+    return judged.groupBy(F.coalesce(reason, F.lit(sound)).alias("motivo")).agg(F.count("*").alias("linhas"))

@@ -287,11 +287,13 @@ def close_over(rows: DataFrame, parents: DataFrame, keys: str, reason: str) -> t
     return rows.join(ids, keys, "left_semi"), rows.join(ids, keys, "left_anti").withColumn(REASON, F.lit(reason))
 
 
-def problem_log(problems: dict[str, tuple[DataFrame, str]], run_id: str) -> DataFrame:
-    """One table of all problem rows: entity name -> (rows, key column). Columns are united by name."""
+def problem_log(problems: Sequence[tuple[str, DataFrame, str]], run_id: str) -> DataFrame:
+    """One table of all problem rows: (entity name, rows, key column) several times over. Columns are
+    united by name; the id of a problem is the same in every run that meets it again."""
     out = None
-    for entity, (rows, id_col) in problems.items():
-        own = rows.withColumns({"entidade": F.lit(entity), "run_id": F.lit(run_id), "registro_problema_id": key(F.lit(entity), F.col(id_col), optional(rows, REASON), optional(rows, "hash_conteudo"), F.lit(run_id))})
+    for entity, rows, id_col in problems:
+        ident = key(F.lit(entity), optional(rows, "source_file_id"), F.col(id_col), optional(rows, REASON), optional(rows, "hash_conteudo"))
+        own = rows.withColumns({"entidade": F.lit(entity), "run_id": F.lit(run_id), "registro_problema_id": ident})
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
     if out is None:
         raise ValueError("no problem tables")

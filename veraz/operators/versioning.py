@@ -1,7 +1,8 @@
 """Current versions of entities, and versions that contradict each other.
 
-Both operators are aggregations with partial aggregation before the shuffle, so an entity that
-holds a large part of all rows is reduced where its rows lie and does not gather in one task.
+Both operators reduce rows before the shuffle (conflicts by partial aggregation, the latest row by a
+group limit that Spark pushes below the exchange), so an entity that holds a large part of all rows
+is reduced where its rows lie and does not gather in one task.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veraz.functions.expr import content_hash
@@ -18,10 +20,9 @@ def latest(df: DataFrame, entity: Sequence[str] | str, order: Sequence[str]) ->
     """One row per entity: the one with the greatest ``order`` columns (nulls lowest). Ties are
     broken by all other columns, so the result doesn't depend on the order of rows."""
     entity = [entity] if isinstance(entity, str) else list(entity)
-    rest = [c for c in df.columns if c not in entity]
-    ranked = [*order, *(c for c in rest if c not in order)]
-    best = F.max(F.struct(*ranked)).alias("_best")
-    return df.groupBy(*entity).agg(best).select(*(c if c in entity else F.col(f"_best.{c}") for c in df.columns))
+    ranked = [*order, *(c for c in df.columns if c not in order and c not in entity)]
+    first = W.partitionBy(*entity).orderBy(*(F.desc_nulls_last(c) for c in ranked), *([] if ranked else entity))
+    return df.withColumn("_place", F.row_number().over(first)).where(F.col("_place") == 1).drop("_place")
 
 
 def with_content_hash(df: DataFrame, fields: Sequence[str], version: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.functions import expr
-from veraz.operators import classify, context, gold, quality, silver, versioning
+from veraz.operators import classify, context, gold, quality, silver, validation, versioning
 from veraz.plans import benchmark, domain
 from veraz.sources import files
 from veraz.sources import tables as changes
@@ -54,8 +54,7 @@ def scan_parquet(spark, sf):
 
 @query("select cast(l_orderkey as bigint) as chave, 'lineitem' as _dataset_origem from lineitem union all select o_orderkey, 'orders' from orders")
 def scan_union_provenance(spark, sf):
-    parts = [_t(spark, sf, t).select(F.col(k).alias("chave"), F.lit(t).alias("_dataset_origem")) for t, k in (("lineitem", "l_orderkey"), ("orders", "o_orderkey"))]
-    return parts[0].unionByName(parts[1])
+    return files.union_with_origin({t: _t(spark, sf, t).select(F.col(k).alias("chave")) for t, k in (("lineitem", "l_orderkey"), ("orders", "o_orderkey"))})
 
 
 @query("select cast(event_id as bigint) as event_id, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events")
@@ -113,7 +112,7 @@ def json_nested_fields(spark, sf):
 
 @query("select distinct cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events")
 def json_key_extract(spark, sf):
-    return _t(spark, sf, "events").select(F.get_json_object("props", "$.k").cast("long").alias("k")).distinct()
+    return files.json_keys(_t(spark, sf, "events"), "props", "$.k", "bigint").withColumnRenamed("chave", "k")
 
 
 @query("select distinct regexp_extract(c, '^([0-9]{14})-[0-9]+-([0-9]+)/([0-9]{4})$', 1) as cnpj, cast(regexp_extract(c, '^([0-9]{14})-[0-9]+-([0-9]+)/([0-9]{4})$', 2) as bigint) as sequencial, cast(regexp_extract(c, '^([0-9]{14})-[0-9]+-([0-9]+)/([0-9]{4})$', 3) as int) as ano from (select concat('1000', cast(o_custkey + 1000000000 as varchar), '-1-', cast(o_orderkey as varchar), '/', strftime(o_orderdate, '%Y')) as c from orders)")
@@ -126,7 +125,7 @@ def regex_key_parse(spark, sf):
 def payload_hash_check(spark, sf):
     pages = _t(spark, sf, "pages")
     named = F.sha2(F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit(" "))).otherwise(F.col("html")), 256)
-    return pages.select("page_id", F.sha2("html", 256).alias("hash_calculado"), (F.sha2("html", 256) == named).alias("integro"))
+    return files.hashed_payloads(pages.select("page_id", "html", named.alias("hash_payload")), "html", "hash_payload").select("page_id", "hash_calculado", "integro")
 
 
 @query("select cast(event_id as bigint) as event_id, strftime(ts, '%Y-%m-%d') as dia from events")
@@ -198,14 +197,15 @@ def merge_conflict_detect(spark, sf):
 
 @query("select 'cliente' as origem, cast(c_custkey as varchar) as chave, cast(null as varchar) as motivo from customer union all select 'fornecedor', cast(s_suppkey as varchar), case when s_acctbal < 0 then 'saldo_negativo' end from supplier")
 def union_problems(spark, sf):
-    a = _t(spark, sf, "customer").select(F.lit("cliente").alias("origem"), F.col("c_custkey").cast("string").alias("chave"))
-    b = _t(spark, sf, "supplier").select(F.lit("fornecedor").alias("origem"), F.col("s_suppkey").cast("string").alias("chave"), F.when(F.col("s_acctbal") < 0, "saldo_negativo").alias("motivo"))
-    return b.unionByName(a, allowMissingColumns=True).select("origem", "chave", "motivo")
+    a = _t(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("chave"))
+    b = _t(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("chave"), F.when(F.col("s_acctbal") < 0, "saldo_negativo").alias(silver.REASON))
+    log = silver.problem_log([("fornecedor", b, "chave"), ("cliente", a, "chave")], "r")
+    return log.select(F.col("entidade").alias("origem"), "chave", F.col(silver.REASON).alias("motivo"))
 
 
 @query("select resultado_id, valor from (select distinct concat(l_orderkey, '-', l_linenumber, '-', l_suppkey, '-', l_partkey) as resultado_id, l_extendedprice as valor from lineitem) order by valor desc nulls last, resultado_id limit 20")
 def topk_values(spark, sf):
-    return _v(spark, sf, "awards")[0].select("resultado_id", F.col("valor_total_homologado").alias("valor")).distinct().orderBy(F.desc_nulls_last("valor"), "resultado_id").limit(20)
+    return quality.largest_awards(_v(spark, sf, "awards")[0].select("resultado_id", "valor_total_homologado").distinct()).withColumnRenamed("valor_total_homologado", "valor")
 
 
 ELIGIBLE = """judged as (select *, case when count(*) over (partition by resultado_id) > 1 then 'resultado_duplicado'
@@ -218,7 +218,7 @@ ELIGIBLE = """judged as (select *, case when count(*) over (partition by resulta
 @query(f"with {domain.ctes('awards')}, {ELIGIBLE} select coalesce(motivo, 'elegivel') as motivo, count(*) as linhas from judged group by 1")
 def reason_histogram(spark, sf):
     judged = gold.monetary_eligibility(_v(spark, sf, "awards")[0])
-    return judged.groupBy(F.coalesce("motivo_inelegibilidade_monetaria", F.lit("elegivel")).alias("motivo")).agg(F.count("*").alias("linhas"))
+    return quality.histogram(judged)
 
 
 # --- versions and duplicates ---
@@ -236,10 +236,8 @@ def latest_quality_rule(spark, sf):
 
 @query("select n_nationkey, s_suppkey, round(s_acctbal / sum(s_acctbal) over (partition by n_nationkey), 6) as participacao from supplier join nation on s_nationkey = n_nationkey")
 def share_of_total(spark, sf):
-    from pyspark.sql import Window as W
-
     joined = _t(spark, sf, "supplier").join(_t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return joined.select("n_nationkey", "s_suppkey", F.round(F.col("s_acctbal") / F.sum("s_acctbal").over(W.partitionBy("n_nationkey")), 6).alias("participacao"))
+    return gold.with_share(joined, "s_acctbal", ("n_nationkey",), "participacao").select("n_nationkey", "s_suppkey", F.round("participacao", 6).alias("participacao"))
 
 
 @query("select c_nationkey, max(c_custkey) as c_custkey from customer group by c_nationkey")
@@ -475,8 +473,20 @@ def concentracao_masked(spark, sf):
     return _concentration(spark, sf, False)
 
 
-@query("select count(*) as violacoes from lineitem where 1 = 0")
+@query("with s as (select s_suppkey, s_acctbal / 10000 as top_1, (s_acctbal + case when s_suppkey % 7 = 0 then -500 else 500 end) / 10000 as top_3, case when s_suppkey % 11 = 0 then 1.5 when s_suppkey % 13 = 0 then null else 0.5 end as hhi, s_nationkey / 20.0 as cobertura_valor from supplier) select s_suppkey from s where not coalesce(top_1 between 0 and 1 and top_3 between 0 and 1 and top_1 <= top_3 and hhi between 0 and 1 and cobertura_valor between 0 and 1, true)")
 def invariant_violations(spark, sf):
+    """Rows that break every bound in turn, planted among sound ones."""
+    k = F.col("s_suppkey")
+    made = _t(spark, sf, "supplier").select(
+        "s_suppkey", (F.col("s_acctbal") / 10000).alias("top_1"), ((F.col("s_acctbal") + F.when(k % 7 == 0, -500).otherwise(500)) / 10000).alias("top_3"), F.when(k % 11 == 0, 1.5).when(k % 13 == 0, None).otherwise(0.5).alias("hhi"),
+        (F.col("s_nationkey") / 20.0).alias("cobertura_valor"), F.lit(1.0).alias("cobertura_semantica_valor"),
+    )
+    return gold.concentration_violations(made).select("s_suppkey")
+
+
+@query("select 0::bigint as violacoes")
+def concentracao_sound(spark, sf):
+    """The published shares break no bound."""
     return gold.concentration_violations(_concentration(spark, sf, True)).agg(F.count("*").alias("violacoes"))
 
 
@@ -591,14 +601,13 @@ def contratos_cobertura(spark, sf):
 
 @query("select count(*) as consultadas, count(case when o_orderkey in (select l_orderkey from lineitem) then 1 end) as com_vinculo, round(count(case when o_orderkey in (select l_orderkey from lineitem) then 1 end) / count(*), 6) as taxa_vinculo from orders")
 def link_coverage(spark, sf):
-    linked = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("_l")).distinct()
-    counted = _t(spark, sf, "orders").join(linked, "o_orderkey", "left").agg(F.count("*").alias("consultadas"), F.count("_l").alias("com_vinculo"))
-    return _rounded(counted.withColumn("taxa_vinculo", expr.ratio(F.col("com_vinculo"), F.col("consultadas"))), taxa_vinculo=6)
+    linked = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return _rounded(context.linked_share(_t(spark, sf, "orders"), linked, "o_orderkey"), taxa_vinculo=6)
 
 
 @query("select count(*) as consultas, count(case when event_type = 'error' then 1 end) as erros, count(case when event_type = 'signup' then 1 end) as termos, count(distinct user_id) as contratos from events")
 def capability_counts(spark, sf):
-    return _t(spark, sf, "events").agg(F.count("*").alias("consultas"), F.count(F.when(F.col("event_type") == "error", 1)).alias("erros"), F.count(F.when(F.col("event_type") == "signup", 1)).alias("termos"), F.count_distinct("user_id").alias("contratos"))
+    return context.tallied(_t(spark, sf, "events"), {"erros": F.col("event_type") == "error", "termos": F.col("event_type") == "signup"}, distinct={"contratos": "user_id"})
 
 
 # --- operations, benchmark, validation ---
@@ -623,29 +632,30 @@ def run_summary(spark, sf):
     return quality.run_summary(artifacts)
 
 
-@query("with a as (select l_suppkey as f, count(*) as n from lineitem group by 1), b as (select l_partkey as f, count(*) as n from lineitem group by 1), m as (select f, max(n) as n from (select * from a union all select * from b) group by 1) select cast(s_suppkey as varchar) as source_file_id, coalesce(m.n, -1) as total_linhas from supplier left join m on m.f = s_suppkey and s_suppkey % 2 = 0")
+@query("with a as (select l_suppkey as f, count(*) as n from lineitem group by 1), b as (select l_partkey as f, count(*) as n from lineitem group by 1), m as (select f, max(n) as n from (select * from a union all select * from b) group by 1) select cast(s_suppkey as varchar) as source_file_id, coalesce(m.n, -1) as total_linhas from supplier left join m on m.f = s_suppkey")
 def backfill_counts(spark, sf):
     lines = _t(spark, sf, "lineitem")
-    counts = quality.row_counts(*(lines.select(F.col(c).cast("string").alias("_source_file_id")) for c in ("l_suppkey", "l_partkey"))).where("cast(source_file_id as long) % 2 = 0")
+    counts = quality.row_counts(*(lines.select(F.col(c).cast("string").alias("_source_file_id")) for c in ("l_suppkey", "l_partkey")))
     artifacts = _t(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("source_file_id"), F.lit(-1).cast("long").alias("total_linhas"))
     return quality.backfill_counts(artifacts, counts)
 
 
-@query(f"with {domain.ctes('awards')} select count(*) as resultados, count(case when valor_total_homologado is null then 1 end) as sem_valor, count(case when valor_total_homologado <= 0 then 1 end) as nao_positivos, count(case when cancelado then 1 end) as cancelados, count(case when cancelado is null then 1 end) as cancelamento_desconhecido, round(sum(cast(valor_total_homologado as decimal(18,2)))::double, 2) as valor_total from awards")
+_VALUE = "cast(valor_total_homologado as decimal(18,2))"
+
+
+@query(f"with {domain.ctes('awards')} select count(*) as resultados, count(case when valor_total_homologado is null then 1 end) as sem_valor, count(case when valor_total_homologado <= 0 then 1 end) as nao_positivos, count(case when cancelado then 1 end) as cancelados, count(case when cancelado is null then 1 end) as cancelamento_desconhecido, round(sum({_VALUE})::double, 2) as valor_total, " + ", ".join(f"quantile_disc({_VALUE}, {p})::double as p{str(p)[2:]}" for p in (0.5, 0.9, 0.99, 0.999)) + " from awards")
 def audit_values(spark, sf):
-    out = quality.value_audit(_v(spark, sf, "awards")[0].withColumn("valor_total_homologado", F.col("valor_total_homologado").cast("decimal(18,2)")))
-    return _rounded(out.select("resultados", "sem_valor", "nao_positivos", "cancelados", "cancelamento_desconhecido", "valor_total"), valor_total=2)
+    out = quality.value_audit(_v(spark, sf, "awards")[0].withColumn("valor_total_homologado", F.col("valor_total_homologado").cast("decimal(18,2)")), exact=True)
+    return _rounded(out, valor_total=2, p5=2, p9=2, p99=2, p999=2)
 
 
-def _benchmark(spark: SparkSession, sf: str, sql: Callable[[dict[str, str]], str]) -> DataFrame:
-    views = {k: f"_veraz_{k}" for k in benchmark.TABLES}
-    for k, v in views.items():
-        df = _v(spark, sf, k)[0]
-        for c in ("valor_total", "valor_total_homologado"):
-            if c in df.columns:
-                df = df.withColumn(c, F.col(c).cast("decimal(18,2)"))
-        df.createOrReplaceTempView(v)
-    return spark.sql(sql(views))
+def benchmark_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The tables of the benchmark, with decimals."""
+    out = {}
+    for name, df in zip(benchmark.TABLES, _v(spark, sf, *benchmark.TABLES), strict=True):
+        money = [c for c in ("valor_total", "valor_total_homologado") if c in df.columns]
+        out[name] = df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in money}) if money else df
+    return out
 
 
 _BENCH = f"with {domain.ctes('awards', 'items', 'links', 'agencies')}, r as (select item_id, count(distinct resultado_id) as n, sum(cast(valor_total_homologado as decimal(18,2))) as v from awards group by 1), g as (select d.orgao_id, coalesce(categoria_tecnologia, 'incerto') as categoria_tecnologia, count(*) as itens, sum(coalesce(r.n, 0))::bigint as resultados, sum(cast(valor_total as decimal(18,2))) as e, sum(coalesce(r.v, 0)) as h from items i join links d using (contratacao_id) join agencies o on o.orgao_id = d.orgao_id left join r on r.item_id = i.item_id group by 1, 2)"
@@ -653,12 +663,12 @@ _BENCH = f"with {domain.ctes('awards', 'items', 'links', 'agencies')}, r as (sel
 
 @query(f"{_BENCH} select orgao_id, categoria_tecnologia, itens, resultados, e::double as valor_estimado, h::double as valor_homologado from g")
 def bench_agg(spark, sf):
-    return _rounded(_benchmark(spark, sf, lambda t: benchmark.aggregate_sql("natural", t)), valor_estimado=2, valor_homologado=2)
+    return _rounded(benchmark.grouped(benchmark_tables(spark, sf)), valor_estimado=2, valor_homologado=2)
 
 
 @query(f"{_BENCH} select count(*) as grupos, sum(itens)::bigint as itens, sum(resultados)::bigint as resultados, sum(e)::double as valor_estimado, sum(h)::double as valor_homologado, sha256(string_agg(concat_ws('|', orgao_id, categoria_tecnologia, cast(itens as varchar), cast(resultados as varchar), cast(cast(e as decimal(38,2)) as varchar), cast(cast(h as decimal(38,2)) as varchar)), '||' order by concat_ws('|', orgao_id, categoria_tecnologia, cast(itens as varchar), cast(resultados as varchar), cast(cast(e as decimal(38,2)) as varchar), cast(cast(h as decimal(38,2)) as varchar)))) as checksum_resultado from g")
 def bench_checksum(spark, sf):
-    return _rounded(_benchmark(spark, sf, lambda t: benchmark.checksum_sql("natural", "query", t)), valor_estimado=2, valor_homologado=2)
+    return _rounded(benchmark.summary(benchmark.grouped(benchmark_tables(spark, sf))), valor_estimado=2, valor_homologado=2)
 
 
 _COUNTS = {"pedidos": ("orders", "o_orderkey"), "linhas": ("lineitem", "l_orderkey"), "clientes": ("customer", "c_custkey"), "fornecedores": ("supplier", "s_suppkey")}
@@ -666,44 +676,41 @@ _COUNTS = {"pedidos": ("orders", "o_orderkey"), "linhas": ("lineitem", "l_orderk
 
 @query(" union all ".join(f"select '{n}' as tabela, count(*) as linhas from {t}" for n, (t, _) in _COUNTS.items()))
 def val_counts(spark, sf):
-    parts = [_t(spark, sf, t).agg(F.count("*").alias("linhas")).select(F.lit(n).alias("tabela"), "linhas") for n, (t, _) in _COUNTS.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return validation.row_counts({n: _t(spark, sf, t) for n, (t, _) in _COUNTS.items()})
 
 
 @query("select 'pedidos' as tabela, strftime(min(o_orderdate), '%Y-%m-%d') as primeiro, strftime(max(o_orderdate), '%Y-%m-%d') as ultimo from orders union all select 'linhas', strftime(min(l_shipdate), '%Y-%m-%d'), strftime(max(l_shipdate), '%Y-%m-%d') from lineitem")
 def val_bounds(spark, sf):
-    a, b = (_t(spark, sf, t).agg(_day(F.min(c)).alias("primeiro"), _day(F.max(c)).alias("ultimo")).select(F.lit(n).alias("tabela"), "primeiro", "ultimo") for t, c, n in (("orders", "o_orderdate", "pedidos"), ("lineitem", "l_shipdate", "linhas")))
-    return a.unionByName(b)
+    return validation.time_bounds({n: (_t(spark, sf, t), c) for t, c, n in (("orders", "o_orderdate", "pedidos"), ("lineitem", "l_shipdate", "linhas"))}).drop("linhas")
 
 
 @query(" union all ".join(f"select '{n}' as tabela, count(*) as linhas, count(distinct {k}) as chaves from {t}" for n, (t, k) in _COUNTS.items()))
 def val_uniqueness(spark, sf):
-    parts = [_t(spark, sf, t).agg(F.count("*").alias("linhas"), F.count_distinct(k).alias("chaves")).select(F.lit(n).alias("tabela"), "linhas", "chaves") for n, (t, k) in _COUNTS.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return validation.uniqueness({n: (_t(spark, sf, t), k) for n, (t, k) in _COUNTS.items()}).drop("duplicadas")
 
 
 @query("select 'linhas' as tabela, count(case when o_orderkey is null then 1 end) as orfaos from lineitem left join orders on l_orderkey = o_orderkey union all select 'pedidos', count(case when c_custkey is null then 1 end) from orders left join customer on o_custkey = c_custkey and c_mktsegment <> 'BUILDING'")
 def val_ref_integrity(spark, sf):
-    a = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
-    b = _t(spark, sf, "orders").join(_t(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
-    a, b = (df.agg(F.count("*").alias("orfaos")).select(F.lit(n).alias("tabela"), "orfaos") for df, n in ((a, "linhas"), (b, "pedidos")))
-    return a.unionByName(b)
+    lines, orders, customers = _t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), _t(spark, sf, "orders"), _t(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'")
+    return validation.orphan_counts({"linhas": (lines, orders, "o_orderkey"), "pedidos": (orders, customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")})
 
 
 @query("select event_type as regra, count(*) as linhas from events where user_id = (select user_id from events order by ts desc, event_id desc limit 1) group by 1 order by 1")
 def val_last_run(spark, sf):
-    events = _t(spark, sf, "events")
-    last = events.agg(F.max_by("user_id", F.struct("ts", "event_id")).alias("user_id"))
-    return events.join(F.broadcast(last), "user_id", "left_semi").groupBy(F.col("event_type").alias("regra")).agg(F.count("*").alias("linhas")).orderBy("regra")
+    last = validation.last_run(_t(spark, sf, "events"), "user_id", "ts", "event_id")
+    return last.groupBy(F.col("event_type").alias("regra")).agg(F.count("*").alias("linhas")).orderBy("regra")
 
 
 @query("select status_publicacao, limitacao, count(*) as linhas from (" + _concentration_sql(True) + ") group by 1, 2")
 def val_status_counts(spark, sf):
-    return _concentration(spark, sf, True).groupBy("status_publicacao", "limitacao").agg(F.count("*").alias("linhas"))
+    return validation.status_counts({"concentracao": _concentration(spark, sf, True)}, ("status_publicacao", "limitacao")).drop("tabela")
 
 
 @query("with n as (select l_suppkey, count(*) as n from lineitem group by 1) select quantile_disc(n, 0.5)::bigint as p50, quantile_disc(n, 0.95)::bigint as p95, quantile_disc(n, 0.99)::bigint as p99, max(n)::bigint as maximo from n")
 def val_skew(spark, sf):
-    n = _t(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"))
-    at = lambda p: F.expr(f"percentile_disc({p}) within group (order by n)").cast("long")
-    return n.agg(at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.max("n").alias("maximo"))
+    return validation.group_sizes(_t(spark, sf, "lineitem"), "l_suppkey", exact=True)
+
+
+@query(f"with {domain.ctes('contracts', 'items', 'contract_events')} select 'contratos' as tabela, 'contrato_id' as coluna, true as permitida union all select 'contratos', c, c <> 'fornecedor_id' from (values ('orgao_codigo'), ('fornecedor_id'), ('vigencia_inicio'), ('vigencia_fim'), ('valor_inicial'), ('valor_global')) v(c)")
+def val_columns(spark, sf):
+    return validation.published_columns({"contratos": _v(spark, sf, "contracts")[0]}, ("fornecedor_id",))

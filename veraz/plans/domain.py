@@ -21,7 +21,7 @@ SQL = {
     "awards": "select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_suppkey as string), '-', cast(l_partkey as string)) as resultado_id, concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as item_id, case when l_suppkey % 17 = 3 then null else cast(l_suppkey as string) end as fornecedor_id, l_quantity as quantidade_homologada, case when l_partkey % 10 = 0 then l_extendedprice else floor(l_extendedprice / l_quantity * 100) / 100 end as valor_unitario_homologado, l_extendedprice as valor_total_homologado, case l_returnflag when 'R' then true when 'A' then false end as cancelado, l_shipdate as enviado_em, l_linestatus as situacao from {lineitem}",
     "suppliers": "select cast(s_suppkey as string) as fornecedor_id, concat('000000', cast(s_suppkey + 10000000 as string)) as identificador_publico, s_name as nome_fornecedor, case when s_nationkey % 3 = 0 then 'PF' else 'PJ' end as tipo_pessoa from {supplier}",
     "contracts": "select cast(o_orderkey as string) as contrato_id, cast(o_custkey as string) as orgao_codigo, cast(o_custkey % 50 as string) as fornecedor_id, substr(cast(o_orderdate as string), 1, 10) as vigencia_inicio, case when o_orderkey % 9 = 0 then null else substr(cast(o_orderdate as string), 1, 10) end as vigencia_fim, o_totalprice as valor_inicial, o_totalprice as valor_global from {orders}",
-    "contract_events": "select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string)) as evento_contrato_id, cast(l_orderkey as string) as contrato_id, l_linestatus as tipo_evento, substr(cast(l_shipdate as string), 1, 10) as data_assinatura, substr(cast(l_shipdate as string), 1, 10) as vigencia_fim, case when l_linenumber = 2 then null else -floor(l_extendedprice) end as variacao_valor from {lineitem} where l_orderkey % 3 > 0",
+    "contract_events": "select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string)) as evento_contrato_id, cast(l_orderkey as string) as contrato_id, l_linestatus as tipo_evento, substr(cast(l_shipdate as string), 1, 10) as data_assinatura, substr(cast(l_shipdate as string), 1, 10) as vigencia_fim, case when l_linenumber = 2 then null else -floor(l_extendedprice) end as variacao_valor from {lineitem}",
     "quality_history": "select event_type as regra, cast(event_id as string) as run_id, cast(user_id as bigint) as observados, cast(user_id + event_id as bigint) as total, value as percentual, 'alerta' as severidade, case when value > 50 then 'ALERT' else 'PASS' end as status, cast(ts as string) as registrado_em from {events}",
     "versions": "select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as entidade, substr(cast(l_shipdate as string), 1, 7) as atualizado_em, cast(l_partkey as string) as source_file_id, concat_ws('|', cast(l_partkey as string), cast(l_suppkey as string), l_returnflag, l_linestatus) as conteudo from {lineitem}",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import re
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -42,21 +43,48 @@ def read_table(spark: SparkSession, schema: str, table: str) -> DataFrame:
     return spark.table(f"{schema}.{table}")
 
 
+#: Local paths are written with one slash or with three.
+_LOCAL = "^file:/+"
+
+
 def read_with_provenance(spark: SparkSession, manifests: list[dict], dataset: str) -> DataFrame:
-    """All files of a data set in one scan, with what their manifests say. The manifests are a small
-    table that is joined by file name; columns that only some years have are null in the others."""
+    """All files of a data set in one scan for each header, with what their manifests say. The manifests are a
+    small table that is joined by the whole path; columns that only some years have are null in the
+    others. A path that is listed twice, or that names several files, raises."""
     own = [m for m in manifests if f"-{dataset}-" in Path(m["arquivo"]).name]
     if not own:
         raise ValueError(f"no files of {dataset}")
     headers: dict[tuple[str, ...], list[str]] = {}
+    known: dict[str, tuple] = {}
     for m in own:
-        headers.setdefault(tuple(read_csv(spark, m["arquivo"]).columns), []).append(m["arquivo"])
-    tables = [read_csv(spark, paths).withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1)) for paths in headers.values()]
-    rows = tables[0]
-    for t in tables[1:]:
-        rows = rows.unionByName(t, allowMissingColumns=True)
-    known = spark.createDataFrame([(Path(m["arquivo"]).name, m["source_file_id"], m["run_id"], m.get("sistema_origem"), dataset, m.get("coletado_em_utc"), m.get("data_publicacao_arquivo")) for m in own], ", ".join(f"{c} string" for c in ("_file", *PROVENANCE)))
-    return rows.join(F.broadcast(known), "_file", "left").drop("_file")
+        one = read_csv(spark, m["arquivo"])
+        places = [re.sub(_LOCAL, "file:/", f) for f in one.inputFiles()]  # as the scan names them: with blanks and accents encoded
+        if len(places) != 1:
+            raise ValueError(f"not one file: {m['arquivo']}")
+        if places[0] in known:
+            raise ValueError(f"listed twice: {m['arquivo']}")
+        known[places[0]] = (places[0], m["source_file_id"], m["run_id"], m.get("sistema_origem"), dataset, m.get("coletado_em_utc"), m.get("data_publicacao_arquivo"))
+        headers.setdefault(tuple(one.columns), []).append(m["arquivo"])
+    rows = None
+    for paths in headers.values():
+        scan = read_csv(spark, paths)
+        scan = scan.select("*", F.regexp_replace(F.col("_metadata.file_path"), _LOCAL, "file:/").alias("_file"))
+        rows = scan if rows is None else rows.unionByName(scan, allowMissingColumns=True)
+    table = spark.createDataFrame(list(known.values()), ", ".join(f"{c} string" for c in ("_file", *PROVENANCE)))
+    found = rows.join(F.broadcast(table), "_file", "left")  # one row for each file that was listed
+    checked = F.coalesce(F.col(PROVENANCE[0]), F.when(F.col("_run_id").isNull(), F.raise_error(F.concat(F.lit("no manifest of "), F.col("_file")))))
+    return found.withColumn(PROVENANCE[0], checked).drop("_file")
+
+
+def union_with_origin(tables: dict[str, DataFrame], column: str = "_dataset_origem") -> DataFrame:
+    """All rows of several tables, with the name of theirs; missing columns are null."""
+    out = None
+    for name, df in tables.items():
+        own = df.withColumn(column, F.lit(name))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no tables")
+    return out
 
 
 def already_loaded(table: DataFrame, source_file_id: str) -> bool:
@@ -72,27 +100,34 @@ def restrict(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return rows.join(kept.select(key), key, "left_semi")
 
 
-def read_zipped_csv(spark: SparkSession, path: str, columns: list[str], keep: list[str], delimiter: str = ";", encoding: str = "latin-1") -> DataFrame:
-    """Headerless CSV from ZIP files with one member each; only the kept columns leave the reader."""
+def read_zipped_csv(spark: SparkSession, path: str, columns: list[str], keep: list[str], delimiter: str = ";", encoding: str = "latin-1", header: bool = False, number: str | None = None) -> DataFrame:
+    """CSV from ZIP files with one member each; only the kept columns leave the reader. Short rows are
+    filled with empty values. ``header`` skips the first row; ``number`` names a column with the
+    file's name and the row's place in it. A file is read by one task, as ZIP can't be split."""
     places = [columns.index(c) for c in keep]
+    names = [*keep, *([number] if number else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0).to_pylist():
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    if len(z.namelist()) != 1:
+                    members = [n for n in z.namelist() if not n.endswith("/")]
+                    if len(members) != 1:
                         raise ValueError("a ZIP source has one member")
-                    with z.open(z.namelist()[0]) as raw:
+                    with z.open(members[0]) as raw:
                         rows: list[list[str]] = []
-                        for row in csv.reader(io.TextIOWrapper(raw, encoding, newline=""), delimiter=delimiter):
-                            rows.append([row[i] if i < len(row) else None for i in places])
+                        for n, row in enumerate(csv.reader(io.TextIOWrapper(raw, encoding, newline=""), delimiter=delimiter)):
+                            if not row or (header and n == 0):
+                                continue
+                            rows.append([row[i] if i < len(row) else "" for i in places] + ([f"{file}:{n + 1}"] if number else []))
                             if len(rows) == 10_000:
-                                yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], keep)
+                                yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
                                 rows = []
                         if rows:
-                            yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], keep)
+                            yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ", ".join(f"{c} string" for c in keep))
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    return files.mapInArrow(run, ", ".join(f"{c} string" for c in names))
 
 
 def statement_keys(spark: SparkSession, statement: str) -> DataFrame:
@@ -115,6 +150,17 @@ def parse_control(rows: DataFrame, column: str, strict: bool = False) -> DataFra
     return rows.withColumns({"cnpj": part(1), "sequencial": part(2).cast("long"), "ano": part(3).cast("int")})
 
 
+def json_keys(rows: DataFrame, column: str, path: str, kind: str = "string") -> DataFrame:
+    """Distinct keys (chave) at a path in JSON texts; texts without it give none."""
+    return rows.select(F.get_json_object(column, path).try_cast(kind).alias("chave")).where("chave is not null").distinct()
+
+
+def hashed_payloads(rows: DataFrame, payload: str, named: str) -> DataFrame:
+    """Adds hash_calculado, the SHA-256 of a payload, and integro: whether it is the one named."""
+    digest = F.sha2(F.col(payload), 256)
+    return rows.withColumns({"hash_calculado": digest, "integro": F.coalesce(digest == F.col(named), F.lit(False))})
+
+
 def page_keys(spark: SparkSession, path: str, field: str = "numeroControlePNCP") -> DataFrame:
     """Distinct keys of the records in saved JSON pages, sorted."""
     pages = spark.read.option("multiLine", True).json(path)
@@ -123,5 +169,5 @@ def page_keys(spark: SparkSession, path: str, field: str = "numeroControlePNCP")
 
 def checked_payloads(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """Payload files joined to (arquivo, hash_payload): the bytes, their hash and whether they agree."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("arquivo"), F.col("content").alias("payload"), F.sha2("content", 256).alias("hash_calculado"))
-    return manifest.join(files, "arquivo", "left").withColumn("integro", F.coalesce(F.col("hash_calculado") == F.col("hash_payload"), F.lit(False)))
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("arquivo"), F.col("content").alias("payload"))
+    return hashed_payloads(manifest.join(files, "arquivo", "left"), "payload", "hash_payload")

@@ -1,7 +1,8 @@
 """Writers and idempotent changes of Parquet tables.
 
 Changes are functions of tables (target, source) -> target; ``replace`` swaps the folder of a table
-for that of its new rows, which are complete before the old ones go.
+for that of its new rows, which are complete before the old ones go. Renaming folders is not atomic:
+between two renames a table is missing, and ``recover`` puts it back if the job stops there.
 """
 
 from __future__ import annotations
@@ -33,6 +34,45 @@ def append(df: DataFrame, table: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
+def ensure_schema(spark: SparkSession, schema: str) -> None:
+    check_names(schema)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+
+
+def exists(spark: SparkSession, table: str) -> bool:
+    check_names(table)
+    return spark.catalog.tableExists(table)
+
+
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """The rows under a name that SQL can use."""
+    check_names(name)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def columns_of(spark: SparkSession, table: str) -> list[str]:
+    check_names(table)
+    return [r[0] for r in spark.sql(f"SHOW COLUMNS IN {table}").collect()]
+
+
+def physical(df: DataFrame) -> DataFrame:
+    """One row: files, bytes and the moment of the last change of the files that rows lie in."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return files.agg(F.count("*").alias("arquivos"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"), F.max("file_modification_time").alias("alterado_em"))
+
+
+def append_merged(df: DataFrame, table: str) -> list[str]:
+    """Appends rows by name; columns that the table lacks are added to it (null in its older rows),
+    and those that the rows lack are null. Returns the names of the added columns."""
+    spark = df.sparkSession
+    create_if_absent(df, table)
+    added = add_missing_columns(spark, table, {f.name: f.dataType.simpleString() for f in df.schema})
+    kinds = {f.name: f.dataType for f in spark.table(table).schema}
+    append(df.select(*(F.col(c).cast(k) if c in df.columns else F.lit(None).cast(k).alias(c) for c, k in kinds.items())), table)
+    return added
+
+
 def create_if_absent(df: DataFrame, table: str) -> None:
     check_names(table)
     df.limit(0).write.mode("ignore").format("parquet").saveAsTable(table)
@@ -71,7 +111,9 @@ def insert_new(spark: SparkSession, source: DataFrame, table: str, keys: list[st
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """All source rows, and the target rows whose keys aren't in the source."""
+    """All source rows, and the target rows whose keys aren't in the source. Repeated keys in the source raise."""
+    if source.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the source repeats a key: {', '.join(keys)}")
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
@@ -99,14 +141,79 @@ def content_rows(df: DataFrame, dataset: str, period: str, run_id: str) -> DataF
     return latest(named, ["dataset_origem", "competencia", "hash_payload"], ())
 
 
+def _filesystem(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> bool:
+    """Whether the folder was renamed. File systems say false where they fail."""
+    source, fs = _filesystem(spark, old)
+    return bool(fs.rename(source, _filesystem(spark, new)[0]))
+
+
+def _moved(spark: SparkSession, old: str, new: str) -> None:
+    if not _rename(spark, old, new):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _filesystem(spark, path)
+    return bool(fs.exists(where))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if there is one."""
+    where, fs = _filesystem(spark, path)
+    if fs.exists(where) and not fs.delete(where, True):
+        raise OSError(f"{path} could not be deleted")
+
+
+def swap(spark: SparkSession, staged: dict[str, str]) -> None:
+    """Puts folders of new rows (path -> staged folder) in the places of tables. All old folders are
+    set aside before the first new one comes in, and come back if any step fails; they go last."""
+    mark = uuid.uuid4().hex
+    aside: list[tuple[str, str]] = []
+    placed: list[tuple[str, str]] = []
+    try:
+        for path in staged:
+            if folder_exists(spark, path):
+                _moved(spark, path, f"{path}.old-{mark}")
+                aside.append((path, f"{path}.old-{mark}"))
+        for path, new in staged.items():
+            _moved(spark, new, path)
+            placed.append((path, new))
+    except Exception:
+        for path, new in reversed(placed):
+            _rename(spark, path, new)
+        for path, old in reversed(aside):
+            _rename(spark, old, path)
+        for new in staged.values():
+            remove(spark, new)
+        raise
+    for _, old in aside:
+        remove(spark, old)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Whether a table that a stopped ``swap`` had set aside was put back in its place."""
+    if folder_exists(spark, path):
+        return False
+    pattern, fs = _filesystem(spark, f"{path}.old-*")
+    found = sorted(str(s.getPath()) for s in fs.globStatus(pattern) or [])
+    if len(found) != 1:
+        return False
+    _moved(spark, found[0], path)
+    return True
+
+
+def stage(df: DataFrame, path: str) -> str:
+    """Writes the rows beside a table's folder and returns where they are."""
+    new = f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    return new
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Writes the rows beside the folder and then swaps the folders."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, old, here = (jvm.Path(f"{path}{suffix}") for suffix in (f".new-{uuid.uuid4().hex}", f".old-{uuid.uuid4().hex}", ""))
-    df.write.parquet(new.toString())
-    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(here):
-        fs.rename(here, old)
-    fs.rename(new, here)
-    fs.delete(old, True)
+    swap(df.sparkSession, {path: stage(df, path)})
