@@ -7,9 +7,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
 from veraz.llm import queries, quality_classifier, quality_rules, words
+from veraz.llm.shared import written
 
 BIG = TESTDATA.replace("0.001", "0.01")
 ODD = [None, "", " \n\t", "One two", "aé b\x0bc\x85d # * <|>", "x\nx\n \n \nx y\ny x", "a b c a b c d", "q " * 300, "Same words here. " * 20, "x" * 5000]
@@ -95,7 +97,7 @@ def test_rules_keep_clean_documents(spark):
 def test_word_model_against_brute_force(spark):
     texts = ["a b a", "b a é12", "", None, "x" * 3000, "a b", "b"]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
-    df = df.localCheckpoint()
+    df = written(df)
     model = quality_rules.models(quality_rules.count(df))[0]
     seqs = {i: [*(t or "").split(), None] for i, t in enumerate(texts) if t}
 
@@ -171,6 +173,113 @@ def test_classifier_on_odd_rows(spark, odd):
     assert quality_classifier.score(odd.limit(0), w).count() == 0
 
 
+M64 = (1 << 64) - 1
+
+
+def _mix(h):
+    h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & M64
+    h = ((h ^ h >> 27) * 0x94D049BB133111EB) & M64
+    return h ^ h >> 31
+
+
+def _polynomial(values):
+    return _mix(sum(v * pow(words._BASE, k, 1 << 64) for k, v in enumerate(values)) & M64)
+
+
+def plain_features(text):
+    """Coordinates and values of one text with whole numbers and dictionaries."""
+    tokens = re.findall(rb"[^\x20\x09-\x0D]+", text)
+    value = lambda b: _mix((b + 1) * words._BASE & M64)
+    hashes = [_polynomial([value(b) for b in w.lower()]) for w in tokens]
+    shapes, seen = [], set()
+    for w, h in zip(tokens, hashes, strict=True):
+        look = [1 if chr(b).islower() and b < 128 or b >= 128 else 2 if chr(b).isupper() else 3 if chr(b).isdigit() else b for b in w]
+        runs = [x for k, x in enumerate(look) if not k or look[k - 1] != x]
+        shapes.append(_mix((_polynomial([_mix(x + 7) for x in runs]) + (h in seen) * 0x5BD1E995) & M64))
+        seen.add(h)
+    out = {0: 1.0}
+    merged = Counter(out)
+    for tag, (base_, n) in enumerate(((hashes, 1), (hashes, 2), (shapes, 1), (shapes, 2), (shapes, 3)), 1):
+        grams = Counter()
+        for k in range(len(base_) - n + 1):
+            g = 0
+            for x in base_[k : k + n]:
+                g = (g * words._BASE + x) & M64
+            grams[1 + (_mix((_mix(g) + tag * 0x1000193) & M64) >> 64 - quality_classifier.BITS) % ((1 << quality_classifier.BITS) - 1)] += 1
+        norm = math.sqrt(sum(c * c for c in grams.values()))
+        for c, x in grams.items():
+            merged[c] += x / norm  # coordinates that meet add up in a dot product
+    return merged
+
+
+def test_classifier_against_plain_code():
+    """Features by dictionaries, and the updates written out for one coordinate at a time."""
+    texts = ["One two, two three! écu 12 12", "", "Buy NOW *** buy now *** 100%", "one Two three four five", "x"]
+    data = [t.encode() for t in texts]
+    ids, values, offsets = quality_classifier.features(data)
+    rows = []
+    for k, t in enumerate(data):
+        got = Counter()
+        for c, v in zip(ids[offsets[k] : offsets[k + 1]].tolist(), values[offsets[k] : offsets[k + 1]].tolist(), strict=True):
+            got[c] += v
+        want = plain_features(t)
+        assert set(got) == set(want) and all(math.isclose(got[c], want[c], rel_tol=1e-9) for c in want)
+        assert len(got) == offsets[k + 1] - offsets[k]  # no coordinates met here, so that updates are one by one
+        rows.append(want)
+    labels, how = [1, 0, 0, 1, 1], quality_classifier.Ftrl()
+    z, n = defaultdict(float), defaultdict(float)
+    weight = lambda c: 0.0 if abs(z[c]) <= how.l1 else (math.copysign(how.l1, z[c]) - z[c]) / ((how.beta + math.sqrt(n[c])) / how.alpha + how.l2)
+    for _ in range(how.epochs):
+        for x, y in zip(rows, labels, strict=True):
+            w = {c: weight(c) for c in x}
+            p = 1 / (1 + math.exp(-sum(w[c] * v for c, v in x.items())))
+            for c, v in x.items():
+                g = (p - y) * v
+                z[c] += g - (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / how.alpha * w[c]
+                n[c] += g * g
+    split = lambda a: [a[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+    got = quality_classifier.fit(list(zip(split(ids), split(values), strict=True)), labels)
+    assert np.count_nonzero(got) == sum(weight(c) != 0 for c in z) > 0 and all(math.isclose(got[c], weight(c), rel_tol=1e-9, abs_tol=1e-12) for c in z)
+    scores = quality_classifier._dots(data, got)
+    for s, x in zip(scores.tolist(), rows, strict=True):
+        assert math.isclose(s, 1 / (1 + math.exp(-sum(weight(c) * v for c, v in x.items()))), rel_tol=1e-9)
+
+
+def test_scored_rows_keep_their_columns(spark):
+    df = spark.createDataFrame([(1, None, "a", {"k": 1}), (None, "b c", None, None), (1, "b c", "a", {})], "id long, text string, `odd name` string, m map<string,int>").withColumn("score", F.lit("old"))
+    out = quality_classifier.scored(df, np.zeros(1 << quality_classifier.BITS, np.float32))
+    assert out.columns == ["id", "text", "odd name", "m", "score"] and {r.score for r in out.collect()} == {0.5}
+    assert sorted(((r.id, r.text, r["odd name"], r.m) for r in out.collect()), key=str) == sorted(((r.id, r.text, r["odd name"], r.m) for r in df.collect()), key=str)
+
+
+def test_bands_and_verdicts_against_plain_code(spark):
+    rows = quality_rules.judge(spark.read.parquet(f"{BIG}/documents.parquet")).collect()
+    fair = defaultdict(list)
+    for r in rows:
+        if r.log_perplexity is not None and r.n_words >= 50:
+            fair[r.lang_no].append(round(1000 * r.log_perplexity) / 1000)
+    limits = {}
+    for x, values in fair.items():
+        values.sort()
+        low, high = (values[math.ceil(q * len(values)) - 1] for q in (0.25, 0.75))
+        limits[x] = (low - max(quality_rules.BAND_BELOW * (high - low), quality_rules.BAND_LEAST), high + max(quality_rules.BAND_ABOVE * (high - low), quality_rules.BAND_LEAST))
+    assert len(limits) == 4
+    for r in rows:
+        low, high = limits.get(r.lang_no, (-math.inf, math.inf))
+        assert r.kept == (not r.base_failed and (r.log_perplexity is None or low <= r.log_perplexity <= high))
+
+
+def test_kept_rows_are_judged_each(spark):
+    """Rows with null and repeated ids: only the bad ones go, and all columns stay as they are."""
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    verdict = {r.doc_id: r.kept for r in quality_rules.judge(docs).collect()}
+    odd = docs.withColumns({"doc_id": F.when(F.col("doc_id") % 2 == 0, F.lit(None).cast("long")).otherwise(F.lit(7).cast("long")), "kept": F.col("doc_id"), "lang_no": F.lit("x")})
+    out = quality_rules.kept_rows(odd)
+    assert out.columns == odd.columns and not all(verdict.values())
+    assert Counter(map(tuple, out.collect())) == Counter(tuple(r) for r in odd.collect() if verdict[r.kept])
+    assert quality_rules.kept_rows(odd.limit(0)).count() == 0
+
+
 def test_word_hashes_do_not_depend_on_the_batch():
     texts = ["a b c".encode(), b"", " Àé b\x0bc a ".encode(), b"one"]
     h, o = words.word_hashes(texts, fold=True)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -63,3 +64,27 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed} == set(table)
     assert Counter((r.doc_id, r.piece, r.ids) for r in packed) == Counter((r.doc_id, r.piece, r.ids) for r in packing.pack(docs, queries.WORD_BPE).collect())
     assert {r.doc_id for r in corpus_pipeline.run(spark, TESTDATA).collect()} == set(table)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Null and repeated ids, null texts, clashing columns and empty tables: verdicts are those of each row."""
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    numbered = docs.withColumn("kept", F.col("doc_id"))  # tells the rows apart in this test
+    odd = numbered.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(None).cast("long")).when(F.col("doc_id") % 3 == 1, F.lit(5).cast("long")).otherwise(F.col("doc_id")))
+    odd = odd.unionByName(odd.where("kept < 3").withColumn("text", F.lit(None).cast("string"))).withColumns({"_row": F.lit("x"), "score": F.lit(1), "_gone": F.lit(2)})
+    plain, strange = docs, odd
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        got, want = stage(spark, strange, TESTDATA), {r.doc_id for r in stage(spark, plain, TESTDATA).collect()}
+        assert got.columns == odd.columns, name
+        if name == "quality_rules":
+            assert Counter(r.kept for r in got.collect()) == Counter(want)
+        assert stage(spark, odd.limit(0), TESTDATA).count() == 0
+    jaccard_stage, secrets, pack = (f for _, f in corpus_pipeline.STAGES[2:])
+    distinct = odd.where("text is not null")
+    left = jaccard_stage(spark, distinct, TESTDATA)
+    groups = brute([(r.kept, r.text) for r in distinct.collect()])
+    kept = {r.kept for r in left.collect()}
+    assert left.columns == odd.columns and {groups[k][1] for k in kept} == {c for _, c in groups.values()} and len(kept) == len({c for _, c in groups.values()})
+    assert secrets(spark, odd, TESTDATA).count() == odd.count() and pack(spark, odd, TESTDATA).count() >= odd.count()
+    for f in (jaccard_stage, secrets, pack):
+        assert f(spark, odd.limit(0), TESTDATA).count() == 0

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.conftest import TESTDATA
@@ -143,6 +145,129 @@ def test_flac_of_noise_without_seek_table_and_with_damage():
             flac.decode_streams([bytes(bad)])
 
 
+def plain_flac(data):
+    """A decoder that reads one bit after the other, after the published format, for what the encoder may write."""
+    bits = "".join(f"{b:08b}" for b in data)
+    at = 0
+
+    def take(n, signed=False):
+        nonlocal at
+        v = int(bits[at : at + n], 2) if n else 0
+        at += n
+        return v - (1 << n) if signed and n and v >> (n - 1) else v
+
+    def crc(chunk, poly, width):
+        r = 0
+        for b in chunk:
+            r ^= b << (width - 8)
+            for _ in range(8):
+                r = (r << 1 ^ poly if r >> (width - 1) else r << 1) & ((1 << width) - 1)
+        return r
+
+    assert take(32) == 0x664C6143
+    last, digest = 0, None
+    while not last:
+        last, kind, size = take(1), take(7), take(24)
+        if kind == 0:
+            begin = at
+            assert take(16) == take(16) == 576
+            take(48)
+            assert take(20) == flac.SAMPLE_RATE and take(3) == 0 and take(5) == 7
+            total = take(36)
+            digest = take(128).to_bytes(16, "big")
+            assert at - begin == 8 * size
+        else:
+            at += 8 * size
+    out = []
+    while len(out) < total:
+        begin = at
+        assert take(14) == 0b11111111111110
+        take(2)
+        block, _ = take(4), take(4)
+        channels, depth, _ = take(4), take(3), take(1)
+        assert (channels, depth) == (0, 1)
+        lead = take(8)
+        for _ in range(0 if lead < 0x80 else f"{lead:08b}".index("0") - 1):
+            take(8)
+        n = {2: 576, 6: take(8) + 1 if block == 6 else 0, 7: take(16) + 1 if block == 7 else 0}[block]
+        assert crc(data[begin // 8 : at // 8], 0x07, 8) == take(8)
+        assert take(1) == 0
+        kind, wasted = take(6), take(1)
+        assert wasted == 0
+        if kind == 0:
+            x = [take(8, True)] * n
+        elif kind == 1:
+            x = [take(8, True) for _ in range(n)]
+        else:
+            order = kind - 8 if kind < 16 else kind - 31
+            x = [take(8, True) for _ in range(order)]
+            shift, coefficients = 0, flac.FIXED[order] if kind < 16 else None
+            if coefficients is None:
+                precision = take(4) + 1
+                shift = take(5, True)
+                coefficients = [take(precision, True) for _ in range(order)]
+            wide, parts = take(2), take(4)
+            for p in range(1 << parts):
+                rice = take(4 + wide)
+                for _ in range((n >> parts) - (order if p == 0 else 0)):
+                    if rice == (15, 31)[wide]:
+                        raise AssertionError("escaped partitions are not written")
+                    q = 0
+                    while not take(1):
+                        q += 1
+                    v = q << rice | take(rice)
+                    x.append((v >> 1 ^ -(v & 1)) + (sum(c * y for c, y in zip(coefficients, reversed(x), strict=False)) >> shift))
+        at += -at % 8
+        assert crc(data[begin // 8 : at // 8], 0x8005, 16) == take(16)
+        out += x
+    assert at == len(bits) and hashlib.md5(bytes(v & 255 for v in out)).digest() == digest
+    return bytes((v & 255) ^ 0x80 for v in out)
+
+
+def test_flac_against_a_plain_decoder():
+    rng = np.random.default_rng(6)
+    payloads = [b"a" * 1152, rng.integers(0, 256, 1152, dtype=np.uint8).tobytes(), flac.payload("Über den Wolken, der Wind. ".encode() * 60), flac.payload(b""), bytes(range(256)) * 9, (b"\x00\xff" * 288) * 2, flac.payload(b"x")]
+    for p, s in zip(payloads, flac.encode_streams(payloads), strict=True):
+        assert plain_flac(s) == p
+
+
+def test_flac_query(spark, documents):
+    rows = by_id(queries.op3_flac_media(spark, TESTDATA).collect())
+    for r in documents.collect():
+        text = r.text.encode()
+        payload, got = flac.payload(text), rows[r.doc_id]
+        assert (got.n_bytes, got.payload_bytes, got.payload_sha256, got.tail_crc32) == (len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        (media,) = flac.encode_streams([payload])
+        assert (got.media_bytes, got.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+
+
+def test_flac_blocks_can_be_sought(spark, odd, tmp_path):
+    read = flac.read_media(flac.write_media(odd))
+    flac.write_blocks(read, str(tmp_path / "blocks"))
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    whole = {r.doc_id: r.pcm for r in read.collect() if r.doc_id in (0, 7)}
+    assert {r.doc_id: r.pcm for r in blocks.where("doc_id = 0").collect()} == {0: whole[0]}
+    (r,) = flac.seek(blocks.where("doc_id = 7"), 1300).collect()
+    assert (r.first_sample, r.place, r.pcm) == (1152, 148, whole[7][1152:1728])
+    assert flac.read_media(flac.write_media(odd.limit(0))).count() == 0 and flac.pcm_blocks(read.limit(0)).count() == 0
+
+
+def test_token_counts_and_chats_of_empty_tables(spark, odd):
+    assert token_counts.count_tokens(odd.limit(0), BYTE).count() == 0
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    trees = chat.linear_trees(none)
+    assert chat.read_back(chat.format_trees(trees, "conv_id", "message", "parent"), "conv_id").count() == 0
+
+
+def test_chats_with_odd_rows(spark):
+    """Null ids are one conversation, null turns come first, ties are ordered, null roles and texts are empty."""
+    rows = [(None, 2, "assistant", "b~"), (None, 1, "user", None), (1, None, None, "x"), (1, 1, "user", "z"), (1, 1, "user", "y"), (1, 1, "user", "y")]
+    df = spark.createDataFrame([(*r, 5, "clash") for r in rows], "conv_id long, turn long, role string, text string, message long, tree string")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_trees(chat.linear_trees(df), "conv_id", "message", "parent"), "conv_id").collect()}
+    assert [tuple(t) for t in got[None].turns] == [("user", ""), ("assistant", "b~")] and got[None].learnt == "b~"
+    assert [tuple(t) for t in got[1].turns] == [("", "x"), ("user", "y"), ("user", "y"), ("user", "z")]
+
+
 def _entropy(text):
     return -sum(c / len(text) * np.log2(c / len(text)) for c in Counter(text).values())
 
@@ -182,6 +307,26 @@ def test_secret_spans(spark, documents, odd):
     assert got[0] is None and got[2] == "é [SECRET] x" and got[6] == "[SECRET] AKIAshort [SECRET]"
 
 
+def test_secrets_in_long_texts(spark):
+    """A candidate of 1 MB that never reaches the threshold, one that does, and 100,000 base matches."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEF0123456789"))
+    texts = ["a1b" * 350_000, "".join(rng.choice(letters, 1_000_000)), " ".join(f"{x:016x}" for x in rng.integers(1 << 62, 1 << 63, 100_000)), " ".join(f"token={'x' * 13} {''.join(rng.choice(letters, 24))}" for _ in range(400))]
+    for text in texts:
+        df = spark.createDataFrame([(text,)], "text string")
+        began = time.perf_counter()
+        (r,) = secret_scan.scan(df).select("secret_spans", secret_scan.redacted().alias("clean")).collect()
+        assert time.perf_counter() - began < 20  # a bound for slow machines; some 2 to 8 s were measured
+        spans = [(0, 3, len(text))] if text is texts[1] else brute_spans(text)
+        assert [tuple(s) for s in r.secret_spans] == spans
+        at, parts = 0, []
+        for a, _, b in spans:
+            if a >= at:
+                parts += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert r.clean == "".join([*parts, text[at:]])
+
+
 def test_secret_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").collect()}
     for r in queries.op6_secret_scan(spark, TESTDATA).collect():
@@ -216,6 +361,36 @@ def test_sharding_query(spark, documents):
         assert (r.size, r.text_crc32, r.law) == (len(texts[r.doc_id]) + 16, zlib.crc32(texts[r.doc_id]), "key")
 
 
+def test_slots_do_not_depend_on_partitions(spark, documents):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    got = []
+    for parts, adaptive in ((4, "true"), (13, "false"), (13, "true")):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        rows = sharding.shard(documents.repartition(parts), 5, bucket_bytes=1 << 15).collect()
+        got.append({(r.doc_id, r.shard, r.slot) for r in rows})
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_frequent_keys_are_spread(spark, same):
+    """Null ids by the thousand, with distinct texts and with one text: many buckets, gapless slots."""
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("t" * 100).alias("text") if same else F.concat(F.lit("t" * 100), "id").alias("text"), F.create_map(F.lit("k"), "id").alias("m"))
+    out = sharding.shard(rows, 3, bucket_bytes=32 << 10).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in out}) > 3 and max(Counter(r.task for r in out).values()) < 2500
+    slots = defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+    assert len(slots) == 1 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_buckets_are_shuffled_evenly(spark):
+    """Every record comes first about as often as any other, over many seeds."""
+    rows = spark.createDataFrame([(i, "x") for i in range(4)], "doc_id long, text string").coalesce(1)
+    first = Counter(next(r.doc_id for r in sharding.shard(rows, 1, seed=s).collect() if r.slot == 0) for s in range(60))
+    assert set(first) == {0, 1, 2, 3} and max(first.values()) <= 30
+
+
 def test_written_shards(spark, documents, tmp_path):
     sharding.write(sharding.shard(documents, 3), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == documents.count()

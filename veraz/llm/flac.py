@@ -8,8 +8,8 @@ predictors, checks the MD5 of the stream and returns PCM with the sample and byt
 block, so that a reader can seek.
 
 Defined results: a null text is stored as the empty text; an empty text becomes one block of
-padding; repeated rows give repeated rows; other columns are not read, whatever their names are.
-A damaged stream raises ``ValueError``.
+padding; repeated rows give repeated rows; an empty table gives no rows; other columns are not read,
+whatever their names are. A damaged stream raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veraz.llm.pieces import sized
+
 BLOCK = 576
 #: Frames that are coded side by side; bounds the memory of a worker, also for very long texts.
-FRAMES = 2048
+FRAMES = 1024
 LPC_ORDER = 4
 LPC_PRECISION = 12
 LPC_SHIFT = 10
@@ -407,18 +409,6 @@ def decode_streams(streams: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
     return out
 
 
-def _groups(sizes: list[int], limit: int) -> Iterator[slice]:
-    """Slices of rows with about ``limit`` bytes each, or one row."""
-    begin, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > begin and held + n > limit:
-            yield slice(begin, i)
-            begin, held = i, 0
-        held += n
-    if sizes:
-        yield slice(begin, len(sizes))
-
-
 def payload(text: bytes) -> bytes:
     """The bytes of a text with bytes 255 up to a positive multiple of the block."""
     return text + b"\xff" * (-len(text) % BLOCK or (0 if text else BLOCK))
@@ -428,11 +418,10 @@ def write_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """One row per input row: ``id_col``, n_bytes long (of the text in UTF-8), media binary (a FLAC stream)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in _groups([len(t) for t in texts], FRAMES * BLOCK):
-                media = encode_streams([payload(t) for t in texts[part]])
-                yield pa.record_batch([batch.column(0)[part], pa.array([len(t) for t in texts[part]], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
+        for part in sized(batches, 1, FRAMES * BLOCK):
+            texts = part.column(1).to_pylist()
+            media = encode_streams([payload(t) for t in texts])
+            yield pa.record_batch([part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
@@ -453,20 +442,37 @@ def read_media(df: DataFrame, id_col: str = "doc_id", media_col: str = "media",
     names = ["id", *keep, "media"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            media = batch.column(len(names) - 1).to_pylist()
-            for part in _groups([len(m or b"") for m in media], FRAMES * BLOCK):
-                there = [m for m in media[part] if m is not None]
-                done = iter(decode_streams(there))
-                rows = [next(done) if m is not None else None for m in media[part]]
-                counts = [len(r[1]) if r else 0 for r in rows]
-                offsets = np.concatenate([r[1] for r in rows if r] or [np.zeros(0, np.int64)])
-                first = np.concatenate([np.arange(c) * BLOCK for c in counts] or [np.zeros(0, np.int64)])
-                blocks = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(np.full(len(first), BLOCK), pa.int32()), pa.array(offsets, pa.int64())], ["first_sample", "n_samples", "byte_offset"])
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), blocks, mask=pa.array([r is None for r in rows]))
-                yield pa.record_batch([*(batch.column(i)[part] for i in range(len(names))), pa.array([r and r[0] for r in rows], pa.binary()), lists, pa.array([r and features(np.frombuffer(r[0], np.uint8)) for r in rows], pa.string())], [*names, "pcm", "blocks", "feature"])
+        for part in sized(batches, len(names) - 1, FRAMES * BLOCK):
+            media = part.column(len(names) - 1).to_pylist()
+            done = iter(decode_streams([m for m in media if m is not None]))
+            rows = [next(done) if m is not None else None for m in media]
+            counts = [len(r[1]) if r else 0 for r in rows]
+            offsets = np.concatenate([r[1] for r in rows if r] or [np.zeros(0, np.int64)])
+            first = np.concatenate([np.arange(c) * BLOCK for c in counts] or [np.zeros(0, np.int64)])
+            blocks = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(np.full(len(first), BLOCK), pa.int32()), pa.array(offsets, pa.int64())], ["first_sample", "n_samples", "byte_offset"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), blocks, mask=pa.array([r is None for r in rows]))
+            yield pa.record_batch([*part.columns, pa.array([r and r[0] for r in rows], pa.binary()), lists, pa.array([r and features(np.frombuffer(r[0], np.uint8)) for r in rows], pa.string())], [*names, "pcm", "blocks", "feature"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), *keep, F.col(media_col).alias("media"))
     schema = ", ".join([f"id {kind}", *(f"{k} long" for k in keep), "media binary", "pcm binary", "blocks array<struct<first_sample: long, n_samples: int, byte_offset: long>>", "feature string"])
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def pcm_blocks(read: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per block of a stream: ``id_col``, first_sample long, n_samples int, byte_offset long (of its
+    frame in the stream), pcm binary (its samples)."""
+    rows = read.select(F.col(id_col), "pcm", F.explode("blocks").alias("b"))
+    return rows.select(id_col, "b.*", F.expr("substring(pcm, cast(b.first_sample + 1 as int), b.n_samples)").alias("pcm"))
+
+
+def write_blocks(read: DataFrame, path: str, id_col: str = "doc_id") -> None:
+    """Writes the blocks as Parquet, by sample within a stream, so that a reader finds one by the
+    statistics of row groups."""
+    pcm_blocks(read, id_col).sortWithinPartitions(id_col, "first_sample").write.parquet(path)
+
+
+def seek(blocks: DataFrame, sample: int, id_col: str = "doc_id") -> DataFrame:
+    """The blocks that hold a sample, with its place in them: ``id_col``, first_sample, place int, pcm."""
+    held = blocks.where((F.col("first_sample") <= sample) & (F.col("first_sample") + F.col("n_samples") > sample))
+    return held.select(id_col, "first_sample", (F.lit(sample) - F.col("first_sample")).cast("int").alias("place"), "pcm")

@@ -6,8 +6,8 @@ coordinates, counted and scaled to unit length by kind. Weights come from follow
 leader updates with a learning rate for every coordinate; a score is the logistic function of a
 sparse dot product.
 
-The model is fitted on at most ``max_rows`` labelled rows, those whose ids hash lowest, in one task;
-that bound is the only one. Scores are computed for all rows, whole texts, without a shuffle.
+The model is fitted on at most ``max_rows`` labelled rows, those whose ids hash lowest, in one task
+that holds their features and not their texts; that bound is the only one. Scores are computed for all rows, whole texts, without a shuffle.
 
 Defined results: null and empty texts get the score of the bias alone; repeated rows give repeated
 rows; an empty table gives no rows; labels, languages, sources and ids are never features; without
@@ -16,7 +16,7 @@ labelled rows every score is 0.5.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -80,18 +80,17 @@ def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([[0], np.cumsum(np.concatenate([p[2] for p in parts]))])
 
 
-def fit(texts: list[bytes], labels: list[int], how: Ftrl = Ftrl(), bits: int = BITS) -> np.ndarray:
-    """Weights after the updates for every text in turn, several times over."""
+def fit(examples: Iterable[tuple[np.ndarray, np.ndarray]], labels: Sequence[int], how: Ftrl = Ftrl(), bits: int = BITS) -> np.ndarray:
+    """Weights after the updates for every example (coordinates, values) in turn, several times over."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
-    ids, values, offsets = features(texts, bits)
+    held = list(zip(examples, labels, strict=True))
 
     def weights(i):
         zi = z[i]
         return np.where(np.abs(zi) <= how.l1, 0.0, (np.sign(zi) * how.l1 - zi) / ((how.beta + np.sqrt(n[i])) / how.alpha + how.l2))
 
     for _ in range(how.epochs):
-        for a, b, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), labels, strict=True):
-            i, x = ids[a:b], values[a:b]
+        for (i, x), y in held:
             w = weights(i)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
             more = n[i] + g * g
@@ -109,30 +108,51 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sorted((hash_of, y, t) for batch in batches for hash_of, y, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
-        w = fit([t for _, _, t in held], [y for _, y, _ in held]).astype("<f4")
+        """Texts become coordinates as they come; what is held is bounded by the coordinates of the rows."""
+        held = []
+        for batch in batches:
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                ids, values, offsets = features(part.column(2).to_pylist())
+                ids, values = ids.astype(np.int32), values.astype(np.float32)
+                bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                held += [(h, y, ids[a:b].copy(), values[a:b].copy()) for h, y, (a, b) in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), bounds, strict=True)]
+        held.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2].tobytes()))
+        w = fit([(i, x) for _, _, i, x in held], [y for _, y, _, _ in held]).astype("<f4")
         yield pa.record_batch([pa.array([w.tobytes()], pa.binary())], ["weights"])
 
     found = rows.select(F.xxhash64("id").alias("h"), "label", "text").repartition(1).mapInArrow(run, "weights binary").collect()
     return np.frombuffer(found[0][0], "<f4") if found else np.zeros(1 << BITS, np.float32)
 
 
-def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col``, score double (0 to 1)."""
+def _dots(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """The logistic function of each text's sparse dot product with the weights."""
+    ids, values, offsets = features(texts)
+    return 1 / (1 + np.exp(-np.clip(np.add.reduceat(weights[ids] * values, offsets[:-1]), -35, 35)))
+
+
+def scored(df: DataFrame, weights: np.ndarray, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """All columns of the input and ``score_col`` double (0 to 1), which replaces one of that name. Rows
+    stay where they are: nothing is joined or shuffled."""
     shared = df.sparkSession.sparkContext.broadcast(weights)  # a fixed size: 4 bytes a coordinate
+    own = [c for c in df.columns if c.lower() != score_col.lower()]
+    rows, place = df.select(*(F.col(f"`{c}`") for c in own)), own.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                ids, values, offsets = features(part.column(1).to_pylist())
-                dots = np.add.reduceat(w[ids] * values, offsets[:-1])
-                yield pa.record_batch([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(dots, -35, 35))), pa.float64())], ["id", "score"])
+                texts = [b"" if t is None else t for t in part.column(place).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], pa.array(_dots(texts, w), pa.float64())], names=[*own, score_col])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in own)
+    return rows.mapInArrow(run, f"{fields}, `{score_col}` double")
+
+
+def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col``, score double (0 to 1)."""
+    return scored(df.select(id_col, text_col), weights, text_col).select(id_col, "score")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:

@@ -436,8 +436,8 @@ def _smoothed(count: np.ndarray, weight: float, log_p: np.ndarray) -> np.ndarray
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAST_PARTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """One row per input row: ``id_col``, lang_no int, n_words, word_chars, n_symbols, n_dup_lines,
+def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAST_PARTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES, with_text: bool = False) -> DataFrame:
+    """One row per input row: ``id_col``, (``text_col`` if asked for, null as empty,) lang_no int, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words (long), log_perplexity double (nats a word; null for texts without words)."""
     shared = df.sparkSession.sparkContext.broadcast(by_language)
     kind = df.schema[id_col].dataType.simpleString()
@@ -472,9 +472,10 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         for a, b in chunks(texts):
             h, o = word_hashes(texts[a:b], fold=False)
             repeated += [_repeated(h[i:j]) for i, j in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
+        carried = [pa.array([x.decode() for x in texts], pa.string())] if with_text else []
         texts = data = mine = None
         _give_back()
-        columns = [ids, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
+        columns = [ids, *carried, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
         words, _, word, _ = _places(e.word)
         bigrams, _, bigram, _ = _places(e.bigrams())
         keys, order = _requests(words, bigrams, there)
@@ -496,12 +497,12 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         text = before = others = log_p = bigram = None
         _give_back()
         perplexity = pa.array(sums / np.maximum(count, 1), pa.float64(), mask=count == 0)
-        return pa.table([*columns, perplexity], ["id", "lang_no", *_MEASURES, "log_perplexity"])
+        return pa.table([*columns, perplexity], ["id", *(["text"] if with_text else []), "lang_no", *_MEASURES, "log_perplexity"])
 
     coded = _rows(df, id_col, text_col, lang_col).mapInArrow(run, f"chunk long, id array<{kind}>, lang_no array<int>, bytes array<long>, texts binary")
     answered = totals(requests(df, parts, id_col, text_col, lang_col, languages))
     flat = ", ".join(f"{c} long" for c in _MEASURES)
-    return coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, lang_no int, {flat}, log_perplexity double").withColumnRenamed("id", id_col)
+    return coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, {'text string, ' if with_text else ''}lang_no int, {flat}, log_perplexity double").withColumnsRenamed({"id": id_col} | ({"text": text_col} if with_text else {}))
 
 
 def bands(measured: DataFrame, below: float = BAND_BELOW, above: float = BAND_ABOVE, least: float = BAND_LEAST) -> dict[int, tuple[float, float]]:
@@ -517,7 +518,16 @@ def bands(measured: DataFrame, below: float = BAND_BELOW, above: float = BAND_AB
     return out
 
 
-def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def kept_rows(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows that are kept, with all their columns. The verdict stays with its row, so null and
+    repeated ids don't matter, and nothing is joined."""
+    other = [c for c in df.columns if c != text_col]
+    whole = df.select(F.struct(*other).alias("_row"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
+    judged = judge(whole, "_row", "_text", "_lang", with_text=True).where("kept")
+    return judged.select(*(F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in df.columns))
+
+
+def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", with_text: bool = False) -> DataFrame:
     """The rows of ``measure`` with base_failed boolean and kept boolean."""
     size = F.sum(F.octet_length(F.col(text_col)))
     largest = df.groupBy(F.col(lang_col).alias("lang")).agg(F.coalesce(size, F.lit(0)).alias("size")).orderBy(F.desc("size"), "lang")
@@ -525,7 +535,7 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     languages = tuple(r["lang"] for r in top if r["lang"] is not None and r["size"] >= LEAST_BYTES)[:MOST_LANGUAGES]
     total = sum(r["size"] for r in top)  # what lies beyond is less than any of these
     by_language = models(count(df, id_col, text_col, lang_col, languages))
-    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-total // PART)), id_col, text_col, lang_col, languages))
+    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-total // PART)), id_col, text_col, lang_col, languages, with_text))
     limits = bands(measured)
     inside = F.lit(True)
     for x, (low, high) in sorted(limits.items()):
