@@ -7,42 +7,44 @@ the folder that spark.checkpoint.dir names.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.llm import jaccard, packing, quality_classifier, quality_rules, secret_scan
 from veraz.llm.queries import WORD_BPE
-from veraz.llm.shared import checkpoint, written
+from veraz.llm.shared import checkpoint, drop, written
 
-#: Rejected ids up to which they are broadcast (some 24 MB); more go through a shuffled join.
+#: Ids up to which they are broadcast (some 24 MB); more go through a shuffled join.
 BROADCAST_IDS = 1_000_000
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose ids are not rejected."""
-    gone = checkpoint(rejected.select(F.col("doc_id").alias("_gone")).distinct())
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-
-
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the perplexity band of their language reject go."""
-    return _without(docs, quality_rules.judge(docs).where(~F.col("kept")))
+    return quality_rules.kept_rows(docs)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below 0.3 go. The model learns from the labelled rows of the training folds."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = quality_classifier.train(docs, labels, usable=~quality_classifier.held_out())
-    return _without(docs, quality_classifier.score(docs, weights).where(F.col("score") < 0.3))
+    return quality_classifier.scored(docs, weights, score_col="_score").where(F.col("_score") >= 0.3).select(docs.columns)
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents and the column that tells their rows apart: doc_id, or where ids are null or
+    occur twice a number that is written with the rows."""
+    if not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count():
+        return docs, "doc_id"
+    return written(docs.withColumn("_row", F.monotonically_increasing_id())), "_row"
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id stays."""
-    return _without(docs, jaccard.join(docs).where(F.col("doc_id") != F.col("component_id")))
+    rows, key = _numbered(docs)
+    gone = checkpoint(jaccard.join(rows, key).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")))
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, rows[key] == gone["_gone"], "left_anti").select(docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,8 +71,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again before the next; what a stage has
+    read is deleted once its successor is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     *first, (_, last) = STAGES
-    kept = reduce(lambda d, stage: written(stage[1](spark, d, sf_dir)), first, docs)
-    return last(spark, kept, sf_dir)
+    for _, stage in first:
+        docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            drop(before)
+        before = docs
+    return last(spark, docs, sf_dir)
