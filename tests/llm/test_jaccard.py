@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.conftest import TESTDATA
@@ -43,11 +44,11 @@ def test_documents(spark):
     assert got(df) == want and any(i != c for i, (_, c) in want.items())
 
 
-@pytest.mark.parametrize(("seed", "block"), [(1, None), (2, 2)])
+@pytest.mark.parametrize(("seed", "block"), [(1, None), (2, 2), (3, 7)])
 def test_chains_hubs_and_borders(spark, monkeypatch, seed, block):
     """Chains of small edits, groups of copies, shared passages, and pairs at just about the threshold."""
     if block:  # many blocks for one hub, and joins instead of broadcasts
-        for name in ("HUB_BLOCK", "CROSS_BLOCK", "BROADCAST_ROWS"):
+        for name in ("HUB_BLOCK", "CROSS_BLOCK", "BROADCAST_ROWS", "HOT_COPIES"):
             monkeypatch.setattr(jaccard, name, block)
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4)))
@@ -68,6 +69,46 @@ def test_chains_hubs_and_borders(spark, monkeypatch, seed, block):
     assert got(df) == brute(rows)
 
 
+def test_overlaps():
+    row = np.array([2, 5, 9], np.uint64)
+    assert jaccard.overlaps(row, [np.array(x, np.uint64) for x in ([], [2, 9], [1, 3], [9], [2, 5, 9, 11])]).tolist() == [0, 2, 0, 1, 3]
+    assert jaccard.overlaps(row, []).tolist() == [] and jaccard.overlaps(row[:0], [row]).tolist() == [0]
+
+
+@pytest.mark.parametrize("sizes", [(300, 310), (500, 620), (500, 700), (1000, 1100), (40_000, 45_000)])
+def test_sketches_rule_out_no_link(sizes):
+    """Sets at and around the threshold, of one width of sketch and of neighbouring ones."""
+    rng = np.random.default_rng(sum(sizes))
+    a, b = sizes
+    shared = -(-80 * (a + b) // 180)
+    pool = np.unique(rng.integers(0, 2**64, 2 * (a + b), dtype=np.uint64))
+    rng.shuffle(pool)
+    one = np.sort(pool[:a])
+    for overlap in (min(shared, a), max(shared - 3, 0), a // 2, 0):
+        other = np.sort(np.concatenate([one[:overlap], pool[a : a + b - overlap]]))
+        links = 100 * overlap >= 80 * (a + b - overlap)
+        x, y = (np.frombuffer(jaccard.parity(s), np.uint64) for s in (one, other))
+        for p, q, n, m in ((x, y, a, b), (y, x, b, a)):
+            assert jaccard.may_link(p, n, [q], np.array([m]), 80)[0] or not links
+        if overlap <= a // 2:
+            assert not jaccard.may_link(x, a, [y], np.array([b]), 80)[0]
+    assert jaccard.folded(y[None], len(x) // 4).shape[1] == len(x) // 4
+
+
+def test_cells_follow_the_input():
+    assert [jaccard._cells(n) for n in (0, 1 << 30, 1 << 36, 1 << 37, 1 << 60)] == [1 << 20, 1 << 20, 1 << 22, 1 << 22, 1 << 22]
+    h = np.array([0, 2**64 - 1, 2**63], np.uint64)
+    assert jaccard._cell(h, 1 << 20).tolist() == [0, (1 << 20) - 1, 1 << 19]
+
+
+def test_one_id_with_different_texts(spark):
+    """The longest of them counts."""
+    a, b = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 40), ("b", 30)))
+    df = spark.createDataFrame([(1, a), (1, b), (1, None), (2, a + " more"), (3, b), (4, "other words that link with nothing"), (None, a), (None, a)], "doc_id long, text string")
+    rows = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(df).collect()]
+    assert sorted(r for r in rows if r[0]) == [(1, 36, 1), (2, 37, 1), (3, 26, 3), (4, 2, 4)] and [r[:2] for r in rows if r[0] is None] == [(None, 36)]
+
+
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == {}
 

@@ -10,19 +10,26 @@ bounds that lose no pair:
    among the first m - ceil(t*m) + 1 and n - ceil(t*n) + 1, so only those columns enter the product.
 3. Columns are dealt out by shingle and sorted. The first document of a column is its hub; overlap
    counts add up how many columns a document shares with a hub. Every document is checked against
-   its best hub and its smallest one within the size bounds, by exact overlap counts, in blocks of
-   one hub and a bounded number of documents: a group of copies costs two checks a document.
+   its best hub and its smallest one within the size bounds, unless parity sketches rule the pair
+   out (documents whose sets differ in d shingles have sketches that differ in at most d bits): blocks of one hub row and up to
+   ``HUB_BLOCK`` document rows of the whole matrix are multiplied, which adds up the exact overlaps,
+   and pairs below the bound that their sizes give are discarded. A group of copies costs two
+   checks a document.
 4. Two documents of one column share its hub, so the pairs that are left lie within the documents
    of one hub. Where these belong to several components, pairs across components are held against
-   the size bound and against a bound from parity sketches (documents whose sets differ in d
-   shingles have sketches that differ in at most d bits), block by block inside the tasks; only
-   pairs that neither bound rules out are written and checked exactly. Pairs in one component are
-   linked already, by way of others.
+   the bounds of sizes and sketches, block by block inside the tasks; only pairs that neither
+   rules out are written and multiplied exactly. Hubs with more than
+   ``CROSS_BLOCK`` documents are cut by set size first, as sets of too different sizes can't link.
+   Pairs in one component are linked already, by way of others.
 5. Components come from propagating the smallest id.
 
+The sketch has more cells for larger inputs (4 to 16 MB of counts). At most 100,000 partitions hold the
+columns; beyond that they grow, and what reads them is sorted and streamed.
+
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a
-shingle are one shingle; repeated rows with one id are one document; an empty table gives no rows;
-other columns are not read, whatever their names are. Null ids are not linked to others.
+shingle are one shingle; rows of one id are one document, of different texts the longest counts
+(ties: the greater in bytes); an empty table gives no rows; other columns are not read, whatever
+their names are. Null ids are not linked to others; of their rows each set size has one.
 """
 
 from __future__ import annotations
@@ -41,17 +48,19 @@ from veraz.llm.shared import checkpoint, written
 from veraz.llm.words import chunks, ngrams, word_hashes
 
 WORDS, PERCENT = 5, 80
-#: Cells of the shingle sketch: 4 MB of counts, whatever the corpus.
-CELL_BITS = 20
+#: Cells of the shingle sketch: from 4 MB of counts for small inputs to 16 MB; bytes of text a cell stands for in between.
+LEAST_CELL_BITS, MOST_CELL_BITS, CELL_TEXT = 20, 22, 32 << 10
 BLOCK_BITS = 14
 #: Columns of the matrix in one partition, about.
 ENTRIES = 1 << 20
 #: Documents that are checked against one hub in one block.
 HUB_BLOCK = 512
+#: Copies of one set from which on they are found by a broadcast of their key instead of a shuffle by it.
+HOT_COPIES = 256
 #: Documents in one block of those that share a hub.
 CROSS_BLOCK = 1024
-#: Bits of a document's parity sketch.
-PARITY_BITS = 1024
+#: Logarithms of the fewest and the most cells of a document's parity sketch (128 bytes and 16 KB).
+LEAST_PARITY, MOST_PARITY = 10, 17
 #: Rows of a needed-document table up to which it is broadcast (24 bytes a row).
 BROADCAST_ROWS = 400_000
 
@@ -71,13 +80,44 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """For each of some cells, whether an odd number of the shingles falls in it."""
-    cells = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
-    return np.packbits(cells & 1).tobytes()
+    """For each of some cells, whether an odd number of the shingles falls in it. There are two to four
+    cells a shingle, so that sets of any size can be told apart; sketches of fewer cells are
+    made from it by ``folded``."""
+    cells = 1 << min(max((2 * len(shingles)).bit_length(), LEAST_PARITY), MOST_PARITY)
+    counts = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits(counts & 1).tobytes()
+
+
+def folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 64-bit words of parity sketches, as if they had only so many words' cells."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def may_link(one: np.ndarray, n: int, others: list[np.ndarray] | np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets neither the sizes nor the parity sketches (rows of words) keep from linking with one."""
+    both = n + sizes
+    differ = both - 2 * -(-percent * both // (100 + percent))  # the most shingles in which sets that link differ
+    fits = 100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)
+    widths = np.array([len(x) for x in others])
+    for width in np.unique(widths[fits]).tolist():
+        at = np.flatnonzero(fits & (widths == width))
+        least = min(width, len(one))
+        far = np.bitwise_count(folded(np.stack([others[i] for i in at.tolist()]), least) ^ folded(one[None], least)).sum(1)
+        fits[at] = far <= differ[at]
+    return fits
+
+
+def _cell(h: np.ndarray, cells: int) -> np.ndarray:
+    """The place of shingles among a power of two of cells."""
+    return (h >> np.uint64(65 - cells.bit_length())).astype(np.int64)
 
 
-def _cell(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def _cells(size: int) -> int:
+    bits = max(1, -(-size // CELL_TEXT)).bit_length()
+    return 1 << min(max(bits, LEAST_CELL_BITS), MOST_CELL_BITS)
 
 
 def _bytes_in(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,15 +130,15 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.
             yield batch.slice(k, rows)
 
 
-def _profile(n: int):
+def _profile(n: int, cells: int):
     """Each document's set size and hash; at the end of a partition, the blocks of its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "n", "key", "parity", "block", "counts"]
-        sketch = np.zeros(1 << CELL_BITS, np.uint32)
+        sketch = np.zeros(cells, np.uint32)
         for batch in _slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
-            np.add.at(sketch, _cell(np.concatenate(sets)), 1) if sets else None
+            np.add.at(sketch, _cell(np.concatenate(sets), cells), 1) if sets else None
             keys = [set_key(s) for s in sets]
             empty = pa.nulls(len(sets))
             yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([parity(x) for x in sets], pa.binary()), empty.cast(pa.int32()), empty.cast(pa.binary())], names)
@@ -132,7 +172,7 @@ def _prefixes(n: int, percent: int, sketch):
                 seen.add(key)
                 m = len(s)
                 p = m - -(-percent * m // 100) + 1
-                first = s[np.lexsort((s, counts[_cell(s)]))[:p]]
+                first = s[np.lexsort((s, counts[_cell(s, len(counts))]))[:p]]
                 for column, value in zip(columns, (first.view(np.int64), np.full(p, doc), np.full(p, m)), strict=True):
                     column.append(value)
             if columns[0]:
@@ -168,14 +208,28 @@ def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(x, t) for x, t in zip((*found[:, first], times), types, strict=True)], ["hub", "doc", "n", "hub_n", "met"])
 
 
+def _words(column: pa.Array) -> list[np.ndarray]:
+    """Parity sketches as arrays of 64-bit words."""
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
 def _crossing(percent: int):
     """Sorted blocks of documents that share a hub -> pairs across components that neither the sizes
     nor the parity sketches rule out."""
 
-    def pairs(c, doc, n, bits, side) -> Iterator[tuple[int, int]]:
+    def pairs(c, doc, n, side, guest, bits) -> Iterator[tuple[int, int]]:
         order = np.lexsort((doc, c))
-        c, doc, n, bits, side = c[order], doc[order], n[order].astype(np.int64), bits[order], side[order]
+        c, doc, n, side, guest, bits = c[order], doc[order], n[order].astype(np.int64), side[order], guest[order], [bits[i] for i in order.tolist()]
         whole = (side == side[0]).all()
+        # Sketches of one width are rows of one matrix; each is also kept folded once, as sizes within
+        # the bound have widths that differ by one step at most.
+        widths = np.array([len(x) for x in bits])
+        rows = {w: np.flatnonzero(widths == w) for w in np.unique(widths).tolist()}
+        place = np.empty(len(bits), np.int64)
+        for at in rows.values():
+            place[at] = np.arange(len(at))
+        full = {w: np.stack([bits[i] for i in at.tolist()]) for w, at in rows.items()}
+        half = {w: folded(m, w // 2) for w, m in full.items() if w // 2 in full}
         for i in range(len(c) - 1):
             j = int(np.searchsorted(c, c[i], side="right"))  # sorted by component: what follows differs
             if j == len(c):
@@ -185,86 +239,143 @@ def _crossing(percent: int):
             fits = 100 * np.minimum(n[j:], n[i]) >= percent * np.maximum(n[j:], n[i])
             if not whole:
                 fits &= side[j:] != side[i]
-            at = np.flatnonzero(fits)
-            at = at[np.bitwise_count(bits[j + at] ^ bits[i]).sum(1) <= differ[at]]
-            for other in doc[j + at].tolist():
-                yield (other, int(doc[i])) if other < doc[i] else (int(doc[i]), other)
+            if guest[i]:
+                fits &= ~guest[j:]  # two guests meet in their own class
+            own = int(widths[i])
+            for w, m in full.items():
+                at = np.flatnonzero(fits & (widths[j:] == w))
+                if not len(at) or w > 2 * own or own > 2 * w:
+                    if len(at):  # a percentage so low that sizes differ by more than a step
+                        at = at[may_link(bits[i], int(n[i]), [bits[j + k] for k in at.tolist()], n[j + at], percent)]
+                else:
+                    that = (half if w > own else full)[w][place[j + at]]
+                    this = half[own][place[i]] if w < own else full[own][place[i]]
+                    at = at[np.bitwise_count(that ^ this).sum(1) <= differ[at]]
+                for other in doc[j + at].tolist():
+                    yield (other, int(doc[i])) if other < doc[i] else (int(doc[i]), other)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: set[tuple[int, int]] = set()
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple] = []
         group = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            new = {q for q in pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))} - recent
+            *columns, bits = zip(*held, strict=True)
+            new = {q for q in pairs(*(np.concatenate(x) for x in columns), [b for block in bits for b in block])} - recent
             if len(recent) > 500_000:
                 recent.clear()
             recent.update(new)
             if new:
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*new, strict=True)], ["a", "b"])
 
-        for batch in batches:
-            hub, lo, hi, side, c, doc, n = (batch.column(i).to_numpy() for i in range(7))
-            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
-            cuts = [0, *(np.flatnonzero((hub[1:] != hub[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1).tolist(), len(hub)]
+        for batch in _slices(batches):
+            hub, group_, lo, hi, side, c, doc, n = (batch.column(i).to_numpy() for i in range(8))
+            guest, bits = batch.column(8).to_numpy(zero_copy_only=False), _words(batch.column(9))
+            cuts = [0, *(np.flatnonzero((hub[1:] != hub[:-1]) | (group_[1:] != group_[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1).tolist(), len(hub)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if a == b:
                     continue
-                if held and group != (hub[a], lo[a], hi[a]):
+                if held and group != (hub[a], group_[a], lo[a], hi[a]):
                     yield from flush()
                     held = []
-                group = (hub[a], lo[a], hi[a])
-                held.append(tuple(x[a:b] for x in (c, doc, n, bits, side)))
+                group = (hub[a], group_[a], lo[a], hi[a])
+                held.append((*(x[a:b] for x in (c, doc, n, side, guest)), bits[a:b]))
         if held:
             yield from flush()
 
     return run
 
 
+def _by_hub(batch: pa.RecordBatch, hub: int | None) -> Iterator[tuple[int, int, int | None]]:
+    """Ranges of rows of one hub, without the hub's own row, and the place of that row in the batch; None: it
+    was in an earlier batch."""
+    hubs, docs = (batch.column(i).to_numpy() for i in (0, 2))
+    lead = np.flatnonzero(hubs == docs).tolist()
+    for a, b in zip([0, *lead], [*lead, len(hubs)], strict=True):
+        own = a if a < b and hubs[a] == docs[a] else None
+        if (hubs[a:b] != (hub if own is None else hubs[own])).any():
+            raise ValueError("a block without its hub")
+        if a < b:
+            hub = int(hubs[a])
+            yield (a if own is None else a + 1), b, own
+
+
+def _bounded(percent: int):
+    """Blocks of a hub's set size and parity sketch and others' -> the pairs that these don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own, size = None, np.zeros(0, np.uint64), 0
+        for batch in _slices(batches):
+            docs, n, bits, found = batch.column(2).to_numpy(), batch.column(3).to_numpy(), _words(batch.column(4)), []
+            for a, b, lead in _by_hub(batch, hub):
+                if lead is not None:
+                    hub, own, size = int(docs[lead]), bits[lead], int(n[lead])
+                if a < b:
+                    found += [(hub, int(d)) for d in docs[a:b][may_link(own, size, bits[a:b], n[a:b], percent)]]
+            if found:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    return run
+
+
+def overlaps(row: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """One row of the matrix times others: how many shingles of ``row``, sorted, each of the others holds."""
+    if not len(row) or not rows:
+        return np.zeros(len(rows), np.int64)
+    entries = np.concatenate(rows)
+    met = row[np.minimum(np.searchsorted(row, entries), len(row) - 1)] == entries
+    return np.bincount(np.repeat(np.arange(len(rows)), [len(r) for r in rows]), weights=met, minlength=len(rows)).astype(np.int64)
+
+
 def _checked(n: int, percent: int):
     """Blocks of a hub's text and other texts -> the links among them, by exact overlap counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, np.uint64)
         for batch in _slices(batches, 256):
-            sets = shingle_sets(batch.column(3).to_pylist(), n)
-            links = []
-            for a, doc, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), sets, strict=True):
-                if a == doc:
-                    hub, own = a, s
-                    continue
-                if a != hub:
-                    raise ValueError("a block without its hub")
-                at = np.minimum(np.searchsorted(own, s), len(own) - 1)
-                overlap = int(np.count_nonzero(own[at] == s)) if len(own) and len(s) else 0
-                if overlap and 100 * overlap >= percent * (len(own) + len(s) - overlap):
-                    links.append((a, doc))
+            docs, sets, links = batch.column(2).to_numpy(), shingle_sets(batch.column(3).to_pylist(), n), []
+            for a, b, lead in _by_hub(batch, hub):
+                if lead is not None:
+                    hub, own = int(docs[lead]), sets[lead]
+                if a < b:
+                    size = len(own) + np.array([len(x) for x in sets[a:b]])
+                    overlap = overlaps(own, sets[a:b])
+                    links += [(hub, int(d)) for d in docs[a:b][(overlap > 0) & (100 * overlap >= percent * (size - overlap))]]
             if links:
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
 
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """The pairs (a, b) of distinct documents whose sets overlap enough."""
+def _dealt(pairs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
+    """Pairs (a, b) as blocks of a hub, first, and up to about ``HUB_BLOCK`` others: a, block, doc and the other columns of rows."""
     sized = pairs.join(pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {HUB_BLOCK}) as int)").alias("blocks")), "a")
     members = sized.select("a", F.expr("cast(pmod(xxhash64(b), blocks) as int)").alias("block"), F.col("b").alias("doc"))
     need = checkpoint(members.unionByName(members.select("a", "block").distinct().withColumn("doc", F.col("a"))))
     if need.count() <= BROADCAST_ROWS:
         need = F.broadcast(need)
-    told = texts.join(need, "doc").select("a", "block", "doc", "text")
-    dealt = told
-    dealt = dealt.repartition(parts, "a", "block").sortWithinPartitions("a", "block", (F.col("a") == F.col("doc")).desc())
-    return dealt.mapInArrow(_checked(n, percent), "a long, b long")
+    told = rows.join(need, "doc").select("a", "block", "doc", *(c for c in rows.columns if c != "doc"))
+    return told.repartition(parts, "a", "block").sortWithinPartitions("a", "block", (F.col("a") == F.col("doc")).desc())
+
+
+def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """The pairs (a, b) of distinct documents whose sets overlap enough."""
+    return _dealt(pairs, texts, parts).mapInArrow(_checked(n, percent), "a long, b long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``id_col``, n_shingles long, component_id long (the smallest document
     reachable by links, itself included)."""
     spark, texts = df.sparkSession, _bytes_in(df, id_col, text_col)
-    profile = written(texts.mapInArrow(_profile(words), "doc long, n long, key binary, parity binary, block int, counts binary"))
+    read = texts.groupBy("doc").agg(F.sum(F.octet_length("text")).alias("size"), F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+    read = read.agg(F.sum("size").alias("size"), F.count_if(F.expr("doc is not null and lo <> hi")).alias("torn")).first()
+    cells = _cells(read["size"] or 0)
+    if read["torn"]:
+        own = texts.where("doc is not null").groupBy("doc").agg(F.max(F.struct(F.octet_length("text").alias("l"), "text")).alias("t")).select("doc", "t.text")
+        texts = written(own.unionByName(texts.where("doc is null")))
+    profile = written(texts.mapInArrow(_profile(words, cells), "doc long, n long, key binary, parity binary, block int, counts binary"))
     documents = profile.where("block is null").select("doc", "n", "key")
-    sketch = np.zeros(1 << CELL_BITS, np.uint32)
+    sketch = np.zeros(cells, np.uint32)
     for r in profile.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").collect():
         sketch[r.block << BLOCK_BITS : (r.block + 1) << BLOCK_BITS] = np.frombuffer(r["counts"], np.uint32)
     shared = spark.sparkContext.broadcast(sketch)
@@ -277,11 +388,21 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     sized = near.where(F.expr(f"doc <> hub and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"))
     best = sized.groupBy("doc").agg(F.max(F.struct("met", (-F.col("hub")).alias("neg"))).alias("m"), F.min("hub").alias("first"))
     hub_pairs = checkpoint(best.select(F.explode(F.array_distinct(F.array(-F.col("m.neg"), "first"))).alias("a"), F.col("doc").alias("b")))
-    first = checkpoint(_links(hub_pairs, texts, words, percent, parts))
+    sketches = profile.where("block is null and n > 0 and doc is not null").groupBy("doc").agg(F.max(F.struct("n", "parity")).alias("s")).select("doc", "s.n", "s.parity")
+    possible = checkpoint(_dealt(hub_pairs, sketches, parts).mapInArrow(_bounded(percent), "a long, b long").distinct())
+    first = checkpoint(_links(possible, texts, words, percent, parts))
 
     # Documents with equal sets are one: the smallest of them.
-    same = documents.where("n > 0 and doc is not null").groupBy("key").agg(F.min("doc").alias("rep"), F.max("doc").alias("other"))
-    copies = checkpoint(documents.where("n > 0 and doc is not null").join(same.where("rep <> other"), "key").select("doc", "rep").where("doc <> rep").distinct())
+    filled = documents.where("n > 0 and doc is not null")
+    same = checkpoint(filled.groupBy("key").agg(F.min("doc").alias("rep"), F.max("doc").alias("other"), F.count("*").alias("times")).where("rep <> other").drop("other"))
+    hot, cold = same.where(F.col("times") > HOT_COPIES).select("key", "rep"), same.where(F.col("times") <= HOT_COPIES).select("key", "rep")
+    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # Large groups don't meet in a task: their keys come to the documents.
+        known = filled.join(F.broadcast(hot), "key", "left")
+        found = known.where("rep is not null").unionByName(known.where("rep is null").drop("rep").join(cold, "key"))
+    else:
+        found = filled.join(same.drop("times"), "key")
+    copies = checkpoint(found.select("doc", "rep").where("doc <> rep").distinct())
 
     def on_reps(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
@@ -293,11 +414,19 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     labels = components(linked)
     of_doc = copies.select("doc", "rep").unionByName(labels.select(F.col("node").alias("doc"), F.col("node").alias("rep"))).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(F.col("doc").alias("d"), F.coalesce("component", "rep").alias("c"))
     placed = written(near.join(of_doc, F.col("doc") == F.col("d"), "left").select("hub", F.coalesce("c", "doc").alias("c"), "doc", "n"))
-    mixed = placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.expr(f"cast(ceil(count(*) / {CROSS_BLOCK}) as int)").alias("blocks")).where("lo <> hi").select("hub", "blocks")
-    sides = placed.join(mixed, "hub").withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crossing = sides.select("hub", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"))
-    crossing = crossing.join(profile.where("block is null and n > 0").groupBy("doc").agg(F.max("parity").alias("parity")), "doc").select(*crossing.columns, "parity")
-    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi").mapInArrow(_crossing(percent), "a long, b long").distinct())
+    mixed = placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("hub", "members")
+    # Classes of sizes that are a little wider than the sizes of two sets that link can differ; a large
+    # hub is cut into groups of a class and, as guests, the class above it.
+    width = np.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
+    members = placed.join(mixed, "hub").withColumn("_class", F.when(F.col("members") > CROSS_BLOCK, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
+    guests = members.where(F.col("members") > CROSS_BLOCK).select("hub", "c", "doc", "n", "members", (F.col("_class") - 1).alias("group"), F.lit(True).alias("guest"))
+    members = members.select("hub", "c", "doc", "n", "members", F.col("_class").alias("group"), F.lit(False).alias("guest")).unionByName(guests)
+    sizes = members.where(F.col("members") > CROSS_BLOCK).groupBy("hub", "group").agg(F.expr(f"cast(ceil(count(*) / {CROSS_BLOCK}) as int)").alias("blocks"))
+    sides = members.join(sizes, ["hub", "group"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sides = sides.withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crossing = sides.select("hub", "group", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"), "guest")
+    crossing = crossing.join(sketches.select("doc", "parity"), "doc").select(*crossing.columns, "parity")
+    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "group", "lo", "hi").sortWithinPartitions("hub", "group", "lo", "hi").mapInArrow(_crossing(percent), "a long, b long").distinct())
     second = on_reps(_links(cross_pairs, texts, words, percent, parts))
     labels = components(linked.unionByName(second))
     final = documents.select("doc", "n").distinct().join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc")).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
