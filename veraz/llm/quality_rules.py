@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veraz.llm.pieces import joined
 from veraz.llm.shared import written
 from veraz.llm.words import _BASE, _SPACE, chunks, mix, ngrams, word_hashes
 
@@ -58,6 +59,7 @@ KEY_BITS = 40
 ZSTD_LEVEL = 9
 #: Bytes of text in a chunk, and in the corpus for each part of the range of hashes.
 CHUNK, PART, LEAST_PARTS = 14 << 20, 32 << 20, 64
+SLICE_EVENTS = 200_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 MARKS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -227,19 +229,17 @@ def _measures(text: bytes) -> tuple[int, int, int]:
     return len(s) - sum(map(s.count, _BLANKS)), sum(map(s.count, MARKS)), len(lines) - len(set(lines))
 
 
-def _repeated(h: np.ndarray) -> int:
-    """Words in windows of three words that are found twice or more."""
-    if len(h) < 3:
-        return 0
-    grams = ngrams(h, np.array([0, len(h)]), 3, short=False)[0]
-    _, where, times = np.unique(grams, return_inverse=True, return_counts=True)
-    if len(times) == len(grams):
-        return 0
+def _repeated(h: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """For each text, its words in windows of three words that are found twice or more in it."""
+    grams, o = ngrams(h, offsets, 3, short=False)
+    n = np.diff(o)
+    row = np.repeat(np.arange(len(n)), n)
+    _, at, times = _places(mix(grams + mix(row.astype(np.uint64))))
+    first = (offsets[row] + np.arange(len(grams)) - o[row])[times[at] > 1]
     again = np.zeros(len(h), bool)
-    at = np.flatnonzero(times[where] > 1)
     for j in range(3):
-        again[at + j] = True
-    return int(again.sum())
+        again[first + j] = True
+    return np.diff(np.concatenate([[0], np.cumsum(again)])[offsets]).tolist()
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
@@ -256,16 +256,27 @@ def _unpack(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As np.unique: the distinct keys, where one of each is, the number of each key, and their counts; in less memory."""
-    order = np.argsort(keys)
-    keys = keys[order]
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order, the number of each key among them, and their counts. Keys
+    below 2^40 are sorted in place with their positions in the low bits."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int32), np.zeros(0, np.int64)
+    if len(keys) < 1 << 24 and not int(keys.max()) >> 40:
+        packed = keys.astype(np.uint64) << np.uint64(24)
+        packed |= np.arange(len(keys), dtype=np.uint64)
+        packed.sort()
+        order = (packed & np.uint64((1 << 24) - 1)).astype(np.int32)
+        packed >>= np.uint64(24)
+        ordered = packed
+    else:
+        order = np.argsort(keys)
+        ordered = keys[order]
     new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
     at = np.empty(len(keys), np.int32)
     at[order] = np.cumsum(new, dtype=np.int32) - 1
     starts = np.flatnonzero(new)
-    return keys[starts], order[starts], at, np.diff(starts, append=len(keys))
+    return ordered[starts], at, np.diff(starts, append=len(keys))
 
 
 def _give_back() -> None:
@@ -316,6 +327,15 @@ def _salted(h: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
 _END, _ALL = np.uint64(0x9A3C6E5D1B7F2048), np.uint64(0x3F84D5B5B5470917)
 
 
+def _before(count: np.ndarray) -> np.ndarray:
+    """The place of the word before each event of texts with so many: before the first, the text's own end."""
+    at = np.arange(-1, int(count.sum()) - 1)
+    there = count > 0
+    ends = np.cumsum(count)[there]
+    at[ends - count[there]] = ends - 1
+    return at
+
+
 @dataclass
 class Events:
     """What texts give to count and to score: the words of each, and its end after them."""
@@ -325,32 +345,26 @@ class Events:
 
     @classmethod
     def of(cls, texts: list[bytes], lang: np.ndarray) -> Events:
-        hashes, n_words = [], []
+        words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for a, b in chunks(texts):
             h, o = word_hashes(texts[a:b], fold=False)
-            hashes.append(h)
-            n_words.append(np.diff(o))
-        n = np.concatenate([*n_words, np.zeros(0, np.int64)])
-        count = n + (n > 0)
-        ends = np.cumsum(count)[n > 0] - 1
-        of_row = np.repeat(lang, count)
-        word = np.empty(len(of_row), np.uint64)
-        inner = np.ones(len(word), bool)
-        inner[ends] = False
-        word[inner] = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        word[ends] = _END
-        return cls(_salted(word, of_row), count)
-
-    def before(self) -> np.ndarray:
-        """The place of the word before each: before the first, the text's own end."""
-        at = np.arange(-1, len(self.word) - 1)
-        there = self.count > 0
-        ends = np.cumsum(self.count)[there]
-        at[ends - self.count[there]] = ends - 1
-        return at
+            n = np.diff(o)
+            count = n + (n > 0)
+            word = np.full(int(count.sum()), _END)
+            inner = np.ones(len(word), bool)
+            inner[np.cumsum(count)[n > 0] - 1] = False
+            word[inner] = h
+            words.append(_salted(word, np.repeat(lang[a:b], count)))
+            counts.append(count)
+        return cls(np.concatenate(words), np.concatenate(counts))
 
     def bigrams(self) -> np.ndarray:
-        return mix(self.word[self.before()] * np.uint64(_BASE) + self.word) >> np.uint64(64 - KEY_BITS)
+        both = self.word[_before(self.count)]
+        both *= np.uint64(_BASE)
+        both += self.word
+        both = mix(both)
+        both >>= np.uint64(64 - KEY_BITS)
+        return both
 
 
 def _requests(words: np.ndarray, bigrams: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +406,7 @@ def totals(requested: DataFrame) -> DataFrame:
         keys = [np.cumsum(_unpack(k, 6)) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([_unpack(c, 5) for c in table.column("counts").to_pylist()])
         ends = np.cumsum([len(k) for k in keys]).tolist()
-        at = _places(np.concatenate(keys))[2]
+        at = _places(np.concatenate(keys))[1]
         total = np.bincount(at, weights=counts).astype(np.uint64)
         answers = [_pack(total[at[i:j]], 5) for i, j in zip([0, *ends], ends, strict=False)]
         return table.select(["chunk", "mark", "part"]).append_column("totals", pa.array(answers, pa.binary()))
@@ -424,7 +438,7 @@ def spelled(texts: list[bytes], model: NgramModel | None, found: np.ndarray) ->
 
 def _own(text: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
     """How often each event's n-gram is in its own text."""
-    _, _, at, times = _places(text * n + gram)
+    _, at, times = _places((text * n + gram).astype(np.uint64))
     return times[at]
 
 
@@ -471,13 +485,13 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         plain, repeated = [_measures(t) for t in texts], []
         for a, b in chunks(texts):
             h, o = word_hashes(texts[a:b], fold=False)
-            repeated += [_repeated(h[i:j]) for i, j in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
-        carried = [pa.array([x.decode() for x in texts], pa.string())] if with_text else []
+            repeated += _repeated(h, o)
+        carried = [joined(np.frombuffer(data, np.uint8), np.asarray(sizes), pa.string())] if with_text else []
         texts = data = mine = None
         _give_back()
         columns = [ids, *carried, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
-        words, _, word, _ = _places(e.word)
-        bigrams, _, bigram, _ = _places(e.bigrams())
+        words, word, _ = _places(e.word)
+        bigrams, bigram, _ = _places(e.bigrams())
         keys, order = _requests(words, bigrams, there)
         answers = answers.sort_by("part")
         total = np.concatenate([_unpack(t, 5) for t in answers.column("totals").to_pylist()] or [np.zeros(0, np.uint64)]).astype(np.float64)
@@ -485,16 +499,20 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
             raise RuntimeError("the input was read in another order the second time: write it to a table first")
         given = np.empty(len(total))
         given[order] = total
-        keys = order = total = answers = None
+        keys = order = total = answers = e = None
         n_word, n_bigram, n_all = np.split(given, [len(words), len(words) + len(bigrams)])
-        text, before = np.repeat(np.arange(len(count)), count), e.before()
-        e = None
-        others = n_word[word] - _own(text, word, max(len(words), 1))
-        log_p = _smoothed(others, WORD, spelling) - np.log((n_all[np.searchsorted(there, lang)] - count) + WORD)[text]
-        spelling = word = None
-        log_p = _smoothed(n_bigram[bigram] - _own(text, bigram, max(len(bigrams), 1)), BIGRAM, log_p) - np.log(others[before] + BIGRAM)
-        sums = np.bincount(text, weights=-log_p, minlength=len(count))
-        text = before = others = log_p = bigram = None
+        sums = np.zeros(len(count))
+        ends = np.cumsum(count)
+        # Texts in slices of some 200,000 events, as what is computed for them is several times larger.
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(SLICE_EVENTS, ends[-1] if len(ends) else 0, SLICE_EVENTS)), [len(count)]]))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            x = slice(ends[i] - count[i], ends[j - 1])
+            text, mine, of_word, of_bigram = np.repeat(np.arange(j - i), count[i:j]), count[i:j], word[x], bigram[x]
+            others = n_word[of_word] - _own(text, of_word.astype(np.int64), max(len(words), 1))
+            log_p = _smoothed(others, WORD, spelling[x]) - np.log((n_all[np.searchsorted(there, lang[i:j])] - mine) + WORD)[text]
+            log_p = _smoothed(n_bigram[of_bigram] - _own(text, of_bigram.astype(np.int64), max(len(bigrams), 1)), BIGRAM, log_p) - np.log(others[_before(mine)] + BIGRAM)
+            sums[i:j] = np.bincount(text, weights=-log_p, minlength=j - i)
+        spelling = word = bigram = given = n_word = n_bigram = None
         _give_back()
         perplexity = pa.array(sums / np.maximum(count, 1), pa.float64(), mask=count == 0)
         return pa.table([*columns, perplexity], ["id", *(["text"] if with_text else []), "lang_no", *_MEASURES, "log_perplexity"])
