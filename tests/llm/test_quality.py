@@ -173,6 +173,16 @@ def test_classifier_on_odd_rows(spark, odd):
     assert quality_classifier.score(odd.limit(0), w).count() == 0
 
 
+def test_long_texts_are_hashed_in_windows(monkeypatch):
+    """Windows of a few bytes, and words longer than them, give the hashes of one window."""
+    texts = ["aa bb! cc aa".encode(), b"", b"x" * 50 + b" y Z1", b" "]
+    whole = [words.word_hashes(texts, fold=True), words.shape_hashes(texts)]
+    monkeypatch.setattr(words, "CHUNK_BYTES", 7)
+    monkeypatch.setattr(words, "_tables", [])
+    (h, o), s = words.word_hashes(texts, fold=True), words.shape_hashes(texts)
+    assert h.tolist() == whole[0][0].tolist() and o.tolist() == whole[0][1].tolist() and s.tolist() == whole[1].tolist() and len(h) == 7
+
+
 M64 = (1 << 64) - 1
 
 

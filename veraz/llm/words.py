@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Bytes of text that are hashed at a time (a longer text: by itself).
+#: Bytes of text that are hashed at a time (a longer word: by itself).
 CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -21,9 +21,12 @@ _BASE = 0x9E3779B97F4A7C15
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the finaliser of splitmix64)."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = np.array(h, np.uint64, ndmin=1)  # a copy, which is changed in place
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 @lru_cache(maxsize=2)
@@ -38,30 +41,49 @@ _tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; kept for chunks, computed anew for longer texts."""
+    """Powers of the base and of its inverse; kept for windows, computed anew for longer words."""
     if _tables and len(_tables[0][0]) >= n:
         return _tables[0]
-    size = max(n, CHUNK_BYTES + 1)
+    size = max(n, CHUNK_BYTES + 2)
     made = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.ones(size, np.uint64)
         p[1:] = np.uint64(base)
         made.append(np.multiply.accumulate(p))
-    if size <= CHUNK_BYTES + 1:
+    if size <= CHUNK_BYTES + 2:
         _tables[:] = [tuple(made)]
     return tuple(made)
 
 
+def _edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end; the data begins and ends with white space."""
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    return edges[::2], edges[1::2]
+
+
+def _windows(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of words that lie within a window of bytes, or of one word."""
+    i = 0
+    while i < len(starts):
+        j = max(int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, side="right")), i + 1)
+        yield i, j
+        i = j
+
+
 def word_hashes(texts: list[bytes], fold: bool) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words in order, and where each text's words begin (one more at the end)."""
     data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
-    inside = ~_SPACE[data]
-    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    starts, ends = edges[::2], edges[1::2]
-    power, inverse = _powers(len(data))
+    starts, ends = _edges(data)
+    h = np.empty(len(starts), np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.cumsum(_byte_values(fold)[data] * power[: len(data)])
-        h = mix((sums[ends - 1] - sums[starts - 1]) * inverse[starts])
+        for i, j in _windows(starts, ends):
+            lo = starts[i]
+            values = _byte_values(fold)[data[lo : ends[j - 1]]]
+            power, inverse = _powers(len(values) + 1)
+            sums = np.zeros(len(values) + 1, np.uint64)
+            np.cumsum(values * power[: len(values)], out=sums[1:])
+            h[i:j] = mix((sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * inverse[starts[i:j] - lo])
     begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
     return h, np.searchsorted(starts, begins)
 
@@ -120,14 +142,17 @@ def shape_hashes(texts: list[bytes]) -> np.ndarray:
     """The hash of the shape of each word, in the order of ``word_hashes``: its bytes' looks with
     runs of one look put together."""
     data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
-    inside = ~_SPACE[data]
-    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    starts, ends = edges[::2], edges[1::2]
-    look = _SHAPES[data]
-    kept = np.ones(len(data), bool)
-    kept[1:] = look[1:] != look[:-1]
-    rank = np.cumsum(kept)
-    power, inverse = _powers(len(data) + 1)
+    starts, ends = _edges(data)
+    h = np.empty(len(starts), np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.cumsum(np.where(kept, mix(look + np.uint64(7)) * power[rank], np.uint64(0)))
-        return mix((sums[ends - 1] - sums[starts - 1]) * inverse[rank[starts]])
+        for i, j in _windows(starts, ends):
+            lo = starts[i]
+            look = _SHAPES[data[lo : ends[j - 1]]]
+            kept = np.ones(len(look), bool)
+            kept[1:] = look[1:] != look[:-1]
+            rank = np.cumsum(kept)
+            power, inverse = _powers(len(look) + 2)
+            sums = np.zeros(len(look) + 1, np.uint64)
+            np.cumsum(np.where(kept, mix(look + np.uint64(7)) * power[rank], np.uint64(0)), out=sums[1:])
+            h[i:j] = mix((sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * inverse[rank[starts[i:j] - lo]])
+    return h
