@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_operators import AWARD, CONTRACT, frame, procurement, rows
 from veraz.jobs import audit, checks, contracts, core, gold
 from veraz.jobs.runs import RESULTS, STATE, Run
-from veraz.jobs.store import Store
+from veraz.jobs.store import SUMMARIES, Store
 from veraz.operators import context, quality
 from veraz.sources import tables
 
@@ -67,6 +67,7 @@ def test_core_contracts_gold_and_checks(spark, store):
     assert rows(store.read("gold.recorrencia_orgao_fornecedor"), "contratacoes_distintas") == [(2,)]
     assert rows(store.read("gold.ipca_referencia"), "competencia", "fator_para_referencia", "periodo_referencia") == [("202601", 1.1, "202602"), ("202602", 1.0, "202602")]
 
+    assert sorted(r.job for r in store.read(SUMMARIES).collect()) == ["contratos", "gold", "nucleo"]
     # The audit from raw rows gives what the jobs published.
     assert audit.kpis(*raw_rows(spark), SECRET).first().asDict() == report["kpis_compras"]
     found = checks.validate(store)

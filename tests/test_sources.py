@@ -301,3 +301,11 @@ def test_workers_can_import_the_package():
     spec = tomllib.loads((root / "pyproject.toml").read_text())
     assert spec["project"]["name"] == "veraz" and spec["tool"]["setuptools"]["packages"]["find"]["include"] == ["veraz*"]
     assert all((p.parent / "__init__.py").exists() for p in (root / "veraz").rglob("*.py"))
+
+
+def test_evidence_files(tmp_path):
+    path = tmp_path / "e" / "a.json"
+    collect.write_evidence(path, {"linhas": 3}, origem="x", status="PUBLICAVEL")
+    assert collect.read_evidence(path, origem="x", status="PUBLICAVEL")["linhas"] == 3
+    with pytest.raises(ValueError):
+        collect.read_evidence(path, origem="y", status="PUBLICAVEL")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veraz.jobs.runs import Run
-from veraz.jobs.store import Store, summary
+from veraz.jobs.store import Store
 from veraz.operators import context, quality, silver
 
 CONTRACTS, ITEMS, EVENTS, SUPPLIERS = (f"silver.{t}" for t in ("contratos", "itens_contrato", "eventos_contrato", "fornecedores_contratos"))
@@ -44,4 +44,4 @@ def run(store: Store, job: Run, secret: str) -> str:
         work.publish(CONTRACTS, ITEMS, EVENTS, SUPPLIERS, COVERAGE)
     finally:
         work.discard()
-    return summary("contratos", job.run_id, {"regras": {r.regra: r.status for r in results}})
+    return store.note("contratos", job.run_id, {"regras": {r.regra: r.status for r in results}})

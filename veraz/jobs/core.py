@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.jobs.runs import Run, in_window
-from veraz.jobs.store import Store, summary
+from veraz.jobs.store import Store
 from veraz.operators import classify, quality, silver
 from veraz.operators.versioning import latest
 from veraz.sources import tables as changes
@@ -79,4 +79,4 @@ def run(store: Store, job: Run, secret: str) -> str:
     finally:
         work.discard()
     mark = job.advance(store)
-    return summary("nucleo", job.run_id, {"janela": window, "watermark": mark, "regras": {r.regra: r.status for r in results}})
+    return store.note("nucleo", job.run_id, {"janela": window, "watermark": mark, "regras": {r.regra: r.status for r in results}})

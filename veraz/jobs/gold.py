@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veraz.jobs import contracts as contract_job
 from veraz.jobs import core
 from veraz.jobs.runs import RESULTS
-from veraz.jobs.store import Store, summary
+from veraz.jobs.store import Store
 from veraz.operators import context, gold, quality, silver
 
 CONTEXT = {"empresas": "silver.cnpj_empresas_contexto", "socios": "silver.cnpj_qsa_resumo", "sancoes": "silver.sancoes_fornecedores_contexto"}
@@ -75,4 +75,4 @@ def run(store: Store, run_id: str, gates: Gates = Gates(), period: str | None =
         work.publish(*out)
     finally:
         work.discard()
-    return summary("gold", run_id, {"linhas": counts, "kpis_compras": kpis, "violacoes": broken})
+    return store.note("gold", run_id, {"linhas": counts, "kpis_compras": kpis, "violacoes": broken})

@@ -5,11 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from veraz.sources import tables as changes
 
+SUMMARIES = "ops.resumos"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -34,6 +37,13 @@ class Store:
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path(table))
 
+    def note(self, job: str, run_id: str, metrics: Mapping[str, object]) -> str:
+        """What a job says at its end, one line of JSON, which is kept among the summaries too."""
+        text = json.dumps({"job": job, "run_id": run_id, **metrics}, ensure_ascii=False, sort_keys=True, default=str)
+        row = self.spark.createDataFrame([(job, run_id, text, datetime.now(UTC))], "job string, run_id string, resumo string, registrado_em timestamp")
+        self.append(SUMMARIES, row.coalesce(1))
+        return text
+
     def put(self, tables: Mapping[str, DataFrame]) -> None:
         """Replaces tables without a gate."""
         self.stage(tables).publish()
@@ -67,8 +77,3 @@ class Staged:
     def discard(self) -> None:
         for folder in self.folders.values():
             changes.remove(self.store.spark, folder)
-
-
-def summary(job: str, run_id: str, metrics: Mapping[str, object]) -> str:
-    """What a job says at its end: one line of JSON."""
-    return json.dumps({"job": job, "run_id": run_id, **metrics}, ensure_ascii=False, sort_keys=True, default=str)

@@ -333,5 +333,18 @@ def check_evidence(document: dict, **meta: str) -> None:
         raise ValueError("the evidence was made from something else")
 
 
+def write_evidence(path: Path, document: dict, **meta: str) -> None:
+    """A document as a JSON file, stamped with what it was made from."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    _write_json(path, stamp_evidence(document, **meta))
+
+
+def read_evidence(path: Path, **meta: str) -> dict:
+    """The document of a file; raises if it was made from something else."""
+    document = json.loads(path.read_text(encoding="utf-8"))
+    check_evidence(document, **meta)
+    return document
+
+
 def attempts_as_rows(answer: Answer) -> list[dict]:
     return [asdict(a) for a in answer.attempts]
