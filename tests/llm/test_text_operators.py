@@ -112,6 +112,14 @@ def test_packer_is_best_fit_with_bounded_space(lengths, open_bins):
         assert len(bins) <= open_bins and p.count == len(bins)
 
 
+def test_small_partitions_leave_few_sequences_open(spark):
+    docs = spark.read.parquet(f"{TESTDATA.replace('0.001', '0.01')}/documents.parquet")
+    for parts in (4, 64):
+        rows = packing.pack(docs.repartition(parts), WORD).select("sequence_id", "length").collect()
+        least = -(-sum(r.length for r in rows) // packing.MAX_TOKENS)
+        assert len({r.sequence_id for r in rows}) <= 1.01 * least + 1
+
+
 def test_flac_round_trip(spark, documents, odd):
     for df in (documents, odd):
         texts = Counter((r.doc_id, (r.text or "").encode()) for r in df.select("doc_id", "text").collect())

@@ -7,7 +7,8 @@ fullest open bin closes first.
 
 Each partition of the input packs its own rows in their order, so a lost task packs the same rows
 into the same sequences again and no row moves: there is no shuffle. At the end of a partition at
-most ``open_bins`` sequences are not full, whatever the size of the partition.
+most ``open_bins`` sequences are not full, whatever the size of the partition. Partitions of a small
+table are put together first, so that each packs some ``LEAST_BYTES`` of text and few are left open.
 
 Defined results: a null or empty text is a piece of one token (the end mark); a document longer
 than a sequence is cut into full pieces and a rest; repeated rows are packed each; an empty table
@@ -33,6 +34,8 @@ from veraz.llm.token_counts import balanced, tokenizer
 
 MAX_TOKENS = 4096
 OPEN_BINS = 1024
+#: Bytes of text that a partition packs at least, on average.
+LEAST_BYTES = 8 << 20
 # Fixed value: what the last token of a word ends with in the vocabulary.
 WORD_END = "</w>"
 
@@ -125,5 +128,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
 
     kind = df.schema[id_col].dataType.simpleString()
     rows_in = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size = rows_in.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows_in = rows_in.coalesce(max(1, -(-size // LEAST_BYTES)))  # more than there are: no change
     packed = rows_in.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
     return packed.withColumnRenamed("id", id_col)
