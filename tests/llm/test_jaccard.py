@@ -48,7 +48,7 @@ def test_documents(spark):
 def test_chains_hubs_and_borders(spark, monkeypatch, seed, block):
     """Chains of small edits, groups of copies, shared passages, and pairs at just about the threshold."""
     if block:  # many blocks for one hub, and joins instead of broadcasts
-        for name in ("HUB_BLOCK", "CROSS_BLOCK", "BROADCAST_ROWS", "HOT_COPIES"):
+        for name in ("HUB_BLOCK", "CROSS_BLOCK", "BROADCAST_ROWS", "HOT_ROWS"):
             monkeypatch.setattr(jaccard, name, block)
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4)))

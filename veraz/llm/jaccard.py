@@ -44,19 +44,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.components import components
-from veraz.llm.shared import checkpoint, written
+from veraz.llm.pieces import sized
+from veraz.llm.shared import checkpoint, giving_back, written
 from veraz.llm.words import chunks, ngrams, word_hashes
 
 WORDS, PERCENT = 5, 80
 #: Cells of the shingle sketch: from 4 MB of counts for small inputs to 16 MB; bytes of text a cell stands for in between.
 LEAST_CELL_BITS, MOST_CELL_BITS, CELL_TEXT = 20, 22, 32 << 10
 BLOCK_BITS = 14
+#: Bytes of texts that are turned into sets at a time.
+TEXT_BYTES = 1 << 20
 #: Columns of the matrix in one partition, about.
 ENTRIES = 1 << 20
 #: Documents that are checked against one hub in one block.
 HUB_BLOCK = 512
-#: Copies of one set from which on they are found by a broadcast of their key instead of a shuffle by it.
-HOT_COPIES = 256
+#: Rows of one key from which on a broadcast tells them what belongs to the key, instead of a shuffle by it.
+HOT_ROWS = 256
 #: Documents in one block of those that share a hub.
 CROSS_BLOCK = 1024
 #: Logarithms of the fewest and the most cells of a document's parity sketch (128 bytes and 16 KB).
@@ -136,7 +139,7 @@ def _profile(n: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "n", "key", "parity", "block", "counts"]
         sketch = np.zeros(cells, np.uint32)
-        for batch in _slices(batches):
+        for batch in sized(batches, 1, TEXT_BYTES):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
             np.add.at(sketch, _cell(np.concatenate(sets), cells), 1) if sets else None
             keys = [set_key(s) for s in sets]
@@ -162,7 +165,7 @@ def _prefixes(n: int, percent: int, sketch):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sketch.value, set()
-        for batch in _slices(batches):
+        for batch in sized(batches, 1, TEXT_BYTES):
             ids, sets = batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), n)
             columns: list[list[np.ndarray]] = [[], [], []]
             for doc, s in zip(ids, sets, strict=True):
@@ -332,7 +335,7 @@ def _checked(n: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, np.uint64)
-        for batch in _slices(batches, 256):
+        for batch in sized(batches, 3, TEXT_BYTES):
             docs, sets, links = batch.column(2).to_numpy(), shingle_sets(batch.column(3).to_pylist(), n), []
             for a, b, lead in _by_hub(batch, hub):
                 if lead is not None:
@@ -347,10 +350,21 @@ def _checked(n: int, percent: int):
     return run
 
 
+def _told(rows: DataFrame, table: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Rows joined to a checkpointed table with one row a key that says how many rows the key has. Those
+    of frequent keys stay where they are: their part of the table is broadcast, if it is small."""
+    hot = table.where(F.col(count) > HOT_ROWS)
+    if hot.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return rows.join(table, on)
+    known = rows.join(F.broadcast(hot), on, "left")
+    rest = known.where(F.col(count).isNull()).select(rows.columns).join(table.where(F.col(count) <= HOT_ROWS), on)
+    return known.where(F.col(count).isNotNull()).unionByName(rest)
+
+
 def _dealt(pairs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
     """Pairs (a, b) as blocks of a hub, first, and up to about ``HUB_BLOCK`` others: a, block, doc and the other columns of rows."""
-    sized = pairs.join(pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {HUB_BLOCK}) as int)").alias("blocks")), "a")
-    members = sized.select("a", F.expr("cast(pmod(xxhash64(b), blocks) as int)").alias("block"), F.col("b").alias("doc"))
+    sized = _told(pairs, checkpoint(pairs.groupBy("a").agg(F.count("*").alias("times"))), ["a"], "times")
+    members = sized.select("a", F.expr(f"cast(pmod(xxhash64(b), ceil(times / {HUB_BLOCK})) as int)").alias("block"), F.col("b").alias("doc"))
     need = checkpoint(members.unionByName(members.select("a", "block").distinct().withColumn("doc", F.col("a"))))
     if need.count() <= BROADCAST_ROWS:
         need = F.broadcast(need)
@@ -360,7 +374,7 @@ def _dealt(pairs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
 
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
     """The pairs (a, b) of distinct documents whose sets overlap enough."""
-    return _dealt(pairs, texts, parts).mapInArrow(_checked(n, percent), "a long, b long")
+    return _dealt(pairs, texts, parts).mapInArrow(giving_back(_checked(n, percent)), "a long, b long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -373,7 +387,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     if read["torn"]:
         own = texts.where("doc is not null").groupBy("doc").agg(F.max(F.struct(F.octet_length("text").alias("l"), "text")).alias("t")).select("doc", "t.text")
         texts = written(own.unionByName(texts.where("doc is null")))
-    profile = written(texts.mapInArrow(_profile(words, cells), "doc long, n long, key binary, parity binary, block int, counts binary"))
+    profile = written(texts.mapInArrow(giving_back(_profile(words, cells)), "doc long, n long, key binary, parity binary, block int, counts binary"))
     documents = profile.where("block is null").select("doc", "n", "key")
     sketch = np.zeros(cells, np.uint32)
     for r in profile.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").collect():
@@ -382,26 +396,20 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
 
     size = documents.agg(F.sum("n")).first()[0] or 0
     parts = max(2, min(100_000, -(-size * (100 - percent) // 100 // ENTRIES) * 2))
-    entries = texts.mapInArrow(_prefixes(words, percent, shared), "h long, doc long, n int")
-    met = entries.repartition(parts, "h").sortWithinPartitions("h", "doc").mapInArrow(_hubs, "hub long, doc long, n int, hub_n int, met int")
+    entries = texts.mapInArrow(giving_back(_prefixes(words, percent, shared)), "h long, doc long, n int")
+    met = entries.repartition(parts, "h").sortWithinPartitions("h", "doc").mapInArrow(giving_back(_hubs), "hub long, doc long, n int, hub_n int, met int")
     near = written(met.groupBy("hub", "doc").agg(F.max("n").alias("n"), F.max("hub_n").alias("hub_n"), F.sum("met").alias("met")))
     sized = near.where(F.expr(f"doc <> hub and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"))
     best = sized.groupBy("doc").agg(F.max(F.struct("met", (-F.col("hub")).alias("neg"))).alias("m"), F.min("hub").alias("first"))
     hub_pairs = checkpoint(best.select(F.explode(F.array_distinct(F.array(-F.col("m.neg"), "first"))).alias("a"), F.col("doc").alias("b")))
     sketches = profile.where("block is null and n > 0 and doc is not null").groupBy("doc").agg(F.max(F.struct("n", "parity")).alias("s")).select("doc", "s.n", "s.parity")
-    possible = checkpoint(_dealt(hub_pairs, sketches, parts).mapInArrow(_bounded(percent), "a long, b long").distinct())
+    possible = checkpoint(_dealt(hub_pairs, sketches, parts).mapInArrow(giving_back(_bounded(percent)), "a long, b long").distinct())
     first = checkpoint(_links(possible, texts, words, percent, parts))
 
     # Documents with equal sets are one: the smallest of them.
     filled = documents.where("n > 0 and doc is not null")
     same = checkpoint(filled.groupBy("key").agg(F.min("doc").alias("rep"), F.max("doc").alias("other"), F.count("*").alias("times")).where("rep <> other").drop("other"))
-    hot, cold = same.where(F.col("times") > HOT_COPIES).select("key", "rep"), same.where(F.col("times") <= HOT_COPIES).select("key", "rep")
-    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        # Large groups don't meet in a task: their keys come to the documents.
-        known = filled.join(F.broadcast(hot), "key", "left")
-        found = known.where("rep is not null").unionByName(known.where("rep is null").drop("rep").join(cold, "key"))
-    else:
-        found = filled.join(same.drop("times"), "key")
+    found = _told(filled, same, ["key"], "times")
     copies = checkpoint(found.select("doc", "rep").where("doc <> rep").distinct())
 
     def on_reps(links: DataFrame) -> DataFrame:
@@ -415,18 +423,20 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
     of_doc = copies.select("doc", "rep").unionByName(labels.select(F.col("node").alias("doc"), F.col("node").alias("rep"))).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(F.col("doc").alias("d"), F.coalesce("component", "rep").alias("c"))
     placed = written(near.join(of_doc, F.col("doc") == F.col("d"), "left").select("hub", F.coalesce("c", "doc").alias("c"), "doc", "n"))
     mixed = placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("hub", "members")
+    mixed = checkpoint(mixed)
     # Classes of sizes that are a little wider than the sizes of two sets that link can differ; a large
     # hub is cut into groups of a class and, as guests, the class above it.
     width = np.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
-    members = placed.join(mixed, "hub").withColumn("_class", F.when(F.col("members") > CROSS_BLOCK, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
+    members = _told(placed, mixed, ["hub"], "members").withColumn("_class", F.when(F.col("members") > CROSS_BLOCK, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
     guests = members.where(F.col("members") > CROSS_BLOCK).select("hub", "c", "doc", "n", "members", (F.col("_class") - 1).alias("group"), F.lit(True).alias("guest"))
     members = members.select("hub", "c", "doc", "n", "members", F.col("_class").alias("group"), F.lit(False).alias("guest")).unionByName(guests)
-    sizes = members.where(F.col("members") > CROSS_BLOCK).groupBy("hub", "group").agg(F.expr(f"cast(ceil(count(*) / {CROSS_BLOCK}) as int)").alias("blocks"))
-    sides = members.join(sizes, ["hub", "group"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sizes = checkpoint(members.where(F.col("members") > CROSS_BLOCK).groupBy("hub", "group").agg(F.count("*").alias("times")))
+    sides = members.where(F.col("members") <= CROSS_BLOCK).withColumn("times", F.lit(1).cast("long")).unionByName(_told(members.where(F.col("members") > CROSS_BLOCK), sizes, ["hub", "group"], "times"))
+    sides = sides.withColumn("blocks", F.expr(f"cast(ceil(times / {CROSS_BLOCK}) as int)"))
     sides = sides.withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crossing = sides.select("hub", "group", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"), "guest")
     crossing = crossing.join(sketches.select("doc", "parity"), "doc").select(*crossing.columns, "parity")
-    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "group", "lo", "hi").sortWithinPartitions("hub", "group", "lo", "hi").mapInArrow(_crossing(percent), "a long, b long").distinct())
+    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "group", "lo", "hi").sortWithinPartitions("hub", "group", "lo", "hi").mapInArrow(giving_back(_crossing(percent)), "a long, b long").distinct())
     second = on_reps(_links(cross_pairs, texts, words, percent, parts))
     labels = components(linked.unionByName(second))
     final = documents.select("doc", "n").distinct().join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc")).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,3 +56,23 @@ def drop(df: DataFrame) -> None:
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
         where, system = _where(spark, folder)
         system.delete(where, True)
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system, where the C library can. Workers are used again by later
+    tasks and stages, which would find what earlier ones have left."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function of batches, with freed memory handed back at its end."""
+
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
