@@ -37,7 +37,7 @@ def small(request):
         m.window, m.max_entries, m.max_values = old
 
 
-@settings(max_examples=1500, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=400, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(TEXTS)
 def test_any_texts(small, texts):
     data, offsets = pieces.bytes_of(pa.array(texts, pa.string()))

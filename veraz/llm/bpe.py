@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, joined, sized, spread
+from veraz.llm.shared import giving_back
 
 # The published pre-token pattern of byte-level BPE, with white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -138,7 +139,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -159,4 +160,4 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), f"id {kind}, n_tokens long, ids binary, text string").withColumnRenamed("id", id_col)

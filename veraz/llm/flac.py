@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.pieces import sized
+from veraz.llm.shared import giving_back
 
 BLOCK = 576
 #: Frames that are coded side by side; bounds the memory of a worker, also for very long texts.
@@ -425,7 +426,7 @@ def write_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
 def features(pcm: np.ndarray) -> str:
@@ -456,7 +457,7 @@ def read_media(df: DataFrame, id_col: str = "doc_id", media_col: str = "media",
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), *keep, F.col(media_col).alias("media"))
     schema = ", ".join([f"id {kind}", *(f"{k} long" for k in keep), "media binary", "pcm binary", "blocks array<struct<first_sample: long, n_samples: int, byte_offset: long>>", "feature string"])
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), schema).withColumnRenamed("id", id_col)
 
 
 def pcm_blocks(read: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, joined, sized, spread
+from veraz.llm.shared import giving_back
 from veraz.llm.token_counts import balanced, tokenizer
 
 MAX_TOKENS = 4096
@@ -130,5 +131,5 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     rows_in = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows_in.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows_in = rows_in.coalesce(max(1, -(-size // LEAST_BYTES)))  # more than there are: no change
-    packed = rows_in.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    packed = rows_in.mapInArrow(giving_back(run), f"id {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
     return packed.withColumnRenamed("id", id_col)

@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veraz.llm.words import chunks, mix, ngrams, shape_hashes, word_hashes
+from veraz.llm.pieces import sized
+from veraz.llm.shared import giving_back
+from veraz.llm.words import CHUNK_BYTES, chunks, mix, ngrams, shape_hashes, word_hashes
 
 BITS = 18
 #: Most labelled rows that a model is fitted on.
@@ -121,7 +123,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         w = fit([(i, x) for _, _, i, x in held], [y for _, y, _, _ in held]).astype("<f4")
         yield pa.record_batch([pa.array([w.tobytes()], pa.binary())], ["weights"])
 
-    found = rows.select(F.xxhash64("id").alias("h"), "label", "text").repartition(1).mapInArrow(run, "weights binary").collect()
+    found = rows.select(F.xxhash64("id").alias("h"), "label", "text").repartition(1).mapInArrow(giving_back(run), "weights binary").collect()
     return np.frombuffer(found[0][0], "<f4") if found else np.zeros(1 << BITS, np.float32)
 
 
@@ -140,14 +142,12 @@ def scored(df: DataFrame, weights: np.ndarray, text_col: str = "text", score_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                texts = [b"" if t is None else t for t in part.column(place).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], pa.array(_dots(texts, w), pa.float64())], names=[*own, score_col])
+        for part in sized(batches, place, CHUNK_BYTES):
+            texts = [b"" if t is None else t for t in part.column(place).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_dots(texts, w), pa.float64())], names=[*own, score_col])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in own)
-    return rows.mapInArrow(run, f"{fields}, `{score_col}` double")
+    return rows.mapInArrow(giving_back(run), f"{fields}, `{score_col}` double")
 
 
 def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,6 @@ an empty table gives no rows; other columns are not read, whatever their names a
 
 from __future__ import annotations
 
-import ctypes
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.pieces import joined
-from veraz.llm.shared import written
+from veraz.llm.shared import give_back, giving_back, written
 from veraz.llm.words import _BASE, _SPACE, chunks, mix, ngrams, word_hashes
 
 SYMBOL_BITS, ORDER = 5, 4
@@ -56,9 +55,9 @@ BAND_BELOW, BAND_ABOVE, BAND_LEAST = 5.0, 1.0, 0.1
 #: Weights of the priors, in words: of a word's own probability, and of its spelling.
 BIGRAM, WORD = 50.0, 10_000.0
 KEY_BITS = 40
-ZSTD_LEVEL = 9
+ZSTD_LEVEL = 12
 #: Bytes of text in a chunk, and in the corpus for each part of the range of hashes.
-CHUNK, PART, LEAST_PARTS = 14 << 20, 32 << 20, 64
+CHUNK, PART, LEAST_PARTS = 12 << 20, 32 << 20, 64
 SLICE_EVENTS = 200_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 MARKS = "#*$%&|<>"
@@ -209,7 +208,7 @@ def count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             total += np.frombuffer(zlib.decompress(c), np.uint64)
         return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "block": pdf["block"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    partial = _rows(df, id_col, text_col, lang_col).mapInArrow(run, "lang int, block int, counts binary")
+    partial = _rows(df, id_col, text_col, lang_col).mapInArrow(giving_back(run), "lang int, block int, counts binary")
     return partial.groupBy("lang", "block").applyInPandas(add, "lang int, block int, counts binary")
 
 
@@ -279,19 +278,13 @@ def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[starts], at, np.diff(starts, append=len(keys))
 
 
-def _give_back() -> None:
-    """Hands freed memory back to the system, where the C library can."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
-
-
 def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Array, list[bytes], np.ndarray]]:
     """Chunks of rows: number, ids, texts and places of the languages, by language."""
     first, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
 
     def chunk():
         rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
         lang = place(rows.column(2).to_pylist())
         order = np.argsort(lang, kind="stable")
         rows = rows.take(pa.array(order)).combine_chunks()
@@ -304,19 +297,15 @@ def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Arr
             if size and size + n > CHUNK:
                 if i > begin:
                     held.append(batch.slice(begin, i - begin))
-                made, held = chunk(), []
-                yield made
-                made = None
-                _give_back()
+                yield chunk()  # nothing here refers to the chunk while it is used
+                give_back()
                 number, size, begin = number + 1, 0, i
             size += n + 1
         if len(sizes) > begin:
             held.append(batch.slice(begin))
     if held:
-        made, held = chunk(), []
-        yield made
-        made = None
-        _give_back()
+        yield chunk()
+        give_back()
 
 
 def _salted(h: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
@@ -396,7 +385,7 @@ def requests(df: DataFrame, parts: int, id_col: str = "doc_id", text_col: str =
             out = [(p, _pack(np.diff(keys[i:j], prepend=np.uint64(0)), 6), _pack(counts[i:j], 5)) for p, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
             yield pa.record_batch([pa.array([number] * len(out), pa.int64()), pa.array([mark] * len(out), pa.int64()), pa.array([p for p, _, _ in out], pa.int32()), pa.array([k for _, k, _ in out], pa.binary()), pa.array([c for _, _, c in out], pa.binary())], ["chunk", "mark", "part", "keys", "counts"])
 
-    return _rows(df, id_col, text_col, lang_col).mapInArrow(run, "chunk long, mark long, part int, keys binary, counts binary")
+    return _rows(df, id_col, text_col, lang_col).mapInArrow(giving_back(run), "chunk long, mark long, part int, keys binary, counts binary")
 
 
 def totals(requested: DataFrame) -> DataFrame:
@@ -488,7 +477,7 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
             repeated += _repeated(h, o)
         carried = [joined(np.frombuffer(data, np.uint8), np.asarray(sizes), pa.string())] if with_text else []
         texts = data = mine = None
-        _give_back()
+        give_back()
         columns = [ids, *carried, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
         words, word, _ = _places(e.word)
         bigrams, bigram, _ = _places(e.bigrams())
@@ -513,11 +502,11 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
             log_p = _smoothed(n_bigram[of_bigram] - _own(text, of_bigram.astype(np.int64), max(len(bigrams), 1)), BIGRAM, log_p) - np.log(others[_before(mine)] + BIGRAM)
             sums[i:j] = np.bincount(text, weights=-log_p, minlength=j - i)
         spelling = word = bigram = given = n_word = n_bigram = None
-        _give_back()
+        give_back()
         perplexity = pa.array(sums / np.maximum(count, 1), pa.float64(), mask=count == 0)
         return pa.table([*columns, perplexity], ["id", *(["text"] if with_text else []), "lang_no", *_MEASURES, "log_perplexity"])
 
-    coded = _rows(df, id_col, text_col, lang_col).mapInArrow(run, f"chunk long, id array<{kind}>, lang_no array<int>, bytes array<long>, texts binary")
+    coded = _rows(df, id_col, text_col, lang_col).mapInArrow(giving_back(run), f"chunk long, id array<{kind}>, lang_no array<int>, bytes array<long>, texts binary")
     answered = totals(requests(df, parts, id_col, text_col, lang_col, languages))
     flat = ", ".join(f"{c} long" for c in _MEASURES)
     return coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, {'text string, ' if with_text else ''}lang_no int, {flat}, log_perplexity double").withColumnsRenamed({"id": id_col} | ({"text": text_col} if with_text else {}))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veraz.llm.pieces import Cutter, PieceMemo, bytes_of, sized
+from veraz.llm.shared import giving_back
 
 #: Bytes of text that one call of the library gets.
 BATCH_BYTES = 256 << 10
@@ -96,5 +97,5 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    counted = rows.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    counted = rows.mapInArrow(giving_back(run), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
