@@ -116,6 +116,14 @@ def test_word_model_against_brute_force(spark):
         assert math.isclose(got[i], -sum(p(i, v, w) for v, w in zip([None, *s], s, strict=False)) / len(s), rel_tol=1e-6)
 
 
+def test_wide_hashes_give_the_same(spark):
+    df = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    model = quality_rules.models(quality_rules.count(df))
+    got = [{r.doc_id: r.log_perplexity for r in quality_rules.measure(df, model, 7, bits=b).collect()} for b in (36, 56)]
+    assert all(a == b or math.isclose(a, b, rel_tol=1e-9) for a, b in zip(got[0].values(), (got[1][k] for k in got[0]), strict=True))
+    assert [quality_rules.key_bits(n) for n in (0, 10**9, 50 * 10**9, 10**14, 1 << 60)] == [36, 36, 42, 53, 56]
+
+
 def test_word_model_sees_word_order(spark):
     rng = np.random.default_rng(8)
     docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text", "lang")

@@ -8,11 +8,11 @@ before its first word. Spelling comes from a modified Kneser-Ney model of charac
 folded symbols, which is at most ``SYMBOLS ** ORDER`` n-grams a language and is broadcast.
 
 The counts of words and bigrams grow with the corpus and are neither collected nor broadcast:
-``requests`` adds up the n-grams of each chunk of texts and sends them, as sorted 40-bit hashes, to
-the parts of the range of hashes; ``totals`` sums each part and answers each chunk in the order of
+``requests`` adds up the n-grams of each chunk of texts and sends them, as sorted hashes whose width
+follows the corpus, to the parts of the range of hashes; ``totals`` sums each part and answers each chunk in the order of
 its hashes; the chunk's texts meet the answers in ``measure``. Chunks
 are cut again for the second pass, so the input must be a table that reads the same twice; a chunk
-that does not match its answers fails. At 3 billion n-grams one in 370 shares its hash.
+that does not match its answers fails.
 
 The band of a language lies around the quartiles of its documents' log-perplexities, which come
 from a histogram of all of them.
@@ -54,8 +54,10 @@ LEAST_BYTES, MOST_LANGUAGES = 16 << 10, 32
 BAND_BELOW, BAND_ABOVE, BAND_LEAST = 5.0, 1.0, 0.1
 #: Weights of the priors, in words: of a word's own probability, and of its spelling.
 BIGRAM, WORD = 50.0, 10_000.0
-KEY_BITS = 40
-ZSTD_LEVEL = 12
+#: Bits of an n-gram's hash, from and to, and beyond the logarithm of the bytes of text: at most one n-gram
+#: in some 600 shares its hash at any size up to 2^50 bytes.
+LEAST_BITS, MOST_BITS, MORE_BITS = 36, 56, 6
+ZSTD_LEVEL = 9
 #: Bytes of text in a chunk, and in the corpus for each part of the range of hashes.
 CHUNK, PART, LEAST_PARTS = 12 << 20, 32 << 20, 64
 SLICE_EVENTS = 200_000
@@ -308,9 +310,14 @@ def _cut(batches: Iterator[pa.RecordBatch], place) -> Iterator[tuple[int, pa.Arr
         give_back()
 
 
-def _salted(h: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
+def key_bits(size: int) -> int:
+    """The width of hashes for so many bytes of text."""
+    return min(max(size.bit_length() + MORE_BITS, LEAST_BITS), MOST_BITS)
+
+
+def _salted(h: np.ndarray, lang: np.ndarray | int, bits: int) -> np.ndarray:
     salt = mix(np.asarray(lang, np.uint64) + np.uint64(0x517C))
-    return mix(h ^ salt) >> np.uint64(64 - KEY_BITS)
+    return mix(h ^ salt) >> np.uint64(64 - bits)
 
 
 _END, _ALL = np.uint64(0x9A3C6E5D1B7F2048), np.uint64(0x3F84D5B5B5470917)
@@ -331,9 +338,10 @@ class Events:
 
     word: np.ndarray  # hashes with the language
     count: np.ndarray  # of each text; 0 without words
+    bits: int
 
     @classmethod
-    def of(cls, texts: list[bytes], lang: np.ndarray) -> Events:
+    def of(cls, texts: list[bytes], lang: np.ndarray, bits: int = LEAST_BITS) -> Events:
         words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for a, b in chunks(texts):
             h, o = word_hashes(texts[a:b], fold=False)
@@ -343,22 +351,22 @@ class Events:
             inner = np.ones(len(word), bool)
             inner[np.cumsum(count)[n > 0] - 1] = False
             word[inner] = h
-            words.append(_salted(word, np.repeat(lang[a:b], count)))
+            words.append(_salted(word, np.repeat(lang[a:b], count), bits))
             counts.append(count)
-        return cls(np.concatenate(words), np.concatenate(counts))
+        return cls(np.concatenate(words), np.concatenate(counts), bits)
 
     def bigrams(self) -> np.ndarray:
         both = self.word[_before(self.count)]
         both *= np.uint64(_BASE)
         both += self.word
         both = mix(both)
-        both >>= np.uint64(64 - KEY_BITS)
+        both >>= np.uint64(64 - self.bits)
         return both
 
 
-def _requests(words: np.ndarray, bigrams: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _requests(words: np.ndarray, bigrams: np.ndarray, lang: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The hashes that a chunk asks for in ascending order, and what place each takes in: words, bigrams, languages."""
-    keys = np.concatenate([words, bigrams, _salted(np.full(len(lang), _ALL), lang)])
+    keys = np.concatenate([words, bigrams, _salted(np.full(len(lang), _ALL), lang, bits)])
     order = np.argsort(keys, kind="stable")
     return keys[order], order
 
@@ -367,22 +375,22 @@ def _mark(keys: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(keys + np.arange(len(keys), dtype=np.uint64))).astype(np.int64)) if len(keys) else 0
 
 
-def requests(df: DataFrame, parts: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def requests(df: DataFrame, parts: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES, bits: int = LEAST_BITS) -> DataFrame:
     """Counts of words, bigrams and languages of each chunk: chunk long, mark long, part int, keys binary, counts binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, texts, lang in _cut(batches, _language(languages)):
-            e = Events.of(texts, lang)
+            e = Events.of(texts, lang, bits)
             texts = None
             words, n_words = np.unique(e.word, return_counts=True)
             bigrams, n_bigrams = np.unique(e.bigrams(), return_counts=True)
             there = np.unique(lang)
             n_all = np.bincount(lang, weights=e.count)[there].astype(np.int64)
-            keys, order = _requests(words, bigrams, there)
+            keys, order = _requests(words, bigrams, there, bits)
             counts = np.concatenate([n_words, n_bigrams, n_all])[order]
             mark = _mark(keys)
-            edges = np.searchsorted(keys, [-(-(p << KEY_BITS) // parts) for p in range(parts + 1)])
-            out = [(p, _pack(np.diff(keys[i:j], prepend=np.uint64(0)), 6), _pack(counts[i:j], 5)) for p, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
+            edges = np.searchsorted(keys, [-(-(p << bits) // parts) for p in range(parts + 1)])
+            out = [(p, _pack(np.diff(keys[i:j], prepend=np.uint64(0)), 7), _pack(counts[i:j], 5)) for p, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
             yield pa.record_batch([pa.array([number] * len(out), pa.int64()), pa.array([mark] * len(out), pa.int64()), pa.array([p for p, _, _ in out], pa.int32()), pa.array([k for _, k, _ in out], pa.binary()), pa.array([c for _, _, c in out], pa.binary())], ["chunk", "mark", "part", "keys", "counts"])
 
     return _rows(df, id_col, text_col, lang_col).mapInArrow(giving_back(run), "chunk long, mark long, part int, keys binary, counts binary")
@@ -392,7 +400,7 @@ def totals(requested: DataFrame) -> DataFrame:
     """The answers, in the order of the hashes asked for: chunk long, mark long, part int, totals binary."""
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_unpack(k, 6)) for k in table.column("keys").to_pylist()]
+        keys = [np.cumsum(_unpack(k, 7)) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([_unpack(c, 5) for c in table.column("counts").to_pylist()])
         ends = np.cumsum([len(k) for k in keys]).tolist()
         at = _places(np.concatenate(keys))[1]
@@ -439,7 +447,7 @@ def _smoothed(count: np.ndarray, weight: float, log_p: np.ndarray) -> np.ndarray
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAST_PARTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES, with_text: bool = False) -> DataFrame:
+def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAST_PARTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES, with_text: bool = False, bits: int = LEAST_BITS) -> DataFrame:
     """One row per input row: ``id_col``, (``text_col`` if asked for, null as empty,) lang_no int, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words (long), log_perplexity double (nats a word; null for texts without words)."""
     shared = df.sparkSession.sparkContext.broadcast(by_language)
@@ -458,7 +466,7 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         lang, ends = np.asarray(places), np.cumsum(np.asarray(sizes)).tolist()
         data = pa.Codec("zstd").decompress(rows.column("texts")[0].as_py(), ends[-1], asbytes=True) if ends[-1] else b""
         texts = [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
-        e = Events.of(texts, lang)
+        e = Events.of(texts, lang, bits)
         count = e.count
         spelling = np.full(len(e.word), -np.log(SYMBOLS), np.float32)
         inner = np.ones(len(e.word), bool)
@@ -481,7 +489,7 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         columns = [ids, *carried, places, pa.array(count - (count > 0), pa.int64()), *(pa.array([p[i] for p in plain], pa.int64()) for i in range(3)), pa.array(repeated, pa.int64())]
         words, word, _ = _places(e.word)
         bigrams, bigram, _ = _places(e.bigrams())
-        keys, order = _requests(words, bigrams, there)
+        keys, order = _requests(words, bigrams, there, bits)
         answers = answers.sort_by("part")
         total = np.concatenate([_unpack(t, 5) for t in answers.column("totals").to_pylist()] or [np.zeros(0, np.uint64)]).astype(np.float64)
         if len(total) != len(keys) or set(answers.column("mark").to_pylist()) != {_mark(keys)}:
@@ -507,7 +515,7 @@ def measure(df: DataFrame, by_language: dict[int, NgramModel], parts: int = LEAS
         return pa.table([*columns, perplexity], ["id", *(["text"] if with_text else []), "lang_no", *_MEASURES, "log_perplexity"])
 
     coded = _rows(df, id_col, text_col, lang_col).mapInArrow(giving_back(run), f"chunk long, id array<{kind}>, lang_no array<int>, bytes array<long>, texts binary")
-    answered = totals(requests(df, parts, id_col, text_col, lang_col, languages))
+    answered = totals(requests(df, parts, id_col, text_col, lang_col, languages, bits))
     flat = ", ".join(f"{c} long" for c in _MEASURES)
     return coded.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, {'text string, ' if with_text else ''}lang_no int, {flat}, log_perplexity double").withColumnsRenamed({"id": id_col} | ({"text": text_col} if with_text else {}))
 
@@ -542,7 +550,7 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     languages = tuple(r["lang"] for r in top if r["lang"] is not None and r["size"] >= LEAST_BYTES)[:MOST_LANGUAGES]
     total = sum(r["size"] for r in top)  # what lies beyond is less than any of these
     by_language = models(count(df, id_col, text_col, lang_col, languages))
-    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-total // PART)), id_col, text_col, lang_col, languages, with_text))
+    measured = written(measure(df, by_language, max(LEAST_PARTS, -(-total // PART)), id_col, text_col, lang_col, languages, with_text, key_bits(total)))
     limits = bands(measured)
     inside = F.lit(True)
     for x, (low, high) in sorted(limits.items()):
