@@ -23,9 +23,9 @@ import pyarrow as pa
 from veraz.llm.words import _BASE, _SPACE, mix
 
 #: Bytes of text that are cut at a time, and of texts that are handed on together (a longer text: by itself).
-WINDOW, SLICE = 1 << 20, 4 << 20
+WINDOW, SLICE = 1 << 20, 2 << 20
 #: Longest pieces, in bytes, that are remembered; entries and values that a memo holds at most between windows.
-LIMIT, ENTRIES, VALUES = 48, 1 << 19, 4 << 20
+LIMIT, ENTRIES, VALUES = 48, 1 << 18, 2 << 20
 LETTER, DIGIT, SIGN = 1, 2, 3
 
 
