@@ -13,7 +13,7 @@ from tests.llm.test_jaccard import brute
 from tests.llm.test_text_operators import brute_spans
 from veraz.llm import packing, quality_classifier, quality_rules, queries
 
-TABLES = ("documents", "labels", "conversations")
+TABLES = ("documents", "labels", "conversations", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -29,7 +29,7 @@ def test_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {k.partition("_")[0] + "_" for k in __spark_entry__.queries() if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.partition("_")[0] + "_" for k in __spark_entry__.queries() if k.startswith("op")}
     assert "pipeline" in __spark_entry__.queries()
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "ngram_jaccard_join", "secret_scan", "best_fit_packing"]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veraz.llm import bpe, chat, flac, jaccard, packing, quality_classifier, quality_rules, secret_scan, sharding, token_counts
+from veraz.llm import bpe, chat, flac, jaccard, packing, periodic_runs, product_codes, quality_classifier, quality_rules, secret_scan, sharding, token_counts, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -106,6 +106,48 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Verdict, host and path, as the contract lists them.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs that a rule decides are the labelled ones."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    labelled, blocked = url_filter.by_rules(pages, URL_RULES)
+    model = url_filter.train(labelled, "url", blocked)
+    return url_filter.judge(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = product_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+#: The text with the planted repeat: of one document in ten (by the hash of its id; none of a null id) the words
+#: from a on repeat with period p. The outer functions bind what the inner ones read.
+_PLANTED = r"""case when crc32(encode(string(doc_id), 'UTF-8')) % 10 = 0 then element_at(transform(
+  array(named_struct('w', regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0), 'g', crc32(encode(string(doc_id), 'UTF-8')) div 10)),
+  d -> if(size(d.w) = 0, '', element_at(transform(
+    array(named_struct('w', d.w, 'a', d.g % size(d.w), 'p', 1 + (size(d.w) - d.g % size(d.w)) div (3 + d.g % 8))),
+    e -> concat_ws(' ', transform(sequence(0, size(e.w) - 1), i -> element_at(e.w, int(if(i < e.a, i, e.a + (i - e.a) % e.p)) + 1)))), 1))), 1)
+  else text end"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = _documents(spark, sf_dir).select("doc_id", F.expr(_PLANTED).alias("text"))
+    greatest = F.expr("aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (a, r) -> if(a is null or r.length * a.period > a.length * r.period, r, a))")
+    found = periodic_runs.find_runs(planted).withColumn("greatest", greatest)
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"greatest.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * greatest.length div greatest.period").alias("exponent_milli"),
+        F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"),
+        _sha256("collapsed").alias("collapsed_sha256"),
+    )
+
+
 _ALL = (
     op1_bpe_roundtrip,
     op2_quality_classifier,
@@ -117,6 +159,9 @@ _ALL = (
     op8_quality_rules,
     op9_best_fit_packing,
     op10_external_shuffle,
+    op11_url_filter,
+    op12_vector_codes,
+    op13_periodic_runs,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -146,6 +191,28 @@ _OP5_SQL = r"""with recursive w as (select doc_id, regexp_extract_all(translate(
   reach as (select doc_id, doc_id as c from sizes union select e.b, r.c from reach r join edges e on e.a = r.doc_id)
   select doc_id, any_value(n) as n_shingles, min(c) as component_id from reach join sizes using (doc_id) group by doc_id"""
 
+
+def _op12_sql() -> str:
+    """A row for each vector and part; a table of codebooks for each round."""
+    distance = "list_sum(list_transform(range(1, len(r.v) + 1), lambda i: (r.v[i] - b.v[i]) * (r.v[i] - b.v[i])))::bigint"
+    steps = []
+    for k in range(product_codes.ROUNDS + 1):
+        steps.append(f"near{k} as materialized (select r.row, r.p, arg_min(b.e, {distance} * 16 + b.e) as e, min({distance}) as d from parts r join book{k} b using (p) group by r.row, r.p)")
+        steps.append(
+            f"""book{k + 1} as materialized (select p, e, coalesce(list(m order by i), any_value(v)) as v from (select b.p, b.e, b.v, s.i, s.m from book{k} b left join
+              (select p, e, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as m from (select n.p, n.e, unnest(range(1, len(r.v) + 1)) as i, unnest(r.v) as x from near{k} n join parts r using (row, p)) group by p, e, i) s using (p, e)) group by p, e)"""
+        )
+    last = product_codes.ROUNDS
+    return f"""with kept as materialized (select row_number() over (order by vec_id) as row, vec_id, label, list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as v from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+      parts as materialized (select row, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] as v from kept, (select unnest(range(8)) as p)),
+      book0 as materialized (select p, row - 1 as e, v from parts where row <= 16),
+      {", ".join(steps[:-1])},
+      coded as (select row, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from near{last} group by row),
+      digest as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) as codebooks_sha256 from book{last})
+      select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from coded join kept using (row), digest"""
+
+
 #: The other operators have no SQL (tokenizers, trained models, streams, hashes that DuckDB lacks):
 #: tests hold them against the libraries or brute force.
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": _OP4_SQL, "op5_ngram_jaccard_join": _OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": _OP4_SQL, "op5_ngram_jaccard_join": _OP5_SQL, "op12_vector_codes": _op12_sql()}
