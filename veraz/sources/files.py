@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veraz.sources.records import read_records
+
 #: Files are announced with these columns beside their data.
 PROVENANCE = ("_source_file_id", "_run_id", "_sistema_origem", "_dataset_origem", "_coletado_em_utc", "_data_publicacao_arquivo")
 RAW_PAGE = T.StructType([
@@ -23,9 +25,16 @@ RAW_PAGE = T.StructType([
 ])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
-    """All columns as strings, by the header; quoted line ends and doubled quotes are kept."""
-    return spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').csv(path)
+def read_whole_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """As ``read_csv``, but each file by one task; its columns come from the first record alone."""
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
+    """All columns as strings, by the header; quoted line ends and doubled quotes are kept, and large
+    files are read by many tasks. All files have one header."""
+    columns = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", delimiter).csv(path).columns
+    return read_records(spark, path, columns, delimiter)
 
 
 def read_plain_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -57,7 +66,7 @@ def read_with_provenance(spark: SparkSession, manifests: list[dict], dataset: st
     headers: dict[tuple[str, ...], list[str]] = {}
     known: dict[str, tuple] = {}
     for m in own:
-        one = read_csv(spark, m["arquivo"])
+        one = read_whole_csv(spark, m["arquivo"])  # for its header
         places = [re.sub(_LOCAL, "file:/", f) for f in one.inputFiles()]  # as the scan names them: with blanks and accents encoded
         if len(places) != 1:
             raise ValueError(f"not one file: {m['arquivo']}")
@@ -66,9 +75,8 @@ def read_with_provenance(spark: SparkSession, manifests: list[dict], dataset: st
         known[places[0]] = (places[0], m["source_file_id"], m["run_id"], m.get("sistema_origem"), dataset, m.get("coletado_em_utc"), m.get("data_publicacao_arquivo"))
         headers.setdefault(tuple(one.columns), []).append(m["arquivo"])
     rows = None
-    for paths in headers.values():
-        scan = read_csv(spark, paths)
-        scan = scan.select("*", F.regexp_replace(F.col("_metadata.file_path"), _LOCAL, "file:/").alias("_file"))
+    for columns, paths in headers.items():
+        scan = read_records(spark, paths, list(columns), file_column="_file").withColumn("_file", F.regexp_replace("_file", _LOCAL, "file:/"))
         rows = scan if rows is None else rows.unionByName(scan, allowMissingColumns=True)
     table = spark.createDataFrame(list(known.values()), ", ".join(f"{c} string" for c in ("_file", *PROVENANCE)))
     found = rows.join(F.broadcast(table), "_file", "left")  # one row for each file that was listed
