@@ -89,3 +89,15 @@ def test_states():
             want.append({records.KEEP: want[-1], records.SWAP: not want[-1], records.START: False, records.INSIDE: True}[int(x)])
         assert records.states(e, inside).tolist() == want
     assert records.states(e[:0], True).tolist() == [True]
+
+
+def test_readers_agree_on_both_sides_of_the_size(spark, tmp_path, tiny_ranges, monkeypatch):
+    for name in ("a b", "é"):
+        (tmp_path / f"{name}-itens-1.csv").write_text(_text([["id", "t"], [name, 'x\n"y"'], ["2", "z"]]))
+    manifests = [{"arquivo": str(p), "source_file_id": p.name, "run_id": "r"} for p in tmp_path.iterdir()]
+    tiny_ranges(9)
+    out = []
+    for limit in (1 << 30, 0):
+        monkeypatch.setattr(files, "RANGES_FROM", limit)
+        out.append([sorted(map(str, df.collect())) for df in (files.read_csv(spark, str(tmp_path)), files.read_csv(spark, f"{tmp_path}/*.csv"), files.read_with_provenance(spark, manifests, "itens"))])
+    assert out[0] == out[1] and len(out[0][2]) == 4 and "é-itens-1.csv" in str(out[0][2])

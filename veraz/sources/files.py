@@ -25,16 +25,34 @@ RAW_PAGE = T.StructType([
 ])
 
 
+#: One task reads a file of this size in some twenty seconds; cutting it into ranges takes some ten times the CPU time.
+RANGES_FROM = 1 << 30
+
+
+def largest_file(spark: SparkSession, path: str | list[str]) -> int:
+    """The bytes of the largest file at a path (a folder, a pattern or a file)."""
+    context, largest = spark.sparkContext, 0
+    for p in [path] if isinstance(path, str) else path:
+        where = context._jvm.org.apache.hadoop.fs.Path(p)
+        system = where.getFileSystem(context._jsc.hadoopConfiguration())
+        for found in system.globStatus(where) or []:
+            inside = system.listStatus(found.getPath()) if found.isDirectory() else [found]
+            largest = max([largest, *(f.getLen() for f in inside)])
+    return largest
+
+
 def read_whole_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """As ``read_csv``, but each file by one task; its columns come from the first record alone."""
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
-    """All columns as strings, by the header; quoted line ends and doubled quotes are kept, and large
-    files are read by many tasks. All files have one header."""
-    columns = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", delimiter).csv(path).columns
-    return read_records(spark, path, columns, delimiter)
+def read_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",", file_column: str | None = None) -> DataFrame:
+    """All columns as strings, by the header of the first file; quoted line ends and doubled quotes are
+    kept. Files beyond RANGES_FROM bytes are read by many tasks each, smaller ones by one."""
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", delimiter).csv(path)
+    if largest_file(spark, path) > RANGES_FROM:
+        return read_records(spark, path, whole.columns, delimiter, file_column)
+    return whole.select("*", F.col("_metadata.file_path").alias(file_column)) if file_column else whole
 
 
 def read_plain_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -75,8 +93,8 @@ def read_with_provenance(spark: SparkSession, manifests: list[dict], dataset: st
         known[places[0]] = (places[0], m["source_file_id"], m["run_id"], m.get("sistema_origem"), dataset, m.get("coletado_em_utc"), m.get("data_publicacao_arquivo"))
         headers.setdefault(tuple(one.columns), []).append(m["arquivo"])
     rows = None
-    for columns, paths in headers.items():
-        scan = read_records(spark, paths, list(columns), file_column="_file").withColumn("_file", F.regexp_replace("_file", _LOCAL, "file:/"))
+    for paths in headers.values():
+        scan = read_csv(spark, paths, file_column="_file").withColumn("_file", F.regexp_replace("_file", _LOCAL, "file:/"))
         rows = scan if rows is None else rows.unionByName(scan, allowMissingColumns=True)
     table = spark.createDataFrame(list(known.values()), ", ".join(f"{c} string" for c in ("_file", *PROVENANCE)))
     found = rows.join(F.broadcast(table), "_file", "left")  # one row for each file that was listed

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 #: What a line does to the state: it ends at a record's start, turns one state into the other, keeps it, or ends inside a value.
 START, SWAP, KEEP, INSIDE = range(4)
-WHOLE, CONTINUED, OPEN = "inteiro", "continuacao", "aberto"
-_PIECES = "arquivo string, bloco long, tipo string, cabecalho boolean, registro string"
+WHOLE, CONTINUED, OPEN, HEADER = "inteiro", "continuacao", "aberto", "cabecalho"
+_PIECES = "arquivo long, bloco long, tipo string, registro string"
 _MARK = "﻿"
 
 
@@ -47,7 +47,8 @@ def effect(line: Column, delimiter: str = ",") -> Column:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    rows = spark.read.option("lineSep", "\n").text(path).select("_metadata.file_path", "_metadata.file_block_start", "value").toDF("arquivo", "bloco", "linha")
+    """The lines of files, with a hash of the file's path and where their range begins."""
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.xxhash64("_metadata.file_path").alias("arquivo"), F.col("_metadata.file_block_start").alias("bloco"), F.col("value").alias("linha"))
     return rows.withColumn("linha", F.when((F.col("bloco") == 0) & F.startswith("linha", F.lit(_MARK)), F.substring("linha", 2, 2**31 - 1)).otherwise(F.col("linha")))
 
 
@@ -60,27 +61,26 @@ def states(effects: np.ndarray, inside: bool) -> np.ndarray:
     return (e[fixing] == INSIDE) ^ ((swaps - swaps[fixing]) % 2 == 1)
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """The batch, cut where the file or the range changes."""
-    blocks = batch.column(1).to_numpy()
-    files = batch.column(0).dictionary_encode().indices.to_numpy()
+    files, blocks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
     cuts = [0, *(np.flatnonzero((blocks[1:] != blocks[:-1]) | (files[1:] != files[:-1])) + 1).tolist(), len(blocks)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
-            yield (batch.column(0)[a].as_py(), int(blocks[a])), batch.slice(a, b - a)
+            yield (int(files[a]), int(blocks[a])), batch.slice(a, b - a)
 
 
 def _range_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each range: the states at its end, for either at its beginning, and the end of its first line."""
-    ends: dict[tuple[str, int], tuple[bool, bool]] = {}
-    returns: dict[tuple[str, int], bool] = {}
+    ends: dict[tuple[int, int], tuple[bool, bool]] = {}
+    returns: dict[tuple[int, int], bool] = {}
     for batch in batches:
         for key, part in _runs(batch):
             lines = part.column(2).to_numpy()
             returns.setdefault(key, part.column(3)[0].as_py())
             ends[key] = tuple(bool(states(lines, s)[-1]) for s in ends.get(key, (False, True)))
     rows = [(f, b, *e, returns[f, b]) for (f, b), e in ends.items()]
-    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_())
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_())
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 5, kinds, strict=True)], names=["arquivo", "bloco", "de_inicio", "de_dentro", "retorno"])
 
 
@@ -88,8 +88,8 @@ class Borders:
     """In which state ranges begin: for each file the places of ranges behind which the state changes.
     ``returns`` are the files whose lines end with carriage returns."""
 
-    def __init__(self, ends: list[tuple[str, int, bool, bool, bool]]):
-        self.changes: dict[str, list[int]] = {}
+    def __init__(self, ends: list[tuple[int, int, bool, bool, bool]]):
+        self.changes: dict[int, list[int]] = {}
         self.returns = {file for file, block, *_, returns in ends if returns and not block}
         inside, before = False, None
         for file, block, from_start, from_inside, _ in sorted(ends):
@@ -99,10 +99,10 @@ class Borders:
                 self.changes.setdefault(file, []).append(block)
             inside, before = after, file
 
-    def inside(self, file: str, block: int) -> bool:
+    def inside(self, file: int, block: int) -> bool:
         return bisect_left(self.changes.get(file, ()), block) % 2 == 1
 
-    def crossed(self) -> list[tuple[str, int, int]]:
+    def crossed(self) -> list[tuple[int, int, int]]:
         """(file, first range, last range) of stretches of ranges whose borders lie inside values."""
         out = []
         for file, blocks in self.changes.items():
@@ -111,25 +111,26 @@ class Borders:
         return out
 
 
-def _joined(batches: Iterator[pa.RecordBatch], borders: Borders) -> Iterator[pa.RecordBatch]:
-    """Records of each range, and the pieces of those that cross its borders."""
+def _joined(batches: Iterator[pa.RecordBatch], borders: Borders, whole: bool) -> Iterator[pa.RecordBatch]:
+    """The records of each range (file, text) but headers and empty ones; or, not ``whole``, the pieces of
+    those that cross its borders (file, range, kind, text)."""
     key, inside, held, continues, header = None, False, [], False, False
 
-    def piece(kind: str) -> pa.RecordBatch:
+    def piece(kind: str) -> Iterator[pa.RecordBatch]:
         nonlocal held, header
         text = "\n".join(x for lines in held for x in lines.to_pylist())
         named = header and kind != CONTINUED and bool(text)
         header, held = header and not named, []
-        return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([kind]), pa.array([named]), pa.array([text])], names=["arquivo", "bloco", "tipo", "cabecalho", "registro"])
-
-    def closing() -> Iterator[pa.RecordBatch]:
-        if held:
-            yield piece(CONTINUED if continues else OPEN)
+        if whole and kind == WHOLE and text and not named:
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([text])], names=["arquivo", "registro"])
+        elif not whole and kind != WHOLE:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (key[0], key[1], HEADER if named else kind, text)], names=["arquivo", "bloco", "tipo", "registro"])
 
     for batch in batches:
         for at, part in _runs(batch):
             if at != key:
-                yield from closing()
+                if held:
+                    yield from piece(CONTINUED if continues else OPEN)
                 key, held, header = at, [], at[1] == 0
                 inside = continues = borders.inside(*at)
             lines, before = part.column(2), states(part.column(3).to_numpy(), inside)
@@ -141,49 +142,49 @@ def _joined(batches: Iterator[pa.RecordBatch], borders: Borders) -> Iterator[pa.
             if first:
                 held.append(lines.slice(0, first))
             if held and (first < len(lines) or not inside):  # what was open ends here
-                yield piece(CONTINUED if continues else WHOLE)
+                yield from piece(CONTINUED if continues else WHOLE)
                 continues = False
             if not len(begins):
                 continue
-            continues = False
             if inside:
                 held = [lines.slice(int(begins[-1]))]
             edges = begins if inside else np.append(begins, len(lines))
-            if len(edges) > 1:
-                whole = lines.slice(int(edges[0]), int(edges[-1] - edges[0]))
-                if len(edges) - 1 < len(whole):
-                    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), whole), "\n")
-                named = np.zeros(len(whole), bool)
-                if header:
-                    filled = np.flatnonzero(pc.binary_length(whole).to_numpy())
-                    named[filled[:1]] = True
-                    header = not len(filled)
-                n = len(whole)
-                yield pa.RecordBatch.from_arrays([pa.array([key[0]] * n), pa.array(np.full(n, key[1])), pa.array([WHOLE] * n), pa.array(named), whole], names=["arquivo", "bloco", "tipo", "cabecalho", "registro"])
-    yield from closing()
+            if len(edges) < 2 or not (whole or header):
+                continue
+            found = lines.slice(int(edges[0]), int(edges[-1] - edges[0]))
+            if len(edges) - 1 < len(found):
+                found = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), found), "\n")
+            filled = pc.binary_length(found).to_numpy() > 0
+            if header and filled.any():
+                filled[np.argmax(filled)] = header = False
+            if whole:
+                if not filled.all():
+                    found = found.filter(pa.array(filled))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key[0])), found], names=["arquivo", "registro"])
+    if held:
+        yield from piece(CONTINUED if continues else OPEN)
 
 
 def _stitched(pieces: DataFrame) -> DataFrame:
     """Records from the pieces of several ranges: an open one and what continues it."""
-    place = Window.partitionBy("arquivo").orderBy("bloco", F.col("tipo") == OPEN)
-    numbered = pieces.withColumn("n", F.sum((F.col("tipo") == OPEN).cast("int")).over(place))
+    opens = F.col("tipo") != CONTINUED
+    numbered = pieces.withColumn("n", F.sum(opens.cast("int")).over(Window.partitionBy("arquivo").orderBy("bloco", opens)))
     parts = F.array_sort(F.collect_list(F.struct("bloco", "registro")))
-    return numbered.groupBy("arquivo", "n").agg(F.bool_or("cabecalho").alias("cabecalho"), F.array_join(F.transform(parts, lambda p: p["registro"]), "\n").alias("registro")).drop("n")
+    put = numbered.groupBy("arquivo", "n").agg(F.bool_or(F.col("tipo") == HEADER).alias("cabecalho"), F.array_join(F.transform(parts, lambda p: p["registro"]), "\n").alias("registro"))
+    return put.where("not cabecalho").select("arquivo", "registro")
 
 
 def records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
-    """(arquivo, cabecalho, registro): the text of every record, with its file and whether it is the header."""
-    lines = _lines(spark, path)
-    marked = lines.withColumn("efeito", effect(F.col("linha"), delimiter))
+    """(arquivo, registro): the text of every record but headers, with a hash of its file's path."""
+    marked = _lines(spark, path).withColumn("efeito", effect(F.col("linha"), delimiter))
     telling = marked.where((F.instr("linha", '"') > 0) | (F.col("bloco") == 0)).select("arquivo", "bloco", "efeito", F.endswith("linha", F.lit("\r")).alias("retorno"))
-    ends = telling.mapInArrow(_range_effects, "arquivo string, bloco long, de_inicio boolean, de_dentro boolean, retorno boolean")
+    ends = telling.mapInArrow(_range_effects, "arquivo long, bloco long, de_inicio boolean, de_dentro boolean, retorno boolean")
     borders = Borders([tuple(r) for r in ends.collect()])  # a row for each range with quotes
-    join = lambda rows: rows.mapInArrow(lambda b: _joined(b, borders), _PIECES)
-    whole = join(marked).where(F.col("tipo") == WHOLE).select("arquivo", "cabecalho", "registro")
+    whole = marked.mapInArrow(lambda b: _joined(b, borders, True), "arquivo long, registro string")
     if crossed := borders.crossed():
-        where = spark.createDataFrame(crossed, "_arquivo string, primeiro long, ultimo long")  # two rows a range at most
+        where = spark.createDataFrame(crossed, "_arquivo long, primeiro long, ultimo long")  # one row a border at most
         touched = marked.join(F.broadcast(where), (F.col("arquivo") == F.col("_arquivo")) & F.col("bloco").between(F.col("primeiro"), F.col("ultimo")), "left_semi")
-        whole = whole.unionByName(_stitched(join(touched).where(F.col("tipo") != WHOLE).select("arquivo", "bloco", "tipo", "cabecalho", "registro")))
+        whole = whole.unionByName(_stitched(touched.mapInArrow(lambda b: _joined(b, borders, False), _PIECES)))
     return whole
 
 
@@ -193,8 +194,10 @@ def quoted(name: str) -> str:
 
 def read_records(spark: SparkSession, path: str | list[str], columns: list[str], delimiter: str = ",", file_column: str | None = None) -> DataFrame:
     """All rows of files with one header, as strings; ``file_column`` names a column with the file of each row."""
-    rows = records(spark, path, delimiter).where(~F.col("cabecalho"))
     parsed = F.from_csv("registro", ", ".join(f"{quoted(c)} string" for c in columns), {"escape": '"', "sep": delimiter, "multiLine": "true", "maxColumns": "20480"})
-    rows = rows.where("registro <> ''").select("arquivo", parsed.alias("valores"))
+    rows = records(spark, path, delimiter).select("arquivo", parsed.alias("valores"))
     chosen = [F.col(f"valores.{quoted(c)}").alias(c) for c in columns]
-    return rows.select(*chosen, *([F.col("arquivo").alias(file_column)] if file_column else []))
+    if not file_column:
+        return rows.select(*chosen)
+    names = spark.read.format("binaryFile").load(path).select(F.xxhash64("_metadata.file_path").alias("_arquivo"), F.col("_metadata.file_path").alias("nome"))  # a row a file
+    return rows.join(F.broadcast(names), F.col("arquivo") == F.col("_arquivo")).select(*chosen, F.col("nome").alias(file_column))
