@@ -13,7 +13,7 @@ import pytest
 
 from veraz.operators import context, gold, quality
 from veraz.plans import benchmark, catalogue
-from veraz.sources import collect, files, tables
+from veraz.sources import collect, files, tables, zipped
 from veraz.streaming import ingest
 
 
@@ -46,7 +46,7 @@ def test_provenance_and_drift(spark, tmp_path):
 def test_zip_keeps_only_named_columns(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "Socios1.zip", "w") as z:
         z.writestr("a.csv", "12345678;1;Fulano de Tal;é\n".encode("latin-1"))
-    out = files.read_zipped_csv(spark, str(tmp_path / "*.zip"), ["raiz", "tipo", "nome", "pais"], ["raiz", "pais"])
+    out = zipped.read_zipped_csv(spark, str(tmp_path / "*.zip"), ["raiz", "tipo", "nome", "pais"], ["raiz", "pais"])
     assert [tuple(r) for r in out.collect()] == [("12345678", "é")]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veraz.functions.expr import digits, optional, ratio, text
 from veraz.operators.versioning import latest
-from veraz.sources.files import read_zipped_csv
+from veraz.sources.zipped import read_zipped_csv
 
 # The columns of the company registry; of the partner registry, those that are kept and their places
 # among its eleven (names and numbers of persons are in the others); of the sanction lists, the places from 0.

@@ -1,16 +1,11 @@
-"""Readers of raw files: CSV, JSON, ZIP, manifests and saved pages."""
+"""Readers of raw files: CSV, JSON, manifests and saved pages."""
 
 from __future__ import annotations
 
-import csv
-import io
 import json
 import re
-import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,36 +121,6 @@ def restrict(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return rows.join(kept.select(key), key, "left_semi")
 
 
-def read_zipped_csv(spark: SparkSession, path: str, columns: list[str], keep: list[str], delimiter: str = ";", encoding: str = "latin-1", header: bool = False, number: str | None = None) -> DataFrame:
-    """CSV from ZIP files with one member each; only the kept columns leave the reader. Short rows are
-    filled with empty values. ``header`` skips the first row; ``number`` names a column with the
-    file's name and the row's place in it. A file is read by one task, as ZIP can't be split."""
-    places = [columns.index(c) for c in keep]
-    names = [*keep, *([number] if number else [])]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    members = [n for n in z.namelist() if not n.endswith("/")]
-                    if len(members) != 1:
-                        raise ValueError("a ZIP source has one member")
-                    with z.open(members[0]) as raw:
-                        rows: list[list[str]] = []
-                        for n, row in enumerate(csv.reader(io.TextIOWrapper(raw, encoding, newline=""), delimiter=delimiter)):
-                            if not row or (header and n == 0):
-                                continue
-                            rows.append([row[i] if i < len(row) else "" for i in places] + ([f"{file}:{n + 1}"] if number else []))
-                            if len(rows) == 10_000:
-                                yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
-                                rows = []
-                        if rows:
-                            yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
-
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return files.mapInArrow(run, ", ".join(f"{c} string" for c in names))
-
-
 def statement_keys(spark: SparkSession, statement: str) -> DataFrame:
     """Control keys from the JSON result of an SQL statement, parsed, distinct and sorted."""
     data = json.loads(statement)
