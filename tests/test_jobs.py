@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from tests.test_operators import AWARD, CONTRACT, frame, procurement, rows
 from veraz.jobs import audit, checks, contracts, core, gold
-from veraz.jobs.runs import RESULTS, STATE, Run
+from veraz.jobs.runs import RESULTS, STATE, Run, in_window
 from veraz.jobs.store import SUMMARIES, Store
-from veraz.operators import context, quality
-from veraz.sources import tables
+from veraz.operators import classify, context, quality, silver
+from veraz.sources import buckets, tables
 
 SECRET = "segredo-de-teste"
 ITEM = {"id_compra_item": "i", "numero_controle_PNCP_compra": "A-1", "numero_item_pncp": "1", "descricao_resumida": "Notebook", "descricao_detalhada": "14", "material_ou_servico": "M", "quantidade": "2", "unidade_medida": "UN", "valor_unitario_estimado": "3", "valor_total": "6", "data_atualizacao_pncp": "2026-01-05", "_source_file_id": "f1"}
@@ -29,7 +29,7 @@ def raw_rows(spark):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    made = Store(spark, str(tmp_path / "lake"))
+    made = Store(spark, str(tmp_path / "lake"), buckets=5)
     made.put(dict(zip(core.RAW.values(), raw_rows(spark), strict=True)))
     items = [{"id": str(k), "contrato_id": str(k), "tipo_id": "Material", "descricao_complementar": d, "quantidade": "1", "valorunitario": "2", "valortotal": "2", "_coletado_em_utc": "2026-01-01", "_source_file_id": "f"} for k, d in ((1, "x"), (9, "y"))]
     items.append(items[0] | {"id": "2", "descricao_complementar": "notebook"})
@@ -135,6 +135,110 @@ def test_incremental_runs_read_a_window_and_merge(spark, store):
     assert store.read(core.AWARDS).count() == 3 and store.read(core.SUPPLIERS).count() == 2 and store.read(STATE).first().versao_estado == 2
 
 
+def _stamps(store, table):
+    """What lies in each folder of a table: names and times of its files."""
+    from pathlib import Path
+
+    found = {}
+    for f in Path(store.path(table)).rglob("*.parquet"):
+        found.setdefault(f.parent.name, set()).add((f.name, f.stat().st_mtime_ns))
+    return found
+
+
+def test_an_incremental_run_writes_touched_buckets_only(spark, store):
+    """Buckets without changed ids keep their files; the rows are those of a merge of whole tables."""
+    many = [ITEM | {"numero_item_pncp": str(n), "id_compra_item": f"m{n}"} for n in range(10, 200)]
+    store.append(core.RAW["itens"], frame(spark, many))
+    store = Store(spark, store.root, buckets=20)
+    core.run(store, Run("r1", date(2026, 1, 31)), SECRET)
+    before = {t: _stamps(store, t) for t in (core.ITEMS, core.PROCUREMENTS, core.AWARDS)}
+    old = spark.createDataFrame(store.read(core.ITEMS).collect(), store.read(core.ITEMS).schema)
+    assert len(before[core.ITEMS]) == 20 and buckets.layout(spark, store.path(core.ITEMS)) == 20
+    store.append(core.RAW["itens"], frame(spark, [ITEM | {"numero_item_pncp": "17", "valor_total": "8", "quantidade": "2", "data_atualizacao_pncp": "2026-02-01"}]))
+    core.run(store, Run("r2", date(2026, 2, 2), "incremental"), SECRET)
+    after = {t: _stamps(store, t) for t in before}
+    assert sum(after[core.ITEMS][b] != before[core.ITEMS][b] for b in before[core.ITEMS]) == 1 and len(after[core.ITEMS]) == 20
+    assert after[core.PROCUREMENTS] == before[core.PROCUREMENTS] and after[core.AWARDS] == before[core.AWARDS]
+    new = silver.items(store.read(core.RAW["itens"]).where("data_atualizacao_pncp = '2026-02-01'")).current
+    want = tables.upsert_newer(old, classify.services(classify.equipment(new)), "item_id", "atualizado_em")
+    assert rows(store.read(core.ITEMS), *sorted(want.columns)) == rows(want, *sorted(want.columns)) and set(store.read(core.ITEMS).columns) == set(want.columns)
+
+
+def test_a_failed_or_stopped_swap_of_buckets_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=8)
+    kind = "k string, m int, v string"
+    first = spark.createDataFrame([(f"k{i}", 1, "old") for i in range(6)], kind)
+    work = store.stage({})
+    work.merge("t.x", first, "k", "m", True)
+    work.publish()
+    want = rows(store.read("t.x"), "k", "v")
+    change = spark.createDataFrame([("k1", 2, "new"), ("k2", 0, "stale"), ("k3", 1, "tie"), *((f"n{i}", 1, "new") for i in range(20))], kind)
+
+    def staged():
+        work = store.stage({})
+        work.merge("t.x", change, "k", "m", True)
+        return work
+
+    merged = rows(tables.upsert_newer(first, change, "k", "m"), "k", "v")
+    work = staged()
+    assert rows(work.read("t.x"), "k", "v") == merged and rows(store.read("t.x"), "k", "v") == want
+    real, calls = tables._rename, []
+    for allowed in (1, 4, 8):  # renames that go well before one fails
+        monkeypatch.setattr(tables, "_rename", lambda spark, old, new, n=allowed: (calls.append(1), len(calls) != n + 1 and real(spark, old, new))[1])
+        calls.clear()
+        with pytest.raises(OSError, match="could not be renamed"):
+            staged().publish()
+        monkeypatch.undo()
+        assert rows(store.read("t.x"), "k", "v") == want and not list(tmp_path.glob("lake/t/x.old-*"))
+        calls.clear()
+
+        class Stopped(BaseException):
+            pass
+
+        def stop(spark, old, new, n=allowed):
+            calls.append(1)
+            if len(calls) > n:
+                raise Stopped
+            return real(spark, old, new)
+
+        monkeypatch.setattr(tables, "_rename", stop)
+        with pytest.raises(Stopped):
+            staged().publish()
+        monkeypatch.undo()
+        assert list(tmp_path.glob("lake/t/x.old-*"))
+        assert rows(store.read("t.x"), "k", "v") == want and not list(tmp_path.glob("lake/t/x.old-*"))
+    staged().publish()
+    assert rows(store.read("t.x"), "k", "v") == merged and buckets.layout(spark, store.path("t.x")) == 8
+
+
+def test_raw_tables_by_day_read_only_the_window(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    made = [("a", "2026-01-05 10:00:00"), ("b", "2026-01-06T00:00:00"), ("c", "?"), ("d", None), ("e", "2026-01-07")]
+    store.append("bronze.r", spark.createDataFrame(made[:3], "k string, m string"), day_of="m")
+    store.append("bronze.r", spark.createDataFrame([(*r, 1) for r in made[3:]], "k string, m string, n int"), day_of="m")
+    assert store.read("bronze.r").columns == ["k", "m", "n"] and store.read("bronze.r").count() == 5
+    window = (date(2026, 1, 6), date(2026, 1, 8))
+    got = in_window(store.read("bronze.r", window), window, "m")
+    assert rows(got, "k", "n") == [("b", None), ("e", 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_dia" in plan and len(store.read("bronze.r", window).inputFiles()) >= 2
+    assert store.read("bronze.r", window).select("k").count() == 2
+    with pytest.raises(ValueError, match="bronze.r.n"):
+        store.append("bronze.r", spark.createDataFrame([("x", "y", "z")], "k string, m string, n string"), day_of="m")
+
+
+def test_schemas_are_noted(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"))
+    store.put({"t.a": spark.createDataFrame([(1,)], "x int")})
+    store.append("t.a", spark.createDataFrame([(2, "y")], "x int, y string"))
+    assert rows(store.read("t.a"), "x", "y") == [(1, None), (2, "y")] and store.known_schema("t.a").names == ["x", "y"]
+    spark.createDataFrame([(3, 4)], "x int, z int").write.parquet(store.path("t.b"))
+    spark.createDataFrame([(5,)], "x int").write.mode("append").parquet(store.path("t.b"))
+    assert store.known_schema("t.b") is None and rows(store.read("t.b"), "x", "z") == [(3, 4), (5, None)]
+    store.append("t.b", spark.createDataFrame([(6,)], "x int"))
+    assert rows(store.read("t.b"), "x", "z") == [(3, 4), (5, None), (6, None)]
+
+
 def test_value_audit(spark):
     compras, itens, premios = raw_rows(spark)
     out = audit.value_semantics(compras, itens, premios, date(2026, 1, 1), date(2026, 1, 31), SECRET, exact=True)

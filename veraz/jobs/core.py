@@ -2,8 +2,10 @@
 
 Everything is computed into staged folders, the ten rules are counted there, and only if none fails
 do the new tables replace the old ones. The watermark moves last. An incremental run reads the
-raw rows that changed in its window and merges their entities into the published ones, the newer
-version winning.
+raw rows that changed in its window (of raw tables that are laid out by day, only those files) and
+merges their entities into the published ones, the newer version winning. Procurements, links, items
+and awards lie in buckets of their ids, and only the buckets with changed ids are written; agencies,
+units and suppliers, which are far smaller, are written whole.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ RAW = {"contratacoes": "bronze.contratacoes_raw", "itens": "bronze.itens_raw", "
 CHANGED = "data_atualizacao_pncp"
 
 
-def _merged(store: Store, table: str, rows: DataFrame, key: str, moment: str | None, incremental: bool) -> DataFrame:
+def _whole(store: Store, table: str, rows: DataFrame, key: str, moment: str | None, incremental: bool) -> DataFrame:
     """Published rows with newer ones in their places; a bootstrap begins anew."""
     if not incremental or not store.exists(table):
         return rows
@@ -37,32 +39,34 @@ def run(store: Store, job: Run, secret: str) -> str:
     """Runs the job and returns its summary; raises GateFailed and leaves every table but the problems
     and rule results as it was if a blocking rule fails."""
     window, incremental = job.window(store), job.mode == "incremental"
-    raw = {k: in_window(store.read(t), window, CHANGED) for k, t in RAW.items()}
+    raw = {k: in_window(store.read(t, window), window, CHANGED) for k, t in RAW.items()}
     procurements = silver.procurements(raw["contratacoes"])
     items = silver.items(raw["itens"])
     awards = silver.awards(raw["resultados"], secret)
     agencies, units = silver.agencies_and_units(raw["contratacoes"])
 
     work = store.stage({
-        PROCUREMENTS: _merged(store, PROCUREMENTS, procurements.current, "contratacao_id", "atualizado_em", incremental),
-        AGENCIES: _merged(store, AGENCIES, agencies, "orgao_id", "atualizado_em", incremental),
-        UNITS: _merged(store, UNITS, units, "unidade_id", "atualizado_em", incremental),
-        LINKS: _merged(store, LINKS, silver.procurement_links(raw["contratacoes"]), "contratacao_id", "atualizado_em", incremental),
+        "work.contratacoes": procurements.current, "work.contratacoes_quarentena": procurements.quarantine, "work.contratacoes_conflitos": procurements.conflicts,
+        "work.vinculos": silver.procurement_links(raw["contratacoes"]),
+        AGENCIES: _whole(store, AGENCIES, agencies, "orgao_id", "atualizado_em", incremental),
+        UNITS: _whole(store, UNITS, units, "unidade_id", "atualizado_em", incremental),
         "work.itens": classify.services(classify.equipment(items.current)), "work.itens_quarentena": items.quarantine, "work.itens_conflitos": items.conflicts,
         "work.resultados": awards.current, "work.resultados_quarentena": awards.quarantine, "work.resultados_conflitos": awards.conflicts,
         "work.fornecedores": awards.suppliers,
     })
     try:
+        work.merge(PROCUREMENTS, work.read("work.contratacoes"), "contratacao_id", "atualizado_em", incremental)
+        work.merge(LINKS, work.read("work.vinculos"), "contratacao_id", "atualizado_em", incremental)
         own, without = silver.close_over(work.read("work.itens"), work.read(PROCUREMENTS), "contratacao_id", "contratacao_nao_carregada")
         work.add({"work.itens_publicados": own, "work.itens_pendentes": without})
-        work.add({ITEMS: _merged(store, ITEMS, work.read("work.itens_publicados"), "item_id", "atualizado_em", incremental)})
+        work.merge(ITEMS, work.read("work.itens_publicados"), "item_id", "atualizado_em", incremental)
         own, without = silver.close_over(work.read("work.resultados"), work.read(ITEMS), "item_id", "item_nao_carregado")
         work.add({"work.resultados_publicados": own, "work.resultados_pendentes": without})
-        work.add({AWARDS: _merged(store, AWARDS, work.read("work.resultados_publicados"), "resultado_id", "atualizado_em", incremental)})
-        suppliers = _merged(store, SUPPLIERS, work.read("work.fornecedores"), "fornecedor_id", None, incremental)
+        work.merge(AWARDS, work.read("work.resultados_publicados"), "resultado_id", "atualizado_em", incremental)
+        suppliers = _whole(store, SUPPLIERS, work.read("work.fornecedores"), "fornecedor_id", None, incremental)
         tag = lambda df: df.withColumn(silver.REASON, F.lit(CONFLICT))
         log = silver.problem_log([
-            ("contratacao", procurements.quarantine, "id_origem"), ("contratacao", tag(procurements.conflicts), "contratacao_id"),
+            ("contratacao", work.read("work.contratacoes_quarentena"), "id_origem"), ("contratacao", tag(work.read("work.contratacoes_conflitos")), "contratacao_id"),
             *(("item", df, "id_origem_item") for df in (work.read("work.itens_quarentena"), tag(work.read("work.itens_conflitos")), work.read("work.itens_pendentes"))),
             *(("resultado", df, "id_origem_resultado") for df in (work.read("work.resultados_quarentena"), tag(work.read("work.resultados_conflitos")), work.read("work.resultados_pendentes"))),
         ], job.run_id)

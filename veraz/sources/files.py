@@ -6,7 +6,7 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,9 +112,14 @@ def already_loaded(table: DataFrame, source_file_id: str) -> bool:
     return bool(table.where(F.col("_source_file_id") == source_file_id).limit(1).count())
 
 
+def day(moment: str) -> Column:
+    """The day of a moment; null if it can't be read."""
+    return F.to_date(F.try_to_timestamp(F.col(moment).cast("string")))
+
+
 def within_days(rows: DataFrame, moment: str, first: str, last: str) -> DataFrame:
     """Rows whose moment falls on the days from first to last, both included."""
-    return rows.where(F.to_date(F.try_to_timestamp(F.col(moment).cast("string"))).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return rows.where(day(moment).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
 def restrict(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:

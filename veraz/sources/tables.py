@@ -2,7 +2,7 @@
 
 Changes are functions of tables (target, source) -> target; ``replace`` swaps the folder of a table
 for that of its new rows, which are complete before the old ones go. Renaming folders is not atomic:
-between two renames a table is missing, and ``recover`` puts it back if the job stops there.
+between two renames a table or a bucket is missing, and ``recover`` puts it back if the job stops there.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.operators.versioning import latest
+from veraz.sources.buckets import PREFIX
 
+#: Marks a bucket that wasn't there before a swap.
+_NONE = ".none"
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -169,17 +172,37 @@ def remove(spark: SparkSession, path: str) -> None:
         raise OSError(f"{path} could not be deleted")
 
 
+def _aside(path: str, mark: str) -> str:
+    """Where a folder is kept during a swap: beside it, and a bucket beside its table, as readers of the
+    table would take it for one of its folders."""
+    table, _, name = path.rpartition("/")
+    return f"{table}.old-{mark}/{name}" if name.startswith(PREFIX) else f"{path}.old-{mark}"
+
+
+def _make(spark: SparkSession, path: str) -> None:
+    where, fs = _filesystem(spark, path)
+    if not fs.mkdirs(where):
+        raise OSError(f"{path} could not be made")
+
+
 def swap(spark: SparkSession, staged: dict[str, str]) -> None:
-    """Puts folders of new rows (path -> staged folder) in the places of tables. All old folders are
-    set aside before the first new one comes in, and come back if any step fails; they go last."""
+    """Puts folders of new rows (path -> staged folder) in the places of tables or of their buckets. All
+    old folders are set aside before the first new one comes in, and come back if any step fails; they
+    go last."""
     mark = uuid.uuid4().hex
     aside: list[tuple[str, str]] = []
     placed: list[tuple[str, str]] = []
+    kept = {path: _aside(path, mark) for path in staged}
+    of_buckets = {old.rpartition("/")[0] for path, old in kept.items() if old != f"{path}.old-{mark}"}
     try:
-        for path in staged:
+        for folder in of_buckets:
+            _make(spark, folder)
+        for path, old in kept.items():
             if folder_exists(spark, path):
-                _moved(spark, path, f"{path}.old-{mark}")
-                aside.append((path, f"{path}.old-{mark}"))
+                _moved(spark, path, old)
+                aside.append((path, old))
+            elif old.rpartition("/")[0] in of_buckets:
+                _make(spark, f"{old}{_NONE}")
         for path, new in staged.items():
             _moved(spark, new, path)
             placed.append((path, new))
@@ -188,19 +211,35 @@ def swap(spark: SparkSession, staged: dict[str, str]) -> None:
             _rename(spark, path, new)
         for path, old in reversed(aside):
             _rename(spark, old, path)
+        for folder in of_buckets:
+            remove(spark, folder)
         for new in staged.values():
             remove(spark, new)
         raise
+    for folder in of_buckets:  # once renamed, they can't come back
+        _moved(spark, folder, folder.replace(".old-", ".gone-"))
+        remove(spark, folder.replace(".old-", ".gone-"))
     for _, old in aside:
         remove(spark, old)
 
 
 def recover(spark: SparkSession, path: str) -> bool:
-    """Whether a table that a stopped ``swap`` had set aside was put back in its place."""
-    if folder_exists(spark, path):
-        return False
+    """Whether what a stopped ``swap`` had set aside was put back in its place: a table, or its buckets."""
     pattern, fs = _filesystem(spark, f"{path}.old-*")
     found = sorted(str(s.getPath()) for s in fs.globStatus(pattern) or [])
+    if folder_exists(spark, path):
+        back = False
+        for old in found:
+            inside = [s.getPath().getName() for s in fs.listStatus(_filesystem(spark, old)[0])]
+            if not inside or not all(n.startswith(PREFIX) for n in inside):
+                continue  # a whole table, whose successor is in place
+            for name in inside:
+                remove(spark, f"{path}/{name.removesuffix(_NONE)}")
+                if not name.endswith(_NONE):
+                    _moved(spark, f"{old}/{name}", f"{path}/{name}")
+            remove(spark, old)
+            back = True
+        return back
     if len(found) != 1:
         return False
     _moved(spark, found[0], path)
