@@ -23,8 +23,16 @@ def period(c: str) -> Column:
     return F.date_format(F.try_to_timestamp(F.col(c).cast("string")), "yyyy-MM")
 
 
-def distinct_if(condition: Column, value: str) -> Column:
-    return F.count_distinct(F.when(condition, F.col(value)))
+def distinct_counts(rows: DataFrame, keys: tuple[str, ...], columns: dict[str, str], within: str | None = None) -> DataFrame:
+    """Distinct counts of several columns (column -> name), and the first and last value of ``within``. What is
+    counted becomes rows (keys, place of the column, value), which are made distinct where they lie
+    before they move; so each value of a group counts in its own task, however large the group is."""
+    bounds = [F.col(within).alias("_first"), F.col(within).alias("_last")] if within else []
+    ends = [F.min("_first").alias("_first"), F.max("_last").alias("_last")] if within else []
+    listed = rows.select(*keys, F.posexplode(F.array(*(F.col(c).cast("string") for c in columns))).alias("_place", "_value"), *bounds)
+    once = listed.groupBy(*keys, "_place", "_value").agg(*ends) if within else listed.distinct()
+    counts = [F.count_if((F.col("_place") == i) & F.col("_value").isNotNull()).alias(n) for i, n in enumerate(columns.values())]
+    return once.groupBy(*keys).agg(*counts, *ends)
 
 
 def with_share(rows: DataFrame, value: str, keys: tuple[str, ...], name: str) -> DataFrame:
@@ -181,12 +189,8 @@ def concentration_violations(concentration: DataFrame) -> DataFrame:
 
 def service_coverage(items: DataFrame) -> DataFrame:
     known = items.where(F.col("categoria_servico").isNotNull() & (F.col("categoria_servico") != UNKNOWN))
-    counted = known.groupBy("categoria_servico").agg(
-        F.count_distinct("item_id").alias("total_itens"),
-        distinct_if(F.col("unidade_medida").isNotNull(), "item_id").alias("itens_com_unidade"),
-        distinct_if(F.col("valor_unitario_estimado").isNotNull(), "item_id").alias("itens_com_preco"),
-        F.count_distinct("unidade_medida").alias("unidades_distintas"),
-    )
+    marked = known.withColumns({"_unit": F.when(F.col("unidade_medida").isNotNull(), F.col("item_id")), "_price": F.when(F.col("valor_unitario_estimado").isNotNull(), F.col("item_id"))})
+    counted = distinct_counts(marked, ("categoria_servico",), {"item_id": "total_itens", "_unit": "itens_com_unidade", "_price": "itens_com_preco", "unidade_medida": "unidades_distintas"})
     return counted.withColumns({
         "cobertura_unidade": F.col("itens_com_unidade").cast("double") / F.col("total_itens"),
         "cobertura_preco": F.col("itens_com_preco").cast("double") / F.col("total_itens"),
@@ -215,13 +219,8 @@ def relations(items: DataFrame, awards: DataFrame, procurements: DataFrame, link
 
 def recurrence(related: DataFrame, at_least: int = 2) -> DataFrame:
     """Agencies and suppliers that meet in ``at_least`` procurements of a category."""
-    counted = related.groupBy("orgao_id", "fornecedor_id", "categoria_tecnologia").agg(
-        F.count_distinct("contratacao_id").alias("contratacoes_distintas"),
-        F.count_distinct("resultado_id").alias("resultados_distintos"),
-        F.count_distinct("periodo").alias("periodos_distintos"),
-        F.min("data_publicacao").alias("primeira_ocorrencia"),
-        F.max("data_publicacao").alias("ultima_ocorrencia"),
-    )
+    counted = distinct_counts(related, ("orgao_id", "fornecedor_id", "categoria_tecnologia"), {"contratacao_id": "contratacoes_distintas", "resultado_id": "resultados_distintos", "periodo": "periodos_distintos"}, "data_publicacao")
+    counted = counted.withColumnsRenamed({"_first": "primeira_ocorrencia", "_last": "ultima_ocorrencia"})
     kept = counted.where(F.col("contratacoes_distintas") >= at_least).withColumn("dias_entre_primeira_ultima", F.datediff("ultima_ocorrencia", "primeira_ocorrencia"))
     return published(kept, "recorrencia_descritiva_nao_indica_irregularidade", masked_total=True)
 
@@ -253,13 +252,13 @@ def supplier_presence(related: DataFrame, units: DataFrame) -> DataFrame:
     keys = ("fornecedor_id", "categoria_tecnologia")
     own = [c for c in distinct if c not in ("uf", "municipio")]
     joined = related.select(*keys, *own).distinct().join(units.select("unidade_id", "uf", "municipio"), "unidade_id", "left")
-    counted = joined.groupBy(*keys).agg(*(F.count_distinct(c).alias(n) for c, n in distinct.items()))
+    counted = distinct_counts(joined, keys, distinct)
     return published(counted, "presenca_restrita_a_resultados_homologados", masked_total=True)
 
 
 def agency_supplier_edges(related: DataFrame) -> DataFrame:
     distinct = {"contratacao_id": "contratacoes_distintas", "resultado_id": "resultados_distintos", "periodo": "periodos_distintos", "modalidade_id": "modalidades_distintas"}
-    counted = related.groupBy("orgao_id", "fornecedor_id", "categoria_tecnologia").agg(*(F.count_distinct(c).alias(n) for c, n in distinct.items()))
+    counted = distinct_counts(related, ("orgao_id", "fornecedor_id", "categoria_tecnologia"), distinct)
     return published(counted, "aresta_descritiva_nao_indica_irregularidade", masked_total=True)
 
 

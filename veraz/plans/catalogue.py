@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.functions import expr
-from veraz.operators import classify, context, gold, quality, silver, validation, versioning
+from veraz.operators import bitmaps, classify, context, gold, quality, silver, validation, versioning
 from veraz.plans import benchmark, domain
 from veraz.sources import files
 from veraz.sources import tables as changes
@@ -515,6 +515,18 @@ def kpis_compras(spark, sf):
     return gold.procurement_kpis(_related(spark, sf))
 
 
+@query(f"{STAR} select substr(periodo, 1, 4) as ano, categoria_tecnologia, count(distinct contratacao_id) as contratacoes_distintas, count(distinct fornecedor_id) as fornecedores_distintos from related group by 1, 2")
+def distintos_por_ano(spark, sf):
+    """Bitmaps of months, put together by year."""
+    related = _related(spark, sf)
+    out, keys = None, ("ano", "categoria_tecnologia")
+    for column, name in (("contratacao_id", "contratacoes_distintas"), ("fornecedor_id", "fornecedores_distintos")):
+        months = bitmaps.by_period(related, ("periodo", "categoria_tecnologia"), column, bitmaps.dense_ids(related, column))
+        years = bitmaps.counted(months.withColumn("ano", F.substring("periodo", 1, 4)), keys, name)
+        out = years if out is None else out.join(years, list(keys))
+    return out
+
+
 @query(f"{STAR} select fornecedor_id, categoria_tecnologia, count(distinct orgao_id) as orgaos_distintos, count(distinct unidade_id) as unidades_distintas, count(distinct uf) as ufs_distintas, count(distinct municipio) as municipios_distintos, count(distinct modalidade_id) as modalidades_distintas, count(distinct periodo) as periodos_distintos, count(distinct contratacao_id) as contratacoes_distintas, 'publicada' as status_publicacao, 'presenca_restrita_a_resultados_homologados' as limitacao from related left join units using (unidade_id) group by 1, 2")
 def presenca(spark, sf):
     return gold.supplier_presence(_related(spark, sf), _v(spark, sf, "units")[0]).drop("valor_total_homologado")
