@@ -164,6 +164,34 @@ def test_an_incremental_run_writes_touched_buckets_only(spark, store):
     assert rows(store.read(core.ITEMS), *sorted(want.columns)) == rows(want, *sorted(want.columns)) and set(store.read(core.ITEMS).columns) == set(want.columns)
 
 
+def test_gold_by_delta_equals_a_full_run(spark, store):
+    """Inserts, updates, cancellations, new categories and a procurement of another day."""
+    by_supplier = (gold.RELATIONS, *gold.BY_SUPPLIER)
+    core.run(store, Run("r1", date(2026, 1, 31)), SECRET)
+    with pytest.raises(ValueError, match="full run"):
+        gold.run_delta(store, "g0", (date(2026, 1, 29), date(2026, 2, 2)))
+    gold.run(store, "g1")
+    before = {t: _stamps(store, t) for t in by_supplier}
+    one, day = procurement(spark)[0] | PLACE, {"data_atualizacao_pncp": "2026-02-01"}
+    award = AWARD | day | {"tipo_pessoa": "PJ", "situacao_compra_item_resultado_nome": "Informado", "valor_total_homologado": "6"}
+    store.append(core.RAW["contratacoes"], frame(spark, [one | day | {"numero_controle_PNCP": "A-2", "id_compra": "2", "data_publicacao_pncp": "2026-01-20"}, one | day | {"numero_controle_PNCP": "A-4", "id_compra": "4"}]))
+    store.append(core.RAW["itens"], frame(spark, [ITEM | day | {"numero_controle_PNCP_compra": "A-4", "id_compra_item": "n"}, ITEM | day | {"numero_item_pncp": "2", "id_compra_item": "A-12", "descricao_resumida": "Impressora"}]))
+    store.append(core.RAW["resultados"], frame(spark, [award | {"numero_controle_PNCP_compra": "A-4", "numero_item_pncp": "1", "ni_fornecedor": "72345678000190"}, award | {"numero_controle_PNCP_compra": "A-1", "numero_item_pncp": "1", "ni_fornecedor": "12345678000190", "situacao_compra_item_resultado_nome": "Cancelado", "data_cancelamento_pncp": "2026-02-01"}]))
+    window = json.loads(core.run(store, Run("r2", date(2026, 2, 2), "incremental"), SECRET))["janela"]
+    old = {t: rows(store.read(t), *sorted(store.read(t).columns)) for t in by_supplier}
+    report = json.loads(gold.run_delta(store, "g2", tuple(date.fromisoformat(d) for d in window)))
+    got = {t: rows(store.read(t), *sorted(store.read(t).columns)) for t in by_supplier}
+    after = {t: _stamps(store, t) for t in by_supplier}
+    full = json.loads(gold.run(store, "g3"))
+    assert got == {t: rows(store.read(t), *sorted(store.read(t).columns)) for t in by_supplier} and all(got[t] != old[t] for t in (gold.RELATIONS, "gold.presenca_fornecedores"))
+    assert report["kpis_compras"] == full["kpis_compras"] and 0 < report["baldes"] <= report["de"] == 5
+    assert all(len({b for b in before[t] if before[t][b] != after[t].get(b)}) <= report["baldes"] for t in by_supplier)
+    # Days without changes touch nothing.
+    quiet = {t: _stamps(store, t) for t in by_supplier}
+    assert json.loads(gold.run_delta(store, "g4", (date(2027, 1, 1), date(2027, 1, 2))))["baldes"] == 0
+    assert quiet == {t: _stamps(store, t) for t in by_supplier}
+
+
 def test_a_failed_or_stopped_swap_of_buckets_leaves_the_old_rows(spark, tmp_path, monkeypatch):
     store = Store(spark, str(tmp_path / "lake"), buckets=8)
     kind = "k string, m int, v string"

@@ -1,9 +1,15 @@
 """The gold job: all indicators from published tables, and the checks that they must pass before
-any of them replaces its predecessor."""
+any of them replaces its predecessor.
+
+The relation of awards and the indicators of relations lie in buckets of the supplier. Each of their
+groups has one supplier, so a bucket of an indicator depends on the same bucket of the relation alone,
+and ``run_delta`` computes the buckets anew that hold suppliers of changed awards, and no others.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +19,17 @@ from veraz.jobs import core
 from veraz.jobs.runs import RESULTS
 from veraz.jobs.store import Store
 from veraz.operators import context, gold, quality, silver
+from veraz.sources import buckets, files
 
 CONTEXT = {"empresas": "silver.cnpj_empresas_contexto", "socios": "silver.cnpj_qsa_resumo", "sancoes": "silver.sancoes_fornecedores_contexto"}
 INDEX = "silver.ipca"
+RELATIONS = "gold.relacoes"
+#: Indicators whose groups have one supplier each.
+BY_SUPPLIER = {
+    "gold.recorrencia_orgao_fornecedor": lambda related, units: gold.recurrence(related),
+    "gold.presenca_fornecedores": gold.supplier_presence,
+    "gold.arestas_orgao_fornecedor": lambda related, units: gold.agency_supplier_edges(related),
+}
 
 
 @dataclass(frozen=True)
@@ -42,17 +56,17 @@ def run(store: Store, run_id: str, gates: Gates = Gates(), period: str | None =
     """Computes, checks and publishes the indicators. Those of contracts, context and the price index
     are left out where their tables don't exist."""
     items, awards, procurements, links, units, rules = (store.read(t) for t in (core.ITEMS, core.AWARDS, core.PROCUREMENTS, core.LINKS, core.UNITS, RESULTS))
-    # Read by four indicators, so it is written once.
-    work = store.stage({"work.relacoes": gold.relations(items, awards, procurements, links)})
+    work = store.stage({})
     try:
-        related = work.read("work.relacoes")
+        # Read by four indicators, and again when only some of its buckets change.
+        work.lay_out(RELATIONS, gold.relations(items, awards, procurements, links), "fornecedor_id")
+        related = work.read(RELATIONS)
+        for name, indicator in BY_SUPPLIER.items():
+            work.lay_out(name, indicator(related, units), "fornecedor_id")
         out = {
             "gold.qualidade_cobertura": gold.quality_coverage(items, awards, procurements, links, rules),
             "gold.concentracao_fornecedores": gold.supplier_concentration(items, awards, procurements, links, gates.min_suppliers, gates.min_awards, gates.min_coverage, gates.source_validated),
             "gold.servicos_cobertura": gold.service_coverage(items),
-            "gold.recorrencia_orgao_fornecedor": gold.recurrence(related),
-            "gold.presenca_fornecedores": gold.supplier_presence(related, units),
-            "gold.arestas_orgao_fornecedor": gold.agency_supplier_edges(related),
             "gold.variacao_precos": gold.price_distribution(items, awards, procurements),
         }
         people = [store.read(core.SUPPLIERS)]
@@ -67,12 +81,50 @@ def run(store: Store, run_id: str, gates: Gates = Gates(), period: str | None =
             out["gold.ipca_referencia"] = context.index_factor(store.read(INDEX), reference)
         kpis = gold.procurement_kpis(related).first().asDict()
         work.add(out)
-        tables = {t: work.read(t) for t in out}
+        tables = {t: work.read(t) for t in (*out, *BY_SUPPLIER)}
         broken = violations(tables)
         if any(broken.values()):
             raise quality.GateFailed(f"broken checks: {', '.join(k for k, n in broken.items() if n)}")
         counts = {r.nome: r.linhas for r in quality.counts_of(tables).collect()}
-        work.publish(*out)
+        work.publish(RELATIONS, *tables)
     finally:
         work.discard()
     return store.note("gold", run_id, {"linhas": counts, "kpis_compras": kpis, "violacoes": broken})
+
+
+def changed_awards(days: tuple[date, date], items: DataFrame, awards: DataFrame, procurements: DataFrame, links: DataFrame) -> DataFrame:
+    """Ids of the awards that changed on these days, or whose item, procurement or link did."""
+    recent = lambda rows, key: files.within_days(rows, "atualizado_em", *(d.isoformat() for d in days)).select(key)
+    bought = recent(procurements, "contratacao_id").union(recent(links, "contratacao_id")).distinct()
+    wanted = recent(items, "item_id").union(items.join(bought, "contratacao_id", "left_semi").select("item_id")).distinct()
+    return recent(awards, "resultado_id").union(awards.join(wanted, "item_id", "left_semi").select("resultado_id")).distinct()
+
+
+def run_delta(store: Store, run_id: str, days: tuple[date, date]) -> str:
+    """After an incremental run of the core job: the indicators of relations, for the suppliers of what
+    changed on the days that it read. Key figures are counted over the stored relation. The other
+    indicators stay as the last full run left them."""
+    n = buckets.layout(store.spark, store.path(RELATIONS)) if store.exists(RELATIONS) else None
+    if n is None or any(buckets.layout(store.spark, store.path(t)) not in (n, None) for t in BY_SUPPLIER):
+        raise ValueError("a delta needs the relation of a full run")
+    items, awards, procurements, links, units = (store.read(t) for t in (core.ITEMS, core.AWARDS, core.PROCUREMENTS, core.LINKS, core.UNITS))
+    stored = store.read(RELATIONS)
+    work = store.stage({"work.alterados": changed_awards(days, items, awards, procurements, links)})
+    try:
+        changed = work.read("work.alterados")
+        work.add({"work.novas": gold.relations(items, awards.join(changed, "resultado_id", "left_semi"), procurements, links)})
+        new = work.read("work.novas")
+        moved = files.within_days(units, "atualizado_em", *(d.isoformat() for d in days)).select("unidade_id")
+        gone = stored.join(changed, "resultado_id", "left_semi").select("fornecedor_id").union(stored.join(moved, "unidade_id", "left_semi").select("fornecedor_id"))
+        numbers = buckets.touched(gone.union(new.select("fornecedor_id")), "fornecedor_id", n)
+        kept = store.in_buckets(RELATIONS, n, numbers).join(changed, "resultado_id", "left_anti")
+        work.replace_buckets(RELATIONS, kept.unionByName(new), "fornecedor_id", n, numbers)
+        own = work.staged(RELATIONS)
+        for name, indicator in BY_SUPPLIER.items():
+            work.replace_buckets(name, indicator(own, units), "fornecedor_id", n, numbers)
+        kpis = gold.procurement_kpis(work.read(RELATIONS)).first().asDict()
+        if numbers:
+            work.publish(RELATIONS, *BY_SUPPLIER)
+    finally:
+        work.discard()
+    return store.note("gold_delta", run_id, {"baldes": len(numbers), "de": n, "kpis_compras": kpis})

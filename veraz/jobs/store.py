@@ -76,6 +76,10 @@ class Store:
             rows = rows.where(F.col(DAY).between(*(F.lit(d) for d in days)))
         return buckets.plain(rows).drop(DAY)
 
+    def in_buckets(self, table: str, n: int, numbers: list[int]) -> DataFrame:
+        """The rows in some buckets of a table, of which alone the files are read."""
+        return buckets.plain(buckets.only(self._raw(table), n, numbers))
+
     def append(self, table: str, rows: DataFrame, day_of: str | None = None) -> None:
         """Adds rows; new columns are null in older rows. ``day_of`` names the moment by whose day the table is
         laid out; it stays the same for all of its appends."""
@@ -133,15 +137,33 @@ class Staged:
         n = buckets.layout(store.spark, path) if incremental and store.exists(table) else None
         if n:
             self.partial[table] = n, buckets.touched(source, key, n)
-            rows = changes.upsert_newer(buckets.plain(buckets.only(store._raw(table), *self.partial[table])), source, key, moment)
+            rows = changes.upsert_newer(store.in_buckets(table, *self.partial[table]), source, key, moment)
         elif incremental and store.exists(table):
             rows = changes.upsert_newer(store.read(table), source, key, moment)
-        self.folders[table], self.schemas[table] = f"{path}.new-{uuid.uuid4().hex}", rows.schema
-        buckets.write(rows, self.folders[table], key, n or store.buckets)
+        self._write(table, rows, key, n or store.buckets)
+
+    def lay_out(self, table: str, rows: DataFrame, key: str) -> None:
+        """Stages a whole table in buckets of its key."""
+        self._write(table, rows, key, self.store.buckets)
+
+    def replace_buckets(self, table: str, rows: DataFrame, key: str, n: int, numbers: list[int]) -> None:
+        """Stages new contents of some buckets; those that no row falls in become empty."""
+        self.partial[table] = n, numbers
+        self._write(table, rows, key, n)
+        for b in numbers:
+            changes.ensure_folder(self.store.spark, f"{self.folders[table]}/{buckets.folder(n, b)}")
+
+    def _write(self, table: str, rows: DataFrame, key: str, n: int) -> None:
+        self.folders[table], self.schemas[table] = f"{self.store.path(table)}.new-{uuid.uuid4().hex}", rows.schema
+        buckets.write(rows, self.folders[table], key, n)
+
+    def staged(self, table: str) -> DataFrame:
+        """The rows that were written here: a table, or its new buckets."""
+        return buckets.plain(self.store.spark.read.schema(self.schemas[table]).parquet(self.folders[table]))
 
     def read(self, table: str) -> DataFrame:
         """The table as it will be once published."""
-        new = buckets.plain(self.store.spark.read.schema(self.schemas[table]).parquet(self.folders[table]))
+        new = self.staged(table)
         if table not in self.partial:
             return new
         rest = buckets.plain(buckets.only(self.store._raw(table), *self.partial[table], others=True))

@@ -179,7 +179,7 @@ def _aside(path: str, mark: str) -> str:
     return f"{table}.old-{mark}/{name}" if name.startswith(PREFIX) else f"{path}.old-{mark}"
 
 
-def _make(spark: SparkSession, path: str) -> None:
+def ensure_folder(spark: SparkSession, path: str) -> None:
     where, fs = _filesystem(spark, path)
     if not fs.mkdirs(where):
         raise OSError(f"{path} could not be made")
@@ -196,13 +196,13 @@ def swap(spark: SparkSession, staged: dict[str, str]) -> None:
     of_buckets = {old.rpartition("/")[0] for path, old in kept.items() if old != f"{path}.old-{mark}"}
     try:
         for folder in of_buckets:
-            _make(spark, folder)
+            ensure_folder(spark, folder)
         for path, old in kept.items():
             if folder_exists(spark, path):
                 _moved(spark, path, old)
                 aside.append((path, old))
             elif old.rpartition("/")[0] in of_buckets:
-                _make(spark, f"{old}{_NONE}")
+                ensure_folder(spark, f"{old}{_NONE}")
         for path, new in staged.items():
             _moved(spark, new, path)
             placed.append((path, new))
