@@ -255,6 +255,14 @@ def test_raw_tables_by_day_read_only_the_window(spark, tmp_path):
         store.append("bronze.r", spark.createDataFrame([("x", "y", "z")], "k string, m string, n string"), day_of="m")
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=3)
+    work = store.stage({"t.a": spark.range(10).repartition(4), "t.none": spark.range(0), "t.joined": spark.range(10).join(spark.range(5), "id")})
+    work.merge("t.b", spark.createDataFrame([(f"k{i}", 1) for i in range(7)], "k string, m int"), "k", "m", False)
+    assert work.counts == {"t.a": 10, "t.none": 0, "t.joined": 5, "t.b": 7}
+    assert quality.keyed(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string"), "k").first().asDict() == {"observados": 1, "total": 4}
+
+
 def test_schemas_are_noted(spark, tmp_path):
     store = Store(spark, str(tmp_path / "lake"))
     store.put({"t.a": spark.createDataFrame([(1,)], "x int")})

@@ -17,9 +17,10 @@ WITHOUT = "contrato_nao_carregado"
 def run(store: Store, job: Run, secret: str) -> str:
     """Contracts are snapshots: each run reads all raw rows. Nothing is published if a rule fails."""
     raw = {k: store.read(t) for k, t in RAW.items()}
-    contracts, items, events = silver.contracts(raw["contratos"], secret), silver.contract_items(raw["itens"]), silver.contract_events(raw["eventos"])
-    work = store.stage({CONTRACTS: contracts.current, "work.itens": items.current, "work.eventos": events.current})
+    work = store.stage({"work.itens_brutos": raw["itens"], "work.eventos_brutos": raw["eventos"]})
     try:
+        contracts, items, events = silver.contracts(raw["contratos"], secret), silver.contract_items(work.read("work.itens_brutos")), silver.contract_events(work.read("work.eventos_brutos"))
+        work.add({CONTRACTS: contracts.current, "work.itens": items.current, "work.eventos": events.current})
         known = work.read(CONTRACTS)
         own_items, items_without = silver.close_over(work.read("work.itens"), known, "contrato_id", WITHOUT)
         own_events, events_without = silver.close_over(work.read("work.eventos"), known, "contrato_id", WITHOUT)
@@ -32,7 +33,8 @@ def run(store: Store, job: Run, secret: str) -> str:
         suppliers = contracts.suppliers.join(known.select("fornecedor_id"), "fornecedor_id", "left_semi")
         work.add({ITEMS: own_items, EVENTS: own_events, SUPPLIERS: suppliers, PROBLEMS: log, "work.itens_sem": items_without, "work.eventos_sem": events_without})
         tables = {t: work.read(t) for t in work.folders}
-        results = quality.contract_suite(known, tables[ITEMS], tables[EVENTS], tables[SUPPLIERS], raw["itens"], raw["eventos"], tables["work.itens_sem"], tables["work.eventos_sem"])
+        counts = {"fornecedores": work.counts[SUPPLIERS], **{f"{k}_brutos": work.counts[f"work.{k}_brutos"] for k in ("itens", "eventos")}, **{f"{k}_sem_contrato": work.counts[f"work.{k}_sem"] for k in ("itens", "eventos")}}
+        results = quality.contract_suite(known, tables[ITEMS], tables[EVENTS], tables[SUPPLIERS], counts)
         job.record(store, results)
         work.publish(PROBLEMS)
         quality.gate(results)

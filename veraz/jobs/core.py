@@ -40,21 +40,23 @@ def run(store: Store, job: Run, secret: str) -> str:
     and rule results as it was if a blocking rule fails."""
     window, incremental = job.window(store), job.mode == "incremental"
     raw = {k: in_window(store.read(t, window), window, CHANGED) for k, t in RAW.items()}
-    procurements = silver.procurements(raw["contratacoes"])
-    items = silver.items(raw["itens"])
-    awards = silver.awards(raw["resultados"], secret)
-    agencies, units = silver.agencies_and_units(raw["contratacoes"])
-
-    work = store.stage({
-        "work.contratacoes": procurements.current, "work.contratacoes_quarentena": procurements.quarantine, "work.contratacoes_conflitos": procurements.conflicts,
-        "work.vinculos": silver.procurement_links(raw["contratacoes"]),
-        AGENCIES: _whole(store, AGENCIES, agencies, "orgao_id", "atualizado_em", incremental),
-        UNITS: _whole(store, UNITS, units, "unidade_id", "atualizado_em", incremental),
-        "work.itens": classify.services(classify.equipment(items.current)), "work.itens_quarentena": items.quarantine, "work.itens_conflitos": items.conflicts,
-        "work.resultados": awards.current, "work.resultados_quarentena": awards.quarantine, "work.resultados_conflitos": awards.conflicts,
-        "work.fornecedores": awards.suppliers,
-    })
+    # Raw rows are read once: what several operators read is staged first, and counted as it is written. Awards
+    # are staged as they came, as typed ones hold what identifies persons.
+    work = store.stage({"work.contratacoes_brutas": raw["contratacoes"], "work.itens_tipados": silver.type_items(raw["itens"]), "work.resultados_brutos": raw["resultados"]})
     try:
+        bought = work.read("work.contratacoes_brutas")
+        procurements = silver.procurements(bought)
+        items, awards = silver.split_items(work.read("work.itens_tipados")), silver.awards(work.read("work.resultados_brutos"), secret)
+        agencies, units = silver.agencies_and_units(bought)
+        work.add({
+            "work.contratacoes": procurements.current, "work.contratacoes_quarentena": procurements.quarantine, "work.contratacoes_conflitos": procurements.conflicts,
+            "work.vinculos": silver.procurement_links(bought),
+            AGENCIES: _whole(store, AGENCIES, agencies, "orgao_id", "atualizado_em", incremental),
+            UNITS: _whole(store, UNITS, units, "unidade_id", "atualizado_em", incremental),
+            "work.itens": classify.services(classify.equipment(items.current)), "work.itens_quarentena": items.quarantine, "work.itens_conflitos": items.conflicts,
+            "work.resultados": awards.current, "work.resultados_quarentena": awards.quarantine, "work.resultados_conflitos": awards.conflicts,
+            "work.fornecedores": awards.suppliers,
+        })
         work.merge(PROCUREMENTS, work.read("work.contratacoes"), "contratacao_id", "atualizado_em", incremental)
         work.merge(LINKS, work.read("work.vinculos"), "contratacao_id", "atualizado_em", incremental)
         own, without = silver.close_over(work.read("work.itens"), work.read(PROCUREMENTS), "contratacao_id", "contratacao_nao_carregada")
@@ -71,11 +73,10 @@ def run(store: Store, job: Run, secret: str) -> str:
             *(("resultado", df, "id_origem_resultado") for df in (work.read("work.resultados_quarentena"), tag(work.read("work.resultados_conflitos")), work.read("work.resultados_pendentes"))),
         ], job.run_id)
         work.add({SUPPLIERS: suppliers.join(work.read(AWARDS).select("fornecedor_id"), "fornecedor_id", "left_semi"), PROBLEMS: log})
-        both = lambda kind: (work.read(f"work.itens_{kind}"), work.read(f"work.resultados_{kind}"))
-        results = quality.core_suite(quality.CoreTables(
-            raw=(raw["itens"], raw["resultados"]), quarantine=both("quarentena"), conflicts=both("conflitos"), pending=both("pendentes"), published=both("publicados"),
-            procurements=work.read(PROCUREMENTS), items=work.read(ITEMS), awards=work.read(AWARDS), suppliers=work.read(SUPPLIERS),
-        ))
+        both = lambda kind: work.counts[f"work.itens_{kind}"] + work.counts[f"work.resultados_{kind}"]
+        read = work.counts["work.itens_tipados"] + work.counts["work.resultados_brutos"]
+        counts = quality.CoreCounts(read, both("quarentena"), both("conflitos"), both("pendentes"), both("publicados"), work.counts[SUPPLIERS])
+        results = quality.core_suite(counts, work.read(PROCUREMENTS), work.read(ITEMS), work.read(AWARDS), work.read(SUPPLIERS))
         job.record(store, results)
         work.publish(PROBLEMS)
         quality.gate(results)

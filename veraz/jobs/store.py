@@ -117,18 +117,18 @@ class Store:
 
 @dataclass(frozen=True)
 class Staged:
-    """Tables that are complete but not published yet. ``partial`` holds, for those of which only some buckets
-    were written, how many buckets there are and which these are."""
+    """Tables that are complete but not published yet, with the rows counted as they were written. ``partial``
+    holds, for those of which only some buckets were written, how many buckets there are and which these are."""
 
     store: Store
     folders: dict[str, str] = field(default_factory=dict)
     schemas: dict[str, T.StructType] = field(default_factory=dict)
     partial: dict[str, tuple[int, list[int]]] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
     def add(self, tables: Mapping[str, DataFrame]) -> None:
         for table, df in tables.items():
-            self.folders[table] = changes.stage(df, self.store.path(table))
-            self.schemas[table] = df.schema
+            self._write(table, df, df)
 
     def merge(self, table: str, source: DataFrame, key: str, moment: str, incremental: bool) -> None:
         """Stages the table with newer rows in the places of older ones: only the buckets that the source's keys
@@ -140,22 +140,25 @@ class Staged:
             rows = changes.upsert_newer(store.in_buckets(table, *self.partial[table]), source, key, moment)
         elif incremental and store.exists(table):
             rows = changes.upsert_newer(store.read(table), source, key, moment)
-        self._write(table, rows, key, n or store.buckets)
+        self._lay_out(table, rows, key, n or store.buckets)
 
     def lay_out(self, table: str, rows: DataFrame, key: str) -> None:
         """Stages a whole table in buckets of its key."""
-        self._write(table, rows, key, self.store.buckets)
+        self._lay_out(table, rows, key, self.store.buckets)
 
     def replace_buckets(self, table: str, rows: DataFrame, key: str, n: int, numbers: list[int]) -> None:
         """Stages new contents of some buckets; those that no row falls in become empty."""
         self.partial[table] = n, numbers
-        self._write(table, rows, key, n)
+        self._lay_out(table, rows, key, n)
         for b in numbers:
             changes.ensure_folder(self.store.spark, f"{self.folders[table]}/{buckets.folder(n, b)}")
 
-    def _write(self, table: str, rows: DataFrame, key: str, n: int) -> None:
+    def _lay_out(self, table: str, rows: DataFrame, key: str, n: int) -> None:
+        self._write(table, rows, buckets.laid_out(rows, key, n), f"{buckets.PREFIX}{n}")
+
+    def _write(self, table: str, rows: DataFrame, written: DataFrame, by: str | None = None) -> None:
         self.folders[table], self.schemas[table] = f"{self.store.path(table)}.new-{uuid.uuid4().hex}", rows.schema
-        buckets.write(rows, self.folders[table], key, n)
+        self.counts[table] = changes.counted_write(written, self.folders[table], by)
 
     def staged(self, table: str) -> DataFrame:
         """The rows that were written here: a table, or its new buckets."""

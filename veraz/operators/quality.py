@@ -102,63 +102,71 @@ def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return rows.join(parents.select(key), key, "left_anti")
 
 
-@dataclass(frozen=True)
-class CoreTables:
-    """What the core suite looks at: raw rows, what the operators set aside, and what is to be published."""
+def keyed(df: DataFrame, key: str) -> DataFrame:
+    """One row: how many keys occur more than once (observados) and the rows (total), from one aggregation."""
+    return df.groupBy(key).count().agg(F.count_if(F.col("count") > 1).alias("observados"), F.coalesce(F.sum("count"), F.lit(0)).alias("total"))
+
+
+def _counted(rows: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """name -> (observados, total) of tables of one row, in one job."""
+    out = None
+    for name, df in rows.items():
+        own = df.select(F.lit(name).alias("nome"), F.col("observados").cast("long"), F.col("total").cast("long"))
+        out = own if out is None else out.unionByName(own)
+    return {r.nome: (r.observados, r.total) for r in out.collect()}
+
 
-    raw: tuple[DataFrame, ...]
-    quarantine: tuple[DataFrame, ...]
-    conflicts: tuple[DataFrame, ...]
-    pending: tuple[DataFrame, ...]
-    published: tuple[DataFrame, ...]  # what this run adds or replaces; the tables below hold all rows
-    procurements: DataFrame
-    items: DataFrame
-    awards: DataFrame
-    suppliers: DataFrame
+def _broken(df: DataFrame) -> DataFrame:
+    """One row: the rows that break a rule; their total is known from elsewhere."""
+    return df.agg(F.count("*").alias("observados"), F.lit(0).alias("total"))
 
 
-def _collected(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    return {r.nome: r.linhas for r in counts_of(tables).collect()}  # one row for each table
+@dataclass(frozen=True)
+class CoreCounts:
+    """What the core job counted while it wrote: rows read, set aside and added or replaced, and suppliers."""
+
+    entrada: int
+    quarentena: int
+    conflitos: int
+    pendentes: int
+    publicados: int
+    fornecedores: int
 
 
 # The names of the rules, their severities and their limit, 0.
-def core_suite(t: CoreTables) -> list[RuleResult]:
-    """The ten rules of the core job, from counts taken in one job."""
-    groups = {"entrada": t.raw, "quarentena": t.quarantine, "conflitos": t.conflicts, "pendentes": t.pending, "publicados": t.published}
-    n = _collected({
-        **{f"{g}{i}": df for g, dfs in groups.items() for i, df in enumerate(dfs)},
-        "itens": t.items, "resultados": t.awards, "fornecedores": t.suppliers,
-        "itens_duplicados": duplicates(t.items, "item_id"), "resultados_duplicados": duplicates(t.awards, "resultado_id"), "cpf_publico": leaked_numbers(t.suppliers),
-        "itens_orfaos": orphans(t.items, t.procurements, "contratacao_id"), "resultados_orfaos": orphans(t.awards, t.items, "item_id"),
+def core_suite(c: CoreCounts, procurements: DataFrame, items: DataFrame, awards: DataFrame, suppliers: DataFrame) -> list[RuleResult]:
+    """The ten rules of the core job: those of rows from counts of its writes, those of keys from one job
+    over the tables that are to be published."""
+    n = _counted({
+        "itens": keyed(items, "item_id"), "resultados": keyed(awards, "resultado_id"), "cpf_publico": _broken(leaked_numbers(suppliers)),
+        "itens_orfaos": _broken(orphans(items, procurements, "contratacao_id")), "resultados_orfaos": _broken(orphans(awards, items, "item_id")),
     })
-    whole = {g: sum(n[f"{g}{i}"] for i in range(len(dfs))) for g, dfs in groups.items()}
-    dropped = whole["entrada"] - sum(n for g, n in whole.items() if g != "entrada")
+    whole = {k: v for k, v in asdict(c).items() if k != "fornecedores"}
+    dropped = c.entrada - (c.quarentena + c.conflitos + c.pendentes + c.publicados)
     return [
-        judge_rule("reconciliacao_entrada", reconciliation(whole), whole["entrada"], 0, "erro"),
-        judge_rule("itens_duplicados", n["itens_duplicados"], n["itens"], 0, "erro"),
-        judge_rule("resultados_duplicados", n["resultados_duplicados"], n["resultados"], 0, "erro"),
-        judge_rule("cpf_publico", n["cpf_publico"], n["fornecedores"], 0, "erro"),
-        judge_rule("itens_sem_contratacao_publicada", n["itens_orfaos"], n["itens"], 0, "erro"),
-        judge_rule("resultados_sem_item_publicado", n["resultados_orfaos"], n["resultados"], 0, "erro"),
-        judge_rule("vinculos_pendentes", whole["pendentes"], whole["entrada"], 0, "alerta"),
-        judge_rule("registros_em_quarentena", whole["quarentena"], whole["entrada"], 0, "alerta"),
-        judge_rule("conflitos_de_versao", whole["conflitos"], whole["entrada"], 0, "alerta"),
-        judge_rule("duplicatas_fisicas_descartadas", max(0, dropped), whole["entrada"], 0, "alerta"),
+        judge_rule("reconciliacao_entrada", reconciliation(whole), c.entrada, 0, "erro"),
+        judge_rule("itens_duplicados", *n["itens"], 0, "erro"),
+        judge_rule("resultados_duplicados", *n["resultados"], 0, "erro"),
+        judge_rule("cpf_publico", n["cpf_publico"][0], c.fornecedores, 0, "erro"),
+        judge_rule("itens_sem_contratacao_publicada", n["itens_orfaos"][0], n["itens"][1], 0, "erro"),
+        judge_rule("resultados_sem_item_publicado", n["resultados_orfaos"][0], n["resultados"][1], 0, "erro"),
+        judge_rule("vinculos_pendentes", c.pendentes, c.entrada, 0, "alerta"),
+        judge_rule("registros_em_quarentena", c.quarentena, c.entrada, 0, "alerta"),
+        judge_rule("conflitos_de_versao", c.conflitos, c.entrada, 0, "alerta"),
+        judge_rule("duplicatas_fisicas_descartadas", max(0, dropped), c.entrada, 0, "alerta"),
     ]
 
 
-def contract_suite(contracts: DataFrame, items: DataFrame, events: DataFrame, suppliers: DataFrame, raw_items: DataFrame, raw_events: DataFrame, items_without: DataFrame, events_without: DataFrame) -> list[RuleResult]:
-    """The six rules of the contract job."""
-    n = _collected({
-        "contratos": contracts, "itens": items, "eventos": events, "fornecedores": suppliers, "itens_brutos": raw_items, "eventos_brutos": raw_events,
-        "contratos_duplicados": duplicates(contracts, "contrato_id"), "itens_contrato_duplicados": duplicates(items, "contrato_item_id"), "eventos_contrato_duplicados": duplicates(events, "evento_contrato_id"),
-        "cpf_publico_contrato": leaked_numbers(suppliers), "itens_sem_contrato": items_without, "eventos_sem_contrato": events_without,
+def contract_suite(contracts: DataFrame, items: DataFrame, events: DataFrame, suppliers: DataFrame, counts: Mapping[str, int]) -> list[RuleResult]:
+    """The six rules of the contract job. ``counts`` were taken while it wrote: fornecedores, itens_brutos,
+    eventos_brutos, and those without a contract, itens_sem_contrato and eventos_sem_contrato."""
+    n = _counted({
+        "contratos_duplicados": keyed(contracts, "contrato_id"), "itens_contrato_duplicados": keyed(items, "contrato_item_id"), "eventos_contrato_duplicados": keyed(events, "evento_contrato_id"),
+        "cpf_publico_contrato": _broken(leaked_numbers(suppliers)),
     })
-    rules = (
-        ("contratos_duplicados", "contratos", "erro"), ("itens_contrato_duplicados", "itens", "erro"), ("eventos_contrato_duplicados", "eventos", "erro"), ("cpf_publico_contrato", "fornecedores", "erro"),
-        ("itens_sem_contrato", "itens_brutos", "alerta"), ("eventos_sem_contrato", "eventos_brutos", "alerta"),
-    )
-    return [judge_rule(rule, n[rule], n[whole], 0, severity) for rule, whole, severity in rules]
+    n["cpf_publico_contrato"] = n["cpf_publico_contrato"][0], counts["fornecedores"]
+    found = [judge_rule(rule, *n[rule], 0, "erro") for rule in n]
+    return [*found, *(judge_rule(f"{k}_sem_contrato", counts[f"{k}_sem_contrato"], counts[f"{k}_brutos"], 0, "alerta") for k in ("itens", "eventos"))]
 
 
 class GateFailed(RuntimeError):

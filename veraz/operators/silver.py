@@ -106,7 +106,11 @@ def type_items(raw: DataFrame) -> DataFrame:
 
 def items(raw: DataFrame) -> Split:
     """Procurement items. Items without a usable price stay; they are marked."""
-    return _split(type_items(raw), "item_id", "item_v1")
+    return split_items(type_items(raw))
+
+
+def split_items(typed: DataFrame) -> Split:
+    return _split(typed, "item_id", "item_v1")
 
 
 def supplier_identity(df: DataFrame, secret: str) -> DataFrame:

@@ -31,10 +31,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.drop(*(c for c in df.columns if c.startswith(PREFIX)))
 
 
-def write(df: DataFrame, path: str, key: str | list[str], n: int) -> None:
-    """Writes the rows by bucket, each bucket by one task."""
+def laid_out(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
+    """The rows with the column of the layout, each bucket in one task."""
     name = f"{PREFIX}{n}"
-    df.withColumn(name, bucket(key, n)).repartition(name).write.partitionBy(name).parquet(path)
+    return df.withColumn(name, bucket(key, n)).repartition(name)
 
 
 def layout(spark: SparkSession, path: str) -> int | None:

@@ -246,6 +246,17 @@ def recover(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def counted_write(df: DataFrame, path: str, by: str | None = None) -> int:
+    """Writes the rows, by a partition column if one is named, and returns how many they were. They are
+    counted in the tasks that write, so a task that runs again counts once."""
+    from pyspark.sql import Observation
+
+    seen = Observation(uuid.uuid4().hex)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return seen.get["n"]
+
+
 def stage(df: DataFrame, path: str) -> str:
     """Writes the rows beside a table's folder and returns where they are."""
     new = f"{path}.new-{uuid.uuid4().hex}"
