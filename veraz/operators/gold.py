@@ -53,17 +53,17 @@ def published(df: DataFrame, limitation: str | None = None, masked_total: bool =
 
 
 def monetary_eligibility(awards: DataFrame) -> DataFrame:
-    """Adds motivo_inelegibilidade_monetaria and elegivel_monetario. Repeated ids are found by a
-    count with partial aggregation, joined back."""
+    """Adds motivo_inelegibilidade_monetaria and elegivel_monetario. Repeated ids, the null id among them,
+    are found by one count with partial aggregation, joined back."""
     require(awards, "resultado_id", "quantidade_homologada", "valor_unitario_homologado", "valor_total_homologado")
     total, quantity, unit = F.col("valor_total_homologado"), F.col("quantidade_homologada"), F.col("valor_unitario_homologado")
-    # Rows with null ids are spread by their contents, so that they don't meet in one task; they count
-    # as one id, as they would in a window.
-    spread = F.when(F.col("resultado_id").isNull(), F.xxhash64(*(c for c in awards.columns if c != "resultado_id"))).otherwise(F.lit(0).cast("long"))
-    repeated = awards.where(F.col("resultado_id").isNotNull()).groupBy("resultado_id").count().where("count > 1").select("resultado_id", F.lit(0).cast("long").alias("_salt"), F.lit(True).alias("_twice"))
-    nameless = awards.agg((F.count_if(F.col("resultado_id").isNull()) > 1).alias("_nameless"))
-    marked = awards.withColumn("_salt", spread).join(repeated, ["resultado_id", "_salt"], "left").crossJoin(F.broadcast(nameless))  # one row
-    marked = marked.withColumn("_twice", F.when(F.col("resultado_id").isNull(), F.col("_nameless")).otherwise(F.col("_twice")))
+    # The id as an array is never null, so null ids can be joined like others. Only a null id may stand in many
+    # rows of a sound table, so its rows are spread over salts, for each of which it is marked.
+    salts = 64
+    salt = F.when(F.col("resultado_id").isNull(), F.pmod(F.xxhash64(*(c for c in awards.columns if c != "resultado_id")), F.lit(salts))).otherwise(F.lit(0).cast("long"))
+    places = F.when(F.col("_id")[0].isNull(), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    repeated = awards.groupBy(F.array("resultado_id").alias("_id")).count().where("count > 1").select("_id", F.explode(places).alias("_salt"), F.lit(True).alias("_twice"))
+    marked = awards.withColumns({"_id": F.array("resultado_id"), "_salt": salt}).join(repeated, ["_id", "_salt"], "left")
     reason = first_reason([
         ("resultado_duplicado", F.col("_twice")),
         ("quantidade_homologada_invalida", quantity.isNull() | (quantity <= 0)),

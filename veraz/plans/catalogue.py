@@ -175,10 +175,19 @@ def semi_join_minimized(spark, sf):
     return context.minimised(raw, wanted, "cnpj_basico", ["c_mktsegment"], 8)
 
 
-@query("select o_orderkey, 'item_nao_carregado' as motivo_quarentena from orders where o_orderkey not in (select l_orderkey from lineitem where l_linenumber > 4)")
+def _with_orphans(spark, sf):
+    """Orders, and one planted order for each customer whose own key and whose customer's are in no table."""
+    planted = _t(spark, sf, "customer").select((-1 - F.col("c_custkey")).alias("o_orderkey"), (-1 - F.col("c_custkey")).alias("o_custkey"))
+    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey").unionByName(planted)
+
+
+_ORPHANS = "planted as (select o_orderkey, o_custkey from orders union all select -1 - c_custkey, -1 - c_custkey from customer)"
+
+
+@query(f"with {_ORPHANS} select o_orderkey, 'item_nao_carregado' as motivo_quarentena from planted where o_orderkey not in (select l_orderkey from lineitem)")
 def anti_orphans(spark, sf):
-    parents = _t(spark, sf, "lineitem").where("l_linenumber > 4").select(F.col("l_orderkey").alias("o_orderkey"))
-    return silver.close_over(_t(spark, sf, "orders").select("o_orderkey"), parents, "o_orderkey", "item_nao_carregado")[1]
+    parents = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return silver.close_over(_with_orphans(spark, sf).select("o_orderkey"), parents, "o_orderkey", "item_nao_carregado")[1]
 
 
 @query("select l_orderkey, l_linenumber, l_suppkey from lineitem where l_orderkey in (select o_orderkey from orders where o_orderstatus = 'F')")
@@ -189,6 +198,7 @@ def fk_closure(spark, sf):
 
 @query(f"with {domain.ctes('versions')} select distinct s.entidade, s.atualizado_em, s.conteudo from versions s join versions t on s.entidade = t.entidade and s.atualizado_em = t.atualizado_em and s.conteudo <> t.conteudo where cast(s.source_file_id as int) % 2 = 1 and cast(t.source_file_id as int) % 2 = 0")
 def merge_conflict_detect(spark, sf):
+    """All versions: those of even files are the stored side, those of odd files the new one."""
     versions = _v(spark, sf, "versions")[0]
     odd = F.col("source_file_id").cast("int") % 2 == 1
     found = changes.stored_conflicts(versions.where(~odd), versions.where(odd).select("entidade", "atualizado_em", "conteudo"), "entidade", "atualizado_em", "conteudo")
@@ -625,13 +635,13 @@ def capability_counts(spark, sf):
 # --- operations, benchmark, validation ---
 
 
-@query("with c as (select 'itens_duplicados' as regra, 'erro' as severidade, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as observados, (select count(*) from lineitem) as total union all select 'orfaos', 'alerta', (select count(*) from orders where o_orderkey not in (select l_orderkey from lineitem where l_linenumber > 4)), (select count(*) from orders) union all select 'cpf_publico', 'erro', 0, (select count(*) from supplier) union all select 'sem_dados', 'erro', 0, 0) select regra, severidade, observados::bigint as observados, total::bigint as total, case when total > 0 then round(100.0 * observados / total, 4) end as percentual, case when total = 0 then 'SEM_DADOS' when observados > 0 and severidade = 'erro' then 'FAIL' when observados > 0 then 'ALERT' else 'PASS' end as status from c")
+@query(f"with {_ORPHANS}, c as (select 'itens_duplicados' as regra, 'erro' as severidade, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) as observados, (select count(*) from lineitem) as total union all select 'orfaos', 'alerta', (select count(*) from planted where o_orderkey not in (select l_orderkey from lineitem)), (select count(*) from planted) union all select 'cpf_publico', 'erro', 0, (select count(*) from supplier) union all select 'sem_dados', 'erro', 0, 0) select regra, severidade, observados::bigint as observados, total::bigint as total, case when total > 0 then round(100.0 * observados / total, 4) end as percentual, case when total = 0 then 'SEM_DADOS' when observados > 0 and severidade = 'erro' then 'FAIL' when observados > 0 then 'ALERT' else 'PASS' end as status from c")
 def quality_rules(spark, sf):
-    lines, orders, suppliers = (_t(spark, sf, t) for t in ("lineitem", "orders", "supplier"))
+    lines, suppliers, orders = _t(spark, sf, "lineitem"), _t(spark, sf, "supplier"), _with_orphans(spark, sf)
     people = suppliers.select(F.lit("PF").alias("tipo_pessoa"), F.lit(None).cast("string").alias("identificador_publico"))
     counts = quality.rule_counts({
         "itens_duplicados": (quality.duplicates(lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("k")), "k"), lines, "erro"),
-        "orfaos": (orders.join(lines.where("l_linenumber > 4").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti"), orders, "alerta"),
+        "orfaos": (quality.orphans(orders, lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey"), orders, "alerta"),
         "cpf_publico": (quality.leaked_numbers(people), suppliers, "erro"),
         "sem_dados": (orders.where("false"), orders.where("false"), "erro"),
     })
@@ -701,9 +711,9 @@ def val_uniqueness(spark, sf):
     return validation.uniqueness({n: (_t(spark, sf, t), k) for n, (t, k) in _COUNTS.items()}).drop("duplicadas")
 
 
-@query("select 'linhas' as tabela, count(case when o_orderkey is null then 1 end) as orfaos from lineitem left join orders on l_orderkey = o_orderkey union all select 'pedidos', count(case when c_custkey is null then 1 end) from orders left join customer on o_custkey = c_custkey and c_mktsegment <> 'BUILDING'")
+@query(f"with {_ORPHANS} select 'linhas' as tabela, count(case when o_orderkey is null then 1 end) as orfaos from lineitem left join orders on l_orderkey = o_orderkey union all select 'pedidos', count(case when c_custkey is null then 1 end) from planted left join customer on o_custkey = c_custkey")
 def val_ref_integrity(spark, sf):
-    lines, orders, customers = _t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), _t(spark, sf, "orders"), _t(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'")
+    lines, orders, customers = _t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), _with_orphans(spark, sf), _t(spark, sf, "customer")
     return validation.orphan_counts({"linhas": (lines, orders, "o_orderkey"), "pedidos": (orders, customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")})
 
 
