@@ -64,9 +64,10 @@ def main() -> None:
         tables = copied(tables, COPIES, folder)
     rows = sum(df.count() for df in tables.values())
     strategies = benchmark.compare(spark, tables, RUNS)
+    moved = {k: {"shuffle_mb": round(t.shuffled / 1e6, 2), "spill_mb": round(t.spilled / 1e6, 2)} for k, t in benchmark.compare_traffic(spark, tables).items()}
     shutil.rmtree(folder)
     times |= {f"strategy_{k}": round(v, 3) for k, v in strategies.items()}
-    print(json.dumps({"metric": "headline queries, sum of medians", "value": round(sum(times.get(n, 0) for n in HEADLINE), 3), "unit": "sec", "queries": times, "sf": os.path.basename(SF.rstrip("/")), "strategy_rows": rows}))
+    print(json.dumps({"metric": "headline queries, sum of medians", "value": round(sum(times.get(n, 0) for n in HEADLINE), 3), "unit": "sec", "queries": times, "sf": os.path.basename(SF.rstrip("/")), "strategy_rows": rows, "strategy_traffic": moved}))
     spark.stop()
 
 

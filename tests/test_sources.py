@@ -167,6 +167,9 @@ def test_streamed_ingest_loads_once(spark, tmp_path):
 def test_benchmark(spark):
     tables_ = catalogue.benchmark_tables(spark, "/root/testdata/sf0.001")
     assert set(benchmark.compare(spark, tables_, 1)) == set(benchmark.STRATEGIES)
+    moved = benchmark.compare_traffic(spark, tables_)
+    assert set(moved) == set(benchmark.STRATEGIES) and moved["merge"].shuffled > moved["broadcast"].shuffled > 0 and all(t.spilled == 0 < t.read for t in moved.values())
+    assert benchmark.traffic(spark, lambda: None) == benchmark.Traffic(0, 0, 0)
     assert "BroadcastHashJoin" in benchmark.plan_text(benchmark.grouped(tables_, "broadcast")) and "SortMergeJoin" in benchmark.plan_text(benchmark.grouped(tables_, "merge"))
     with pytest.raises(ValueError):
         benchmark.grouped(tables_, "x")
