@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.functions import expr
-from veraz.operators import bitmaps, classify, context, gold, quality, silver, validation, versioning
+from veraz.operators import bitmaps, classify, context, gold, quality, quantiles, silver, validation, versioning
 from veraz.plans import benchmark, domain
 from veraz.sources import files
 from veraz.sources import tables as changes
@@ -525,6 +525,17 @@ def kpis_compras(spark, sf):
     return gold.procurement_kpis(_related(spark, sf))
 
 
+@query("select concat(year(o_orderdate), '-', quarter(o_orderdate)) as trimestre, o_orderpriority, count(*)::bigint as observacoes, min(o_totalprice) as minimo, max(o_totalprice) as maximo, true as dentro_do_erro from orders group by 1, 2")
+def quantis_por_trimestre(spark, sf):
+    """Sketches of months, merged by quarter; whether their quantiles lie within three times the error is counted over the rows."""
+    orders = _t(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("periodo"), F.concat_ws("-", F.year("o_orderdate"), F.quarter("o_orderdate")).alias("trimestre"), "o_orderpriority", "o_totalprice")
+    keys, shares = ["trimestre", "o_orderpriority"], {"p10": 0.1, "mediana": 0.5, "p90": 0.9}
+    months = quantiles.by_period(orders, ["periodo", *keys], "o_totalprice")
+    found = quantiles.quantiles(quantiles.merged(months, keys), shares)
+    off = quantiles.off_by(orders, found, keys, "o_totalprice", shares)
+    return found.join(off, keys).select(*keys, "observacoes", "minimo", "maximo", (F.col("desvio") <= 3 * quantiles.rank_error()).alias("dentro_do_erro"))
+
+
 @query(f"{STAR} select substr(periodo, 1, 4) as ano, categoria_tecnologia, count(distinct contratacao_id) as contratacoes_distintas, count(distinct fornecedor_id) as fornecedores_distintos from related group by 1, 2")
 def distintos_por_ano(spark, sf):
     """Bitmaps of months, put together by year."""
