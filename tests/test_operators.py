@@ -3,6 +3,7 @@
 import hashlib
 import hmac
 import json
+import re
 from datetime import date
 
 import pytest
@@ -230,3 +231,12 @@ def test_watermark_and_rules():
 def test_http_dates(spark):
     df = spark.createDataFrame([("Tue, 15 Nov 1994 08:12:31 GMT",), ("x",), (None,)], "c string").select(expr.rfc1123(F.col("c")).cast("string").alias("t"))
     assert [r.t for r in df.collect()] == ["1994-11-15 08:12:31", None, None]
+
+
+def test_overlapping_rules_give_the_first(spark):
+    """One pattern for all rules, alternatives within rules included, decides nothing about their order."""
+    rules = (("ab", r"^a(b|c)"), ("a", r"^a|x$"), ("any", r"^..z"))
+    texts = ["abz", "acz", "adz", "bx", "bbz", "ab", "", "zz", None, "q"]
+    want = {t: next((n for n, p in rules if t is not None and re.search(p, t)), None) for t in texts}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.c for r in df.select("t", classify.by_rules(F.col("t"), rules).alias("c")).collect()} == want

@@ -28,20 +28,23 @@ UNKNOWN = "incerto"
 
 
 def by_rules(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    return first_reason((name, text.rlike(pattern)) for name, pattern in rules)
+    """The first rule that matches. One pattern of all rules comes first, as most texts match none."""
+    matches_any = text.rlike("|".join(f"(?:{pattern})" for _, pattern in rules))
+    return F.when(matches_any, first_reason((name, text.rlike(pattern)) for name, pattern in rules))
 
 
 def equipment(items: DataFrame, rules: tuple[tuple[str, str], ...] = EQUIPMENT) -> DataFrame:
     """Adds categoria_tecnologia (materials only, else ``incerto``) and versao_regra."""
-    found = F.when(F.col("material_ou_servico") == "M", by_rules(F.lower("descricao"), rules))
-    return items.withColumns({"categoria_tecnologia": F.coalesce(found, F.lit(UNKNOWN)), "versao_regra": F.lit("equipamentos_v2")})
+    texts = items.withColumn("_texto", F.when(F.col("material_ou_servico") == "M", F.lower("descricao")))  # once, not for each rule
+    return texts.withColumns({"categoria_tecnologia": F.coalesce(by_rules(F.col("_texto"), rules), F.lit(UNKNOWN)), "versao_regra": F.lit("equipamentos_v2")}).drop("_texto")
 
 
 def services(items: DataFrame, rules: tuple[tuple[str, str], ...] = SERVICES) -> DataFrame:
     """Adds categoria_servico (services only), its price status and reason, and names the
     technology category after a service that is known."""
     service = F.col("material_ou_servico") == "S"
-    items = items.withColumn("categoria_servico", F.when(service, F.coalesce(by_rules(fold(F.col("descricao")), rules), F.lit(UNKNOWN))))
+    texts = items.withColumn("_texto", F.when(service, fold(F.col("descricao"))))
+    items = texts.withColumn("categoria_servico", F.when(service, F.coalesce(by_rules(F.col("_texto"), rules), F.lit(UNKNOWN)))).drop("_texto")
     known = F.col("categoria_servico") != UNKNOWN
     return items.withColumns(
         {
