@@ -106,7 +106,59 @@ def test_one_id_with_different_texts(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 40), ("b", 30)))
     df = spark.createDataFrame([(1, a), (1, b), (1, None), (2, a + " more"), (3, b), (4, "other words that link with nothing"), (None, a), (None, a)], "doc_id long, text string")
     rows = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(df).collect()]
-    assert sorted(r for r in rows if r[0]) == [(1, 36, 1), (2, 37, 1), (3, 26, 3), (4, 2, 4)] and [r[:2] for r in rows if r[0] is None] == [(None, 36)]
+    assert sorted(r for r in rows if r[0]) == [(1, 36, 1), (2, 37, 1), (3, 26, 3), (4, 2, 4)] and [r for r in rows if r[0] is None] == [(None, 36, None)] * 2
+
+
+def test_null_and_other_ids(spark):
+    """Every row without an id stays and links with nothing; ids that aren't whole numbers are refused."""
+    texts = ["a b c d e f", "a b c d e f", "one two", None, ""]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(7, texts[0])], "doc_id long, text string")
+    rows = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(df).collect()]
+    assert sorted(rows, key=str) == sorted([(None, len(s), None) for s in ("xx", "xx", "x", "", "")] + [(7, 2, 7)], key=str)
+    with pytest.raises(TypeError):
+        jaccard.join(spark.createDataFrame([("x", "a")], "doc_id string, text string"))
+
+
+def group_under_a_hub(n):
+    """Document 0 holds a passage, a licence and more; n near copies hold the passage, the licence and a
+    word of their own; twice as many others hold the licence, half of those are near copies in pairs."""
+    licence, passage, more = ([f"{c}{i}" for i in range(k)] for c, k in (("l", 60), ("p", 40), ("m", 90)))
+    texts = [passage + licence + more] + [licence + [f"own{i}"] + passage for i in range(n)]
+    texts += [licence + [f"o{i // 2 if i < n else i}x{k}" for k in range(50)] + ["end", f"{i}"] for i in range(2 * n)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize(("n", "block"), [(60, None), (60, 16), (400, None)])
+def test_near_copies_under_a_hub_that_is_not_linked_to_them(spark, monkeypatch, n, block):
+    """Some pairs a document are multiplied, not all pairs of the group."""
+    if block:
+        monkeypatch.setattr(jaccard, "CROSS_BLOCK", block)
+    rows, written, links = group_under_a_hub(n), [], jaccard._links
+
+    def counted(pairs, *rest):
+        written.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    out = got(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    if n < 100:
+        assert out == brute(rows)
+    assert {out[i][1] for i in range(1, n + 1)} == {1} and out[0][1] == 0
+    assert sum(written) <= (20 if block else 8) * len(rows) and sum(written) < n * (n - 1) // 2 or n < 100
+
+
+def test_a_round_that_links_nothing_is_followed_by_a_wider_one(spark, monkeypatch):
+    """Sketches that rule nothing out: the pairs held back are checked in the end."""
+    monkeypatch.setattr(jaccard, "folded", lambda sketches, width: np.zeros((len(sketches), width), np.uint64))
+    monkeypatch.setattr(jaccard, "parity", lambda s: bytes(128))
+    monkeypatch.setattr(jaccard, "PICKS", 1)
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(12)]
+    rows = [(0, " ".join(common + [f"z{i}" for i in range(3)]))]
+    for i in range(1, 40):
+        own = [f"{(i % 13)}w{k}" for k in range(6)] + [f"e{rng.randint(0, 9)}"]
+        rows.append((i, " ".join(common + own)))
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
 def test_empty_table(spark):

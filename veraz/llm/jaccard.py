@@ -17,10 +17,15 @@ bounds that lose no pair:
    checks a document.
 4. Two documents of one column share its hub, so the pairs that are left lie within the documents
    of one hub. Where these belong to several components, pairs across components are held against
-   the bounds of sizes and sketches, block by block inside the tasks; only pairs that neither
-   rules out are written and multiplied exactly. Hubs with more than
-   ``CROSS_BLOCK`` documents are cut by set size first, as sets of too different sizes can't link.
-   Pairs in one component are linked already, by way of others.
+   the bounds of sizes and sketches, block by block inside the tasks. Of those that neither rules
+   out, a block writes ``PICKS`` for each component (the likeliest ones and the first) to be multiplied
+   exactly; then components are joined, and hubs of which pairs were held back go round again, until
+   none are. Pairs in one component are linked already, by way of others, so near copies under a hub
+   that isn't linked to them cost some pairs a document, not all pairs. A round that links nothing is
+   followed by one that writes eight times as many. Hubs with more than ``CROSS_BLOCK`` documents are
+   cut by set size first, as sets of too different sizes can't link; their first round compares
+   documents within blocks and with the first document of their size, later ones all blocks.
+   Documents that are all just short of the threshold (so that sketches can't tell) are checked pair by pair.
 5. Components come from propagating the smallest id.
 
 The sketch has more cells for larger inputs (4 to 16 MB of counts). At most 100,000 partitions hold the
@@ -29,7 +34,7 @@ columns; beyond that they grow, and what reads them is sorted and streamed.
 Defined results: a null or empty text has an empty set and links with nothing; fewer words than a
 shingle are one shingle; rows of one id are one document, of different texts the longest counts
 (ties: the greater in bytes); an empty table gives no rows; other columns are not read, whatever
-their names are. Null ids are not linked to others; of their rows each set size has one.
+their names are. Ids are whole numbers (others raise). Each row with a null id stays a row, is linked with nothing and has a null component.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ from pyspark.sql import functions as F
 
 from veraz.llm.components import components
 from veraz.llm.pieces import sized
-from veraz.llm.shared import checkpoint, giving_back, written
+from veraz.llm.shared import checkpoint, drop, giving_back, written
 from veraz.llm.words import chunks, ngrams, word_hashes
 
 WORDS, PERCENT = 5, 80
@@ -62,6 +67,8 @@ HUB_BLOCK = 512
 HOT_ROWS = 256
 #: Documents in one block of those that share a hub.
 CROSS_BLOCK = 1024
+#: Pairs that a block writes for each component in the first round.
+PICKS = 8
 #: Logarithms of the fewest and the most cells of a document's parity sketch (128 bytes and 16 KB).
 LEAST_PARITY, MOST_PARITY = 10, 17
 #: Rows of a needed-document table up to which it is broadcast (24 bytes a row).
@@ -124,6 +131,8 @@ def _cells(size: int) -> int:
 
 
 def _bytes_in(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    if df.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{id_col} must hold whole numbers; number the rows of a table with other ids first")
     return df.select(F.col(id_col).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
 
 
@@ -216,11 +225,21 @@ def _words(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def _crossing(percent: int):
-    """Sorted blocks of documents that share a hub -> pairs across components that neither the sizes
-    nor the parity sketches rule out."""
+def _picked(groups: np.ndarray, *ranks: np.ndarray, picks: int) -> np.ndarray:
+    """Places of the first rows of each group in the order of ``ranks`` (last: ties)."""
+    order = np.lexsort((*ranks[::-1], groups))
+    groups = groups[order]
+    start = np.concatenate([[True], groups[1:] != groups[:-1]])
+    since = np.arange(len(order)) - np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
+    return order[since < picks]
 
-    def pairs(c, doc, n, side, guest, bits) -> Iterator[tuple[int, int]]:
+
+def _crossing(percent: int, picks: int):
+    """Sorted blocks of documents that share a hub -> pairs (a, b) across components that neither the
+    sizes nor the parity sketches rule out, some for each component; hubs with more of them."""
+
+    def pairs(c, doc, n, side, guest, bits) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Both ends of the pairs, and whether some were held back."""
         order = np.lexsort((doc, c))
         c, doc, n, side, guest, bits = c[order], doc[order], n[order].astype(np.int64), side[order], guest[order], [bits[i] for i in order.tolist()]
         whole = (side == side[0]).all()
@@ -233,6 +252,9 @@ def _crossing(percent: int):
             place[at] = np.arange(len(at))
         full = {w: np.stack([bits[i] for i in at.tolist()]) for w, at in rows.items()}
         half = {w: folded(m, w // 2) for w, m in full.items() if w // 2 in full}
+        ahead: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # one end, the other, how far below the bound
+        best, by, first = np.full(len(c), np.iinfo(np.int64).max), np.full(len(c), -1), np.full(len(c), -1)
+        held_back = False
         for i in range(len(c) - 1):
             j = int(np.searchsorted(c, c[i], side="right"))  # sorted by component: what follows differs
             if j == len(c):
@@ -245,17 +267,47 @@ def _crossing(percent: int):
             if guest[i]:
                 fits &= ~guest[j:]  # two guests meet in their own class
             own = int(widths[i])
+            others, margins = [], []
             for w, m in full.items():
                 at = np.flatnonzero(fits & (widths[j:] == w))
-                if not len(at) or w > 2 * own or own > 2 * w:
-                    if len(at):  # a percentage so low that sizes differ by more than a step
-                        at = at[may_link(bits[i], int(n[i]), [bits[j + k] for k in at.tolist()], n[j + at], percent)]
+                if not len(at):
+                    continue
+                if w > 2 * own or own > 2 * w:  # a percentage so low that sizes differ by more than a step
+                    least = min(w, own)
+                    far = np.bitwise_count(folded(m[place[j + at]], least) ^ folded(bits[i][None], least)).sum(1)
                 else:
                     that = (half if w > own else full)[w][place[j + at]]
                     this = half[own][place[i]] if w < own else full[own][place[i]]
-                    at = at[np.bitwise_count(that ^ this).sum(1) <= differ[at]]
-                for other in doc[j + at].tolist():
-                    yield (other, int(doc[i])) if other < doc[i] else (int(doc[i]), other)
+                    far = np.bitwise_count(that ^ this).sum(1)
+                margin = far.astype(np.int64) - differ[at]
+                others.append(j + at[margin <= 0])
+                margins.append(margin[margin <= 0])
+            other = np.concatenate(others) if others else np.zeros(0, np.int64)
+            if not len(other):
+                continue
+            margin = np.concatenate(margins)
+            better = margin < best[other]
+            best[other[better]], by[other[better]] = margin[better], i
+            first[other[first[other] < 0]] = i
+            if len(other) > picks:
+                held_back = True
+                nearest = np.argpartition(margin, picks - 1)[:picks]
+                nearest = np.append(nearest, int(other.argmin()))
+                other, margin = other[nearest], margin[nearest]
+            ahead.append((np.full(len(other), i), other, margin))
+        if not ahead:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        one, other, margin = (np.concatenate(x) for x in zip(*ahead, strict=True))
+        if held_back or len(one) > picks * len(np.unique(c)):
+            least = _picked(c[one], margin, other, picks=picks)
+            smallest = _picked(c[one], other, one, picks=1)
+            reached = np.flatnonzero(by >= 0)
+            back = reached[_picked(c[reached], best[reached], by[reached], picks=1)]
+            early = reached[_picked(c[reached], first[reached], reached, picks=1)]
+            kept = np.concatenate([least, smallest])
+            held_back = held_back or len(np.unique(kept)) < len(one)
+            one, other = np.concatenate([one[kept], by[back], first[early]]), np.concatenate([other[kept], back, early])
+        return doc[one], doc[other], held_back
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: set[tuple[int, int]] = set()
@@ -264,12 +316,16 @@ def _crossing(percent: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             *columns, bits = zip(*held, strict=True)
-            new = {q for q in pairs(*(np.concatenate(x) for x in columns), [b for block in bits for b in block])} - recent
+            x, y, more = pairs(*(np.concatenate(x) for x in columns), [b for block in bits for b in block])
+            new = set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)) - recent
             if len(recent) > 500_000:
                 recent.clear()
             recent.update(new)
-            if new:
-                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*new, strict=True)], ["a", "b"])
+            a, b, hubs = [p[0] for p in new], [p[1] for p in new], [None] * len(new)
+            if more:
+                a, b, hubs = [*a, None], [*b, None], [*hubs, int(group[0])]
+            if a:
+                yield pa.record_batch([pa.array(v, pa.int64()) for v in (a, b, hubs)], ["a", "b", "more"])
 
         for batch in _slices(batches):
             hub, group_, lo, hi, side, c, doc, n = (batch.column(i).to_numpy() for i in range(8))
@@ -377,6 +433,28 @@ def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int, parts: int)
     return _dealt(pairs, texts, parts).mapInArrow(giving_back(_checked(n, percent)), "a long, b long")
 
 
+def _sides(placed: DataFrame, mixed: DataFrame, percent: int, within: bool) -> DataFrame:
+    """Documents of hubs with several components as blocks (hub, group, lo, hi). ``within``: large hubs
+    only meet within blocks, each with the first document of the group."""
+    # Classes of sizes that are a little wider than the sizes of two sets that link can differ; a large
+    # hub is cut into groups of a class and, as guests, the class above it.
+    width = np.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
+    members = _told(placed, mixed, ["hub"], "members").withColumn("_class", F.when(F.col("members") > CROSS_BLOCK, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
+    guests = members.where(F.col("members") > CROSS_BLOCK).select("hub", "c", "doc", "n", "members", (F.col("_class") - 1).alias("group"), F.lit(True).alias("guest"))
+    members = members.select("hub", "c", "doc", "n", "members", F.col("_class").alias("group"), F.lit(False).alias("guest")).unionByName(guests)
+    own = F.when(~F.col("guest") & (F.col("doc") != F.col("hub")), F.col("doc"))
+    sizes = checkpoint(members.where(F.col("members") > CROSS_BLOCK).groupBy("hub", "group").agg(F.count("*").alias("times"), F.min(own).alias("lead")))
+    small = members.where(F.col("members") <= CROSS_BLOCK).withColumns({"times": F.lit(1).cast("long"), "lead": F.lit(None).cast("long")})
+    sides = small.unionByName(_told(members.where(F.col("members") > CROSS_BLOCK), sizes, ["hub", "group"], "times").select(small.columns))
+    sides = sides.withColumn("blocks", F.expr(f"cast(ceil(times / {CROSS_BLOCK}) as int)")).withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    if within:
+        sides = sides.withColumn("other", F.explode(F.when(F.col("doc") == F.col("lead"), every).otherwise(F.array("side")))).withColumn("side", F.col("other"))
+    else:
+        sides = sides.withColumn("other", F.explode(every))
+    return sides.select("hub", "group", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"), "guest")
+
+
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``id_col``, n_shingles long, component_id long (the smallest document
     reachable by links, itself included)."""
@@ -418,26 +496,39 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: i
             links = links.join(c, end, "left").withColumn(end, F.coalesce("rep", end)).drop("rep")
         return links.where("a <> b").distinct()
 
-    linked = on_reps(first)
+    linked = checkpoint(on_reps(first))
     labels = components(linked)
-    of_doc = copies.select("doc", "rep").unionByName(labels.select(F.col("node").alias("doc"), F.col("node").alias("rep"))).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(F.col("doc").alias("d"), F.coalesce("component", "rep").alias("c"))
-    placed = written(near.join(of_doc, F.col("doc") == F.col("d"), "left").select("hub", F.coalesce("c", "doc").alias("c"), "doc", "n"))
-    mixed = placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("hub", "members")
-    mixed = checkpoint(mixed)
-    # Classes of sizes that are a little wider than the sizes of two sets that link can differ; a large
-    # hub is cut into groups of a class and, as guests, the class above it.
-    width = np.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
-    members = _told(placed, mixed, ["hub"], "members").withColumn("_class", F.when(F.col("members") > CROSS_BLOCK, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
-    guests = members.where(F.col("members") > CROSS_BLOCK).select("hub", "c", "doc", "n", "members", (F.col("_class") - 1).alias("group"), F.lit(True).alias("guest"))
-    members = members.select("hub", "c", "doc", "n", "members", F.col("_class").alias("group"), F.lit(False).alias("guest")).unionByName(guests)
-    sizes = checkpoint(members.where(F.col("members") > CROSS_BLOCK).groupBy("hub", "group").agg(F.count("*").alias("times")))
-    sides = members.where(F.col("members") <= CROSS_BLOCK).withColumn("times", F.lit(1).cast("long")).unionByName(_told(members.where(F.col("members") > CROSS_BLOCK), sizes, ["hub", "group"], "times"))
-    sides = sides.withColumn("blocks", F.expr(f"cast(ceil(times / {CROSS_BLOCK}) as int)"))
-    sides = sides.withColumn("side", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crossing = sides.select("hub", "group", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "c", "doc", F.col("n").cast("long"), "guest")
-    crossing = crossing.join(sketches.select("doc", "parity"), "doc").select(*crossing.columns, "parity")
-    cross_pairs = checkpoint(crossing.repartition(parts, "hub", "group", "lo", "hi").sortWithinPartitions("hub", "group", "lo", "hi").mapInArrow(giving_back(_crossing(percent)), "a long, b long").distinct())
-    second = on_reps(_links(cross_pairs, texts, words, percent, parts))
-    labels = components(linked.unionByName(second))
-    final = documents.select("doc", "n").distinct().join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc")).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    return final.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    todo, tried, picks, within = None, None, PICKS, True
+    while True:
+        of_doc = copies.select("doc", "rep").unionByName(labels.select(F.col("node").alias("doc"), F.col("node").alias("rep"))).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(F.col("doc").alias("d"), F.coalesce("component", "rep").alias("c"))
+        there = near if tried is None else near.join(todo if todo.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS else F.broadcast(todo), "hub", "left_semi")
+        placed = written(there.join(of_doc, F.col("doc") == F.col("d"), "left").select("hub", F.coalesce("c", "doc").alias("c"), "doc", "n"))
+        mixed = checkpoint(placed.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("hub", "members"))
+        crossing = _sides(placed, mixed, percent, within)
+        crossing = crossing.join(sketches.select("doc", "parity"), "doc").select(*crossing.columns, "parity")
+        out = checkpoint(crossing.repartition(parts, "hub", "group", "lo", "hi").sortWithinPartitions("hub", "group", "lo", "hi").mapInArrow(giving_back(_crossing(percent, picks)), "a long, b long, more long").distinct())
+        drop(placed)
+        pairs = out.where("a is not null").select("a", "b")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = checkpoint(pairs)
+        new = False
+        if pairs.limit(1).count():
+            found = checkpoint(on_reps(_links(pairs, texts, words, percent, parts)))
+            new = found.limit(1).count() > 0
+        todo = out.where("more is not null").select(F.col("more").alias("hub"))
+        if within:
+            todo = todo.unionByName(mixed.where(F.col("members") > CROSS_BLOCK).select("hub"))
+        todo = checkpoint(todo.distinct())
+        if new:
+            linked = checkpoint(linked.unionByName(found))
+            labels = components(linked)
+        if not todo.limit(1).count():
+            break
+        if not new and not within:
+            picks *= 8
+        tried = pairs if tried is None else checkpoint(tried.unionByName(pairs))
+        within = False
+    known = documents.where("doc is not null").distinct().join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc")).join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    final = known.select("doc", "n", F.coalesce("component", "rep").alias("c")).unionByName(documents.where("doc is null").select("doc", "n", F.lit(None).cast("long").alias("c")))
+    return final.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
