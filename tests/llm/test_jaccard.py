@@ -120,11 +120,12 @@ def test_null_and_other_ids(spark):
 
 
 def group_under_a_hub(n):
-    """Document 0 holds a passage, a licence and more; n near copies hold the passage, the licence and a
-    word of their own; twice as many others hold the licence, half of those are near copies in pairs."""
-    licence, passage, more = ([f"{c}{i}" for i in range(k)] for c, k in (("l", 60), ("p", 40), ("m", 90)))
-    texts = [passage + licence + more] + [licence + [f"own{i}"] + passage for i in range(n)]
-    texts += [licence + [f"o{i // 2 if i < n else i}x{k}" for k in range(50)] + ["end", f"{i}"] for i in range(2 * n)]
+    """Document 0 holds a passage, a licence and its annex, n near copies hold the licence, a word of their
+    own and the passage; twice as many others hold licence and annex, half of those are near copies in
+    pairs. Licence and annex are more frequent than the passage, so document 0 heads its columns."""
+    licence, passage, annex = ([f"{c}{i}" for i in range(k)] for c, k in (("l", 60), ("p", 40), ("m", 90)))
+    texts = [passage + licence + annex] + [licence + [f"own{i}"] + passage for i in range(n)]
+    texts += [licence + annex + [f"o{i // 2 if i < n else i}x{k}" for k in range(50)] + ["end", f"{i}"] for i in range(2 * n)]
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
