@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veraz.functions.expr import digits, optional, ratio, text
+from veraz.operators.bloom import semi_join
 from veraz.operators.versioning import latest
 from veraz.sources.zipped import read_zipped_csv
 
@@ -81,7 +82,7 @@ def minimised(raw: DataFrame, wanted: DataFrame, key: str, keep: list[str], leng
     """Registry rows whose key (its first digits) is wanted, with only the columns in ``keep``:
     names and numbers of natural persons never leave the source."""
     rows = raw.select(F.substring(digits(F.col(key)), 1, length).alias(key), *(c for c in keep if c != key))
-    return rows.join(wanted.select(F.substring(digits(F.col(wanted.columns[0])), 1, length).alias(key)).distinct(), key, "left_semi")
+    return semi_join(rows, key, wanted.select(F.substring(digits(F.col(wanted.columns[0])), 1, length).alias("cnpj")))
 
 
 def _placed(width: int, places: dict[str, int]) -> list[str]:
@@ -98,7 +99,7 @@ def _whole_numbers(suppliers: DataFrame, column: str, length: int) -> DataFrame:
 def company_registry(spark: SparkSession, path: str, suppliers: DataFrame, column: str = "identificador_publico") -> DataFrame:
     """Companies of the suppliers, from zipped registry files (seven columns, no header)."""
     rows = read_zipped_csv(spark, path, list(COMPANY_FIELDS), list(COMPANY_FIELDS))
-    return rows.join(_whole_numbers(suppliers, column, 8), rows["cnpj_basico"] == F.col("cnpj"), "left_semi")
+    return semi_join(rows, "cnpj_basico", _whole_numbers(suppliers, column, 8))
 
 
 def partner_registry(spark: SparkSession, path: str, suppliers: DataFrame, column: str = "identificador_publico") -> DataFrame:
@@ -106,7 +107,7 @@ def partner_registry(spark: SparkSession, path: str, suppliers: DataFrame, colum
     numbers of persons don't leave the reader. registro_origem_id tells the rows apart by what is kept."""
     keep = list(PARTNER_PLACES)
     rows = read_zipped_csv(spark, path, _placed(PARTNER_WIDTH, PARTNER_PLACES), keep, number="registro_origem_id")
-    kept = rows.join(_whole_numbers(suppliers, column, 8), rows["cnpj_basico"] == F.col("cnpj"), "left_semi")
+    kept = semi_join(rows, "cnpj_basico", _whole_numbers(suppliers, column, 8))
     return kept.select("registro_origem_id", *keep)
 
 
@@ -122,7 +123,7 @@ def sanction_registry(spark: SparkSession, path: str, listed_in: str, suppliers:
     own = rows.withColumns({"cnpj_sancionado": digits(F.col("cnpj_sancionado")), "cadastro": F.lit(name)})
     if not shift:
         own = own.withColumn("valor_multa", F.lit(""))
-    return own.join(_whole_numbers(suppliers, column, 14), F.col("cnpj_sancionado") == F.col("cnpj"), "left_semi").select(*SANCTION_FIELDS)
+    return semi_join(own, "cnpj_sancionado", _whole_numbers(suppliers, column, 14)).select(*SANCTION_FIELDS)
 
 
 def index_factor(index: DataFrame, reference: str) -> DataFrame:
