@@ -4,13 +4,20 @@ A sketch (KLL) keeps a bounded sample of ranks; the rank of a quantile that it g
 ``rank_error`` in 99 of 100 cases, whatever the values are, and a merged sketch is as good as one of all
 rows. With many equal values a quantile is exact as soon as the value covers that range of ranks.
 Smallest and largest values and counts are exact.
+
+``discrete`` gives exact quantiles of all rows instead, without a table of all values in one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: What sketches keep; a sketch takes some 3 * SIZE numbers.
@@ -47,3 +54,30 @@ def off_by(rows: DataFrame, found: DataFrame, keys: Sequence[str], value: str, s
     below = lambda n: F.avg((F.col(value) < F.col(f"_{n}")).cast("double"))
     up_to = lambda n: F.avg((F.col(value) <= F.col(f"_{n}")).cast("double"))
     return joined.groupBy(*keys).agg(F.greatest(F.lit(0.0), *(below(n) - p for n, p in shares.items()), *(p - up_to(n) for n, p in shares.items())).alias("desvio"))
+
+
+def discrete(rows: DataFrame, value: str, shares: Mapping[str, float], accuracy: int = 10000) -> DataFrame:
+    """One row: for each share the smallest value that at least this share of the values doesn't exceed; nulls
+    aren't values, and without values it is null.
+
+    Sketched quantiles on both sides of each share cut the values into cells, the rows of the cells are counted,
+    and the cells that hold a wanted rank are taken apart by value. The cuts decide how many rows these hold
+    (some 4 / ``accuracy`` of all for a share, and a value with more has a cell of its own), never what is found.
+    The rows are read three times; two of these jobs run here, as the ranks depend on them.
+    """
+    known = rows.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    near = sorted({min(1.0, max(0.0, p + d / accuracy)) for p in shares.values() for d in (-2, 2)})
+    size = F.col("_v").cast("double")
+    seen = known.agg(F.count("*").alias("n"), F.percentile_approx(size, near, accuracy).alias("cuts")).first()
+    cuts = {c for c in seen.cuts or () if not math.isnan(c)}
+    # Below, at or above each cut: cells follow the order of the values, as doubles of larger ones are never smaller.
+    cells = known.withColumn("_cell", reduce(add, ((size >= c).cast("int") + (size > c).cast("int") for c in cuts), F.lit(0)))
+    place, below = {}, 0
+    ranks = {name: max(1, math.ceil(Fraction(str(p)) * seen.n)) for name, p in shares.items()}
+    for cell, n in sorted(map(tuple, cells.groupBy("_cell").count().collect())):
+        place |= {name: (cell, k - below) for name, k in ranks.items() if below < k <= below + n}
+        below += n
+    values = cells.where(F.col("_cell").isin([cell for cell, _ in place.values()])).groupBy("_cell", "_v").agg(F.count("*").alias("_n"))
+    ranked = values.withColumn("_up_to", F.sum("_n").over(W.partitionBy("_cell").orderBy("_v")))
+    at = lambda cell, k: F.min(F.when((F.col("_cell") == cell) & (F.col("_up_to") >= k), F.col("_v")))
+    return ranked.agg(*(at(*place.get(name, (-1, 1))).alias(name) for name in shares))
